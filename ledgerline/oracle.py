@@ -123,6 +123,9 @@ VIEWS = {
 
 def with_views(select: str) -> str:
     body = ",\n".join(f"{name} AS ({sql})" for name, sql in VIEWS.items())
+    head = select.lstrip()
+    if head[:5].lower() == "with ":  # fold the query's own views into the same WITH
+        return f"WITH {body},\n{head[5:]}"
     return f"WITH {body}\n{select}"
 
 
@@ -180,5 +183,63 @@ QUERIES = {
 }
 
 
+QUERIES.update({
+    # --- incremental (F2, F3, A4, I1, I5, I6, S7) ---
+    "newer_than_strict": """
+        select distinct * from stg_static
+        where transaction_date > (select max(transaction_date) from stg_static
+                                  where transaction_date <= date '2024-01-15')""",
+    "newer_than_inclusive": """
+        select * from fct
+        where created_at is not null
+          and transaction_date >= (select max(transaction_date) from fct
+                                   where transaction_date <= date '1998-06-30')""",
+    "high_water": "select max(transaction_date) as high_water from fct",
+    "incremental_load": """
+        with tgt as (select * from f_transactions
+                     where updated_at < timestamp '1998-06-01'
+                        or (updated_at = timestamp '1998-06-01' and location = 'In-store')),
+             m as (select max(updated_at) as m from tgt)
+        select s.* from f_transactions s
+        where s.updated_at >= (select m from m)
+          and not exists (select 1 from tgt t
+                          where t.updated_at = (select m from m)
+                            and t.transaction_id = s.transaction_id)""",
+    "merge_upsert": """
+        with tgt as (select * from fct where transaction_date < date '1998-01-01'),
+             src as (select transaction_id, customer_id, payment_method_name, location,
+                            total_spent + 1.0 as total_spent, created_at, updated_at,
+                            transaction_date
+                     from fct where transaction_date >= date '1997-12-01'
+                                and transaction_date < date '1998-03-01'),
+             u as (select *, 1 as prio from src union all select *, 2 as prio from tgt)
+        select transaction_id, customer_id, payment_method_name, location, total_spent,
+               created_at, updated_at, transaction_date
+        from (select *, row_number() over (partition by transaction_id order by prio) as rn
+              from u) where rn = 1""",
+    "merge_moved_partition": """
+        with tgt as (select * from fct where transaction_date < date '1998-01-01'),
+             src as (select transaction_id, customer_id, payment_method_name, location,
+                            total_spent, created_at, updated_at,
+                            transaction_date + 40 as transaction_date
+                     from fct where transaction_date >= date '1997-12-01'
+                                and transaction_date < date '1998-01-01'),
+             u as (select *, 1 as prio from src union all select *, 2 as prio from tgt)
+        select transaction_id, customer_id, payment_method_name, location, total_spent,
+               created_at, updated_at, transaction_date
+        from (select *, row_number() over (partition by transaction_id order by prio) as rn
+              from u) where rn = 1""",
+    "append_replace_load": """
+        select * from f_transactions where created_at < timestamp '1998-01-01'
+        union all
+        select * from f_transactions where created_at >= timestamp '1997-12-01'""",
+    "schema_guard": """
+        select * from fct
+        where created_at is null
+           or transaction_date >= (select max(transaction_date) from fct
+                                   where transaction_date <= date '1998-06-30')""",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in QUERIES.items()}

@@ -116,3 +116,118 @@ def q_drop_sentinels(spark, sf_dir):
 @query("latest_by")
 def q_latest_by(spark, sf_dir):
     return latest_by(_m(spark, sf_dir).stg_items, ["name"], ["updated_at", "item_id"])
+
+
+# --- incremental (F2, F3, A4, I1, I5, I6, S7) ------------------------------------------------
+# Scenario constants (fixed values of the test scenarios, not row caps): a previous run
+# that stopped at a date, and an increment that overlaps it.
+STATIC_CUT = "2024-01-15"      # static table already loaded up to this date
+FACT_CUT = "1998-06-30"        # fact already loaded up to this date
+CURSOR_AT = "1998-06-01"       # cursor load stopped on this timestamp, half the rows loaded
+MERGE_FIRST_END = "1998-01-01"  # first fact build: dates before this
+MERGE_SRC_START, MERGE_SRC_END = "1997-12-01", "1998-03-01"  # increment: [start, end)
+MOVE_DAYS = 40
+
+
+def _d(s: str):
+    return F.lit(s).cast("date")
+
+
+@query("newer_than_strict")
+def q_newer_strict(spark, sf_dir):
+    from ledgerline.operators.incremental import high_water
+    from ledgerline.plans.staging import clean_static
+    m = _m(spark, sf_dir)
+    target = m.stg_transactions_static.where(F.col("transaction_date") <= _d(STATIC_CUT))
+    good, _ = clean_static(m.source("sales_dirty"), high_water(target, "transaction_date"))
+    return good.distinct()
+
+
+@query("newer_than_inclusive")
+def q_newer_inclusive(spark, sf_dir):
+    from ledgerline.operators.incremental import high_water
+    from ledgerline.plans.marts import live_facts
+    m = _m(spark, sf_dir)
+    target = m.fct_transactions.where(F.col("transaction_date") <= _d(FACT_CUT))
+    return live_facts(m.stg_transactions, m.dim_payment_methods,
+                      high_water(target, "transaction_date"))
+
+
+@query("high_water")
+def q_high_water(spark, sf_dir):
+    return _m(spark, sf_dir).fct_transactions.agg(F.max("transaction_date").alias("high_water"))
+
+
+def _cursor_target(tx: DataFrame) -> DataFrame:
+    at = F.lit(CURSOR_AT).cast("timestamp_ntz")
+    return tx.where((F.col("updated_at") < at) |
+                    ((F.col("updated_at") == at) & (F.col("location") == "In-store")))
+
+
+@query("incremental_load")
+def q_incremental_load(spark, sf_dir):
+    from ledgerline.operators.incremental import incremental_load
+    tx = shop_tables.transactions(spark, sf_dir)
+    return incremental_load(tx, _cursor_target(tx), "updated_at", ["transaction_id"])
+
+
+def _merge_inputs(m: ShopModels, shift_days: int | None):
+    fct = m.fct_transactions
+    first = fct.where(F.col("transaction_date") < _d(MERGE_FIRST_END))
+    if shift_days is None:
+        src = fct.where((F.col("transaction_date") >= _d(MERGE_SRC_START)) &
+                        (F.col("transaction_date") < _d(MERGE_SRC_END))) \
+            .withColumn("total_spent", F.col("total_spent") + F.lit(1.0))
+    else:
+        src = fct.where((F.col("transaction_date") >= _d(MERGE_SRC_START)) &
+                        (F.col("transaction_date") < _d(MERGE_FIRST_END))) \
+            .withColumn("transaction_date", F.date_add("transaction_date", shift_days))
+    return first, src
+
+
+def _run_merge(spark, sf_dir, shift_days):
+    from ledgerline.operators.merge import merge_upsert
+    from ledgerline.session import scratch_path
+    m = _m(spark, sf_dir)
+    first, src = _merge_inputs(m, shift_days)
+    path = scratch_path(spark, "merge")
+    merge_upsert(spark, path, first, "transaction_id", "transaction_date")
+    merge_upsert(spark, path, src, "transaction_id", "transaction_date")
+    return spark.read.parquet(path)
+
+
+@query("merge_upsert")
+def q_merge_upsert(spark, sf_dir):
+    return _run_merge(spark, sf_dir, None)
+
+
+@query("merge_moved_partition")
+def q_merge_moved(spark, sf_dir):
+    return _run_merge(spark, sf_dir, MOVE_DAYS)
+
+
+@query("append_replace_load")
+def q_append_replace(spark, sf_dir):
+    from ledgerline.session import scratch_path
+    from ledgerline.sinks.load import load
+    tx = shop_tables.transactions(spark, sf_dir)
+    path = scratch_path(spark, "raw_transactions")
+    load(tx.where(F.col("created_at") < F.lit(MERGE_FIRST_END).cast("timestamp_ntz")), path,
+         "replace")
+    load(tx.where(F.col("created_at") >= F.lit(MERGE_SRC_START).cast("timestamp_ntz")), path,
+         "append")
+    return spark.read.parquet(path)
+
+
+@query("schema_guard")
+def q_schema_guard(spark, sf_dir):
+    """The fact increment, let through only after its schema is checked against the
+    target's (the target schema is the fact's; a changed one raises SchemaChanged)."""
+    from ledgerline.operators.incremental import assert_same_schema, high_water
+    from ledgerline.plans.marts import fct_transactions
+    m = _m(spark, sf_dir)
+    target = m.fct_transactions.where(F.col("transaction_date") <= _d(FACT_CUT))
+    new = fct_transactions(m.stg_transactions, m.stg_transactions_static,
+                           m.dim_payment_methods, high_water(target, "transaction_date"))
+    assert_same_schema(new, target)
+    return new
