@@ -117,6 +117,86 @@ VIEWS = {
         select i.name as item_name, cast(sum(t.quantity) as bigint) as total_quantity
         from dim_ti t left join stg_items i on t.item_id = i.item_id
         group by i.name""",
+    "req_h": """
+        select cast(o.o_orderkey as varchar) as request_id,
+               case when o.o_orderkey % 101 = 0 then '   '
+                    when o.o_orderkey % 89 = 0
+                         then concat('new.', cast(o.o_custkey as varchar), '@shop.example')
+                    when o.o_orderkey % 10 = 3 then concat('  ', upper(c.email), ' ')
+                    else c.email end as customer_email,
+               case when o.o_orderkey % 53 = 0 then 'Bitcoin'
+                    else substr(o.o_orderpriority, 3) end as payment_method,
+               case when o.o_orderkey % 59 = 0 then 'Delivery'
+                    when o.o_orderkey % 2 = 0 then 'In-store' else 'Takeaway' end as location,
+               cast(o.o_orderdate as timestamp) as created_at,
+               cast(o.o_orderdate as timestamp) as updated_at
+        from orders o left join f_customers c on o.o_custkey = c.customer_id""",
+    "req_l": """
+        select cast(l_orderkey as varchar) as request_id, l_linenumber as line_no,
+               case when l_orderkey % 67 = 0 and l_linenumber = 1 then 'Unknown Gadget'
+                    when l_orderkey % 71 = 0 and l_linenumber = 1 then '  '
+                    when l_orderkey % 7 = 1 then concat(' ', p_name, ' ')
+                    else p_name end as item_name,
+               case when l_orderkey % 61 = 0 and l_linenumber = 1 then cast(0 as bigint)
+                    else cast(l_quantity as bigint) end as quantity
+        from lineitem left join part on l_partkey = p_partkey""",
+    "latest_items": """
+        select * from (select *, row_number() over (partition by name
+                                                    order by updated_at desc nulls last,
+                                                             item_id desc nulls last) as rn
+                       from f_items) where rn = 1""",
+    "latest_pm": """
+        select * from (select *, row_number() over (partition by name
+                                                    order by created_at desc nulls last,
+                                                             payment_method_id desc nulls last) as rn
+                       from f_payment_methods) where rn = 1""",
+    "priced": """
+        select l.request_id, l.item_name, l.quantity, l.name_norm, li.item_id, li.unit_price,
+               (l.item_name is null or length(l.name_norm) = 0
+                or length(l.item_name) > 100) as bad_name,
+               (l.quantity is null or l.quantity <= 0) as bad_qty,
+               (li.item_id is null
+                and not (l.item_name is null or length(l.name_norm) = 0)) as no_item
+        from (select *, regexp_replace(item_name, '^\\s+|\\s+$', '', 'g') as name_norm
+              from req_l) l
+        left join latest_items li on l.name_norm = li.name""",
+    "summ": """
+        select request_id, count(*) as n_lines, count(name_norm) as n_names,
+               count(distinct name_norm) as n_distinct_names,
+               max(cast(bad_name as int)) as any_bad_name,
+               max(cast(bad_qty as int)) as any_bad_qty,
+               max(cast(no_item as int)) as any_no_item
+        from priced group by request_id""",
+    "req_t": """
+        select h.*, lower(regexp_replace(h.customer_email, '^\\s+|\\s+$', '', 'g')) as email_norm,
+               length(regexp_replace(h.customer_email, '^\\s+|\\s+$', '', 'g')) as email_len,
+               p.payment_method_id, s.n_lines, s.n_names, s.n_distinct_names,
+               s.any_bad_name, s.any_bad_qty, s.any_no_item
+        from req_h h left join latest_pm p on h.payment_method = p.name
+        left join summ s on h.request_id = s.request_id""",
+    "req_msg": """
+        select *, nullif(concat_ws('; ',
+            case when customer_email is null or email_len = 0
+                 then 'Customer email cannot be empty' end,
+            case when length(customer_email) > 100 then 'Customer email is longer than 100' end,
+            case when coalesce(n_lines, 0) < 1 then 'At least one item is required' end,
+            case when any_bad_name = 1 then 'Item name cannot be empty or longer than 100' end,
+            case when any_bad_qty = 1 then 'Quantity must be greater than 0' end,
+            case when n_names != n_distinct_names
+                 then 'Duplicate items are not allowed in the same transaction' end,
+            case when length(payment_method) > 50 then 'Payment method is longer than 50' end,
+            case when location is null or location not in ('In-store', 'Takeaway')
+                      or length(location) > 255
+                 then 'Location must be either "In-store" or "Takeaway"' end,
+            case when payment_method_id is null then 'Payment method not found' end,
+            case when any_no_item = 1 then 'Item not found' end), '') as error_message
+        from req_t""",
+    "req_good": "select * from req_msg where error_message is null",
+    "new_cust": """
+        select ('0x' || substr(md5(email), 1, 15))::bigint as customer_id,
+               split_part(email, '@', 1) as name, email
+        from (select distinct email_norm as email from req_good) e
+        where email not in (select email from f_customers where email is not null)""",
     "lookup_ids": "select distinct cast(event_id * 2 as varchar) as transaction_id from events",
 }
 
@@ -241,5 +321,68 @@ QUERIES.update({
 })
 
 
+QUERIES.update({
+    # --- quality (R11–R14) ---
+    "check_unique": """
+        select transaction_id, item_id, count(*) as n from f_transaction_items
+        group by transaction_id, item_id having count(*) > 1""",
+    "check_fk": """
+        select * from f_transactions t
+        where customer_id is not null
+          and not exists (select 1 from customer c
+                          where c.c_acctbal >= 0 and c.c_custkey = t.customer_id)""",
+    "check_subtotal": "select * from f_transaction_items where subtotal != quantity * unit_price",
+    "validate_static": """
+        select * from (
+          select "Transaction ID" as transaction_id, "Item" as item, "Quantity" as quantity,
+                 "Price Per Unit" as price_per_unit, "Total Spent" as total_spent,
+                 "Payment Method" as payment_method, "Location" as location,
+                 "Transaction Date" as transaction_date,
+                 nullif(concat_ws('; ',
+                   case when "Transaction ID" is null then 'Transaction ID is missing' end,
+                   case when length("Transaction ID") > 16 then 'transaction_id is longer than 16' end,
+                   case when length("Item") > 20 then 'item is longer than 20' end,
+                   case when length("Quantity") > 10 then 'quantity is longer than 10' end,
+                   case when length("Price Per Unit") > 10 then 'price_per_unit is longer than 10' end,
+                   case when length("Total Spent") > 10 then 'total_spent is longer than 10' end,
+                   case when length("Payment Method") > 20 then 'payment_method is longer than 20' end,
+                   case when length("Location") > 20 then 'location is longer than 20' end,
+                   case when length("Transaction Date") > 10 then 'transaction_date is longer than 10' end
+                 ), '') as error_message
+          from f_sales_dirty) where error_message is not null""",
+    # --- ingest (M13, J4–J6) ---
+    "validate_requests_good": "select request_id, email_norm, payment_method_id, n_lines from req_good",
+    "validate_requests_rejected": """
+        select request_id, error_message from req_msg where error_message is not null""",
+    "upsert_customers": "select * from new_cust",
+    "require_payment_method": """
+        select h.request_id, h.payment_method, p.payment_method_id
+        from req_h h left join latest_pm p on h.payment_method = p.name""",
+    "latest_price": "select name, item_id, unit_price from latest_items",
+    "ingest_transactions": """
+        select substr(sha256(g.request_id), 1, 16) as transaction_id,
+               coalesce(c.customer_id, n.customer_id) as customer_id, g.payment_method_id,
+               g.location, t.total_spent, 'completed' as status, g.created_at, g.updated_at
+        from req_good g
+        left join (select email, min(customer_id) as customer_id from f_customers
+                   group by email) c on g.email_norm = c.email
+        left join new_cust n on g.email_norm = n.email
+        left join (select request_id,
+                          cast(sum(cast(unit_price * quantity as decimal(38, 9))) as double)
+                            as total_spent
+                   from priced where request_id in (select request_id from req_good)
+                   group by request_id) t on g.request_id = t.request_id""",
+    "ingest_items": """
+        select substr(sha256(p.request_id), 1, 16) as transaction_id, p.item_id, p.quantity,
+               p.unit_price, p.unit_price * p.quantity as subtotal, g.created_at
+        from priced p join req_good g on p.request_id = g.request_id""",
+    "ingest_errors": """
+        select substr(sha256(request_id), 1, 16) as transaction_id, customer_email,
+               payment_method, location, cast(created_at as varchar) as transaction_date,
+               error_message
+        from req_msg where error_message is not null""",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in QUERIES.items()}

@@ -231,3 +231,95 @@ def q_schema_guard(spark, sf_dir):
                            m.dim_payment_methods, high_water(target, "transaction_date"))
     assert_same_schema(new, target)
     return new
+
+
+# --- quality (R11, R12, R13, R14) -------------------------------------------------------------
+
+@query("check_unique")
+def q_check_unique(spark, sf_dir):
+    from ledgerline.operators.quality import check_unique
+    return check_unique(shop_tables.transaction_items(spark, sf_dir),
+                        ["transaction_id", "item_id"])
+
+
+@query("check_fk")
+def q_check_fk(spark, sf_dir):
+    """Transactions whose customer is gone: the parent table keeps only customers with a
+    non-negative balance (a deletion upstream, which the append load never carries)."""
+    from ledgerline.operators.quality import check_fk
+    parents = shop_tables.table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0) \
+        .select(F.col("c_custkey").alias("customer_id"))
+    return check_fk(shop_tables.transactions(spark, sf_dir), parents, ["customer_id"])
+
+
+@query("check_subtotal")
+def q_check_subtotal(spark, sf_dir):
+    from ledgerline.operators.quality import check_subtotal
+    return check_subtotal(shop_tables.transaction_items(spark, sf_dir))
+
+
+@query("validate_static")
+def q_validate_static(spark, sf_dir):
+    from ledgerline.plans.imports import validate_static_rows
+    _, rejected = validate_static_rows(shop_tables.transactions_static(spark, sf_dir))
+    return rejected
+
+
+# --- ingest (M13, J4, J5, J6) --------------------------------------------------------------------
+
+def _ingest(spark, sf_dir):
+    from ledgerline.plans.ingest import ingest_transactions
+    t = shop_tables
+    return ingest_transactions(t.request_headers(spark, sf_dir), t.request_lines(spark, sf_dir),
+                               t.customers(spark, sf_dir), t.items(spark, sf_dir),
+                               t.payment_methods(spark, sf_dir))
+
+
+@query("validate_requests_good")
+def q_validate_good(spark, sf_dir):
+    return _ingest(spark, sf_dir).good_requests.select(
+        "request_id", "email_norm", "payment_method_id", "n_lines")
+
+
+@query("validate_requests_rejected")
+def q_validate_rejected(spark, sf_dir):
+    from ledgerline.plans.ingest import validate_requests
+    t = shop_tables
+    _, _, rejected = validate_requests(t.request_headers(spark, sf_dir),
+                                       t.request_lines(spark, sf_dir), t.items(spark, sf_dir),
+                                       t.payment_methods(spark, sf_dir))
+    return rejected.select("request_id", "error_message")
+
+
+@query("upsert_customers")
+def q_upsert_customers(spark, sf_dir):
+    return _ingest(spark, sf_dir).new_customers
+
+
+@query("require_payment_method")
+def q_require_pm(spark, sf_dir):
+    from ledgerline.plans.ingest import lookup_payment
+    t = shop_tables
+    return lookup_payment(t.request_headers(spark, sf_dir), t.payment_methods(spark, sf_dir)) \
+        .select("request_id", "payment_method", "payment_method_id")
+
+
+@query("latest_price")
+def q_latest_price(spark, sf_dir):
+    from ledgerline.plans.ingest import latest_items
+    return latest_items(shop_tables.items(spark, sf_dir)).select("name", "item_id", "unit_price")
+
+
+@query("ingest_transactions")
+def q_ingest_tx(spark, sf_dir):
+    return _ingest(spark, sf_dir).transactions
+
+
+@query("ingest_items")
+def q_ingest_items(spark, sf_dir):
+    return _ingest(spark, sf_dir).transaction_items
+
+
+@query("ingest_errors")
+def q_ingest_errors(spark, sf_dir):
+    return _ingest(spark, sf_dir).errors

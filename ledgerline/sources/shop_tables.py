@@ -153,6 +153,54 @@ def transactions_static(spark: SparkSession, sf_dir: str) -> DataFrame:
          "location", "payment_method", "transaction_date"])])
 
 
+def request_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sale requests, one row per order (flat form of the nested request body).
+
+    Dirt placed by o_orderkey residues (fixed values): 101 blank email; 89 a new
+    customer's email; 10 -> 3 padded upper-case email; 53 unknown payment 'Bitcoin';
+    59 bad location 'Delivery'.
+    """
+    o = table(spark, sf_dir, "orders")
+    c = customers(spark, sf_dir).select(F.col("customer_id").alias("__cid"), "email")
+    j = o.join(c, o["o_custkey"] == c["__cid"], "left")
+    k = F.col("o_orderkey")
+    return j.select(
+        k.cast("string").alias("request_id"),
+        F.when(k % 101 == 0, F.lit("   "))
+         .when(k % 89 == 0, F.concat(F.lit("new."), F.col("o_custkey").cast("string"),
+                                     F.lit("@shop.example")))
+         .when(k % 10 == 3, F.concat(F.lit("  "), F.upper("email"), F.lit(" ")))
+         .otherwise(F.col("email")).alias("customer_email"),
+        F.when(k % 53 == 0, F.lit("Bitcoin")).otherwise(_pm_name()).alias("payment_method"),
+        F.when(k % 59 == 0, F.lit("Delivery")).when(k % 2 == 0, F.lit("In-store"))
+         .otherwise(F.lit("Takeaway")).alias("location"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("created_at"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("updated_at"),
+    )
+
+
+def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item lines of the sale requests, one row per lineitem, item named by its part.
+
+    Dirt by l_orderkey residues on line 1 (fixed values): 67 unknown item; 71 blank
+    name; 61 quantity 0; 7 -> 1 name padded with spaces (any line).
+    """
+    li = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    j = li.join(p, li["l_partkey"] == p["p_partkey"], "left")
+    k, first = F.col("l_orderkey"), F.col("l_linenumber") == 1
+    return j.select(
+        k.cast("string").alias("request_id"),
+        F.col("l_linenumber").cast("int").alias("line_no"),
+        F.when((k % 67 == 0) & first, F.lit("Unknown Gadget"))
+         .when((k % 71 == 0) & first, F.lit("  "))
+         .when(k % 7 == 1, F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")))
+         .otherwise(F.col("p_name")).alias("item_name"),
+        F.when((k % 61 == 0) & first, F.lit(0).cast("bigint"))
+         .otherwise(F.col("l_quantity").cast("bigint")).alias("quantity"),
+    )
+
+
 OLTP = {
     "items": items,
     "customers": customers,
