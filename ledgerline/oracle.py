@@ -197,6 +197,23 @@ VIEWS = {
                split_part(email, '@', 1) as name, email
         from (select distinct email_norm as email from req_good) e
         where email not in (select email from f_customers where email is not null)""",
+    "static_checked": """
+          select "Transaction ID" as transaction_id, "Item" as item, "Quantity" as quantity,
+                 "Price Per Unit" as price_per_unit, "Total Spent" as total_spent,
+                 "Payment Method" as payment_method, "Location" as location,
+                 "Transaction Date" as transaction_date,
+                 nullif(concat_ws('; ',
+                   case when "Transaction ID" is null then 'Transaction ID is missing' end,
+                   case when length("Transaction ID") > 16 then 'transaction_id is longer than 16' end,
+                   case when length("Item") > 20 then 'item is longer than 20' end,
+                   case when length("Quantity") > 10 then 'quantity is longer than 10' end,
+                   case when length("Price Per Unit") > 10 then 'price_per_unit is longer than 10' end,
+                   case when length("Total Spent") > 10 then 'total_spent is longer than 10' end,
+                   case when length("Payment Method") > 20 then 'payment_method is longer than 20' end,
+                   case when length("Location") > 20 then 'location is longer than 20' end,
+                   case when length("Transaction Date") > 10 then 'transaction_date is longer than 10' end
+                 ), '') as error_message
+          from f_sales_dirty""",
     "lookup_ids": "select distinct cast(event_id * 2 as varchar) as transaction_id from events",
 }
 
@@ -332,24 +349,7 @@ QUERIES.update({
           and not exists (select 1 from customer c
                           where c.c_acctbal >= 0 and c.c_custkey = t.customer_id)""",
     "check_subtotal": "select * from f_transaction_items where subtotal != quantity * unit_price",
-    "validate_static": """
-        select * from (
-          select "Transaction ID" as transaction_id, "Item" as item, "Quantity" as quantity,
-                 "Price Per Unit" as price_per_unit, "Total Spent" as total_spent,
-                 "Payment Method" as payment_method, "Location" as location,
-                 "Transaction Date" as transaction_date,
-                 nullif(concat_ws('; ',
-                   case when "Transaction ID" is null then 'Transaction ID is missing' end,
-                   case when length("Transaction ID") > 16 then 'transaction_id is longer than 16' end,
-                   case when length("Item") > 20 then 'item is longer than 20' end,
-                   case when length("Quantity") > 10 then 'quantity is longer than 10' end,
-                   case when length("Price Per Unit") > 10 then 'price_per_unit is longer than 10' end,
-                   case when length("Total Spent") > 10 then 'total_spent is longer than 10' end,
-                   case when length("Payment Method") > 20 then 'payment_method is longer than 20' end,
-                   case when length("Location") > 20 then 'location is longer than 20' end,
-                   case when length("Transaction Date") > 10 then 'transaction_date is longer than 10' end
-                 ), '') as error_message
-          from f_sales_dirty) where error_message is not null""",
+    "validate_static": "select * from static_checked where error_message is not null",
     # --- ingest (M13, J4–J6) ---
     "validate_requests_good": "select request_id, email_norm, payment_method_id, n_lines from req_good",
     "validate_requests_rejected": """
@@ -384,5 +384,36 @@ QUERIES.update({
 })
 
 
+QUERIES.update({
+    # --- connectors (S2–S5, S13, S16, S17) ---
+    "csv_import": "select * exclude (error_message) from static_checked where error_message is null",
+    "load_if_empty": "select * exclude (error_message) from static_checked where error_message is null",
+    "json_array_import": "select * from f_items",
+    "lake_snapshot": "select * from f_transactions",
+    "reset_tables": """
+        select table_name, rows_before, cast(0 as bigint) as rows_after from (
+          select 'transaction_items' as table_name, count(*) as rows_before from f_transaction_items
+          union all select 'transactions', count(*) from f_transactions
+          union all select 'transactions_static', count(*) from static_checked
+                    where error_message is null
+          union all select 'transactions_errors', count(*) from static_checked
+                    where error_message is not null
+          union all select 'customers', count(*) from f_customers
+          union all select 'items', count(*) from f_items
+          union all select 'payment_methods', count(*) from f_payment_methods)""",
+    # --- whole hourly run (M16) and the streaming load (I8) ---
+    "hourly_run": "select * from fct",
+    "hourly_run_exclude_static": "select * from dim_ti",
+    "load_report": """
+        select 'stg_transactions_static' as model, count(*) as row_count from stg_static
+        union all select 'dim_customers', count(*) from stg_customers
+        union all select 'dim_items', count(*) from stg_items
+        union all select 'dim_payment_methods', count(*) from stg_payment_methods
+        union all select 'dim_transaction_items', count(*) from dim_ti
+        union all select 'fct_transactions', count(*) from fct""",
+    "stream_load": "select * from f_transactions",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in QUERIES.items()}

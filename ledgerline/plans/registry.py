@@ -323,3 +323,165 @@ def q_ingest_items(spark, sf_dir):
 @query("ingest_errors")
 def q_ingest_errors(spark, sf_dir):
     return _ingest(spark, sf_dir).errors
+
+
+# --- connectors (S2–S5, S13, S16, S17) -------------------------------------------------------
+
+def _write_csv(spark, sf_dir) -> str:
+    """The dirty sales file as CSV with a header (the seed the import reads)."""
+    from ledgerline.session import scratch_path
+    path = scratch_path(spark, "sales_csv")
+    shop_tables.sales_dirty(spark, sf_dir).write.option("header", True).csv(path)
+    return path
+
+
+def _import(spark, sf_dir, times: int):
+    from ledgerline.plans.imports import import_static_csv
+    from ledgerline.session import scratch_path
+    csv = _write_csv(spark, sf_dir)
+    root = scratch_path(spark, "oltp")
+    for _ in range(times):
+        import_static_csv(spark, csv, f"{root}/transactions_static", f"{root}/transactions_errors")
+    return spark.read.parquet(f"{root}/transactions_static")
+
+
+@query("csv_import")
+def q_csv_import(spark, sf_dir):
+    return _import(spark, sf_dir, 1)
+
+
+@query("load_if_empty")
+def q_load_if_empty(spark, sf_dir):
+    """Import twice: the second run finds rows and skips, so nothing doubles."""
+    return _import(spark, sf_dir, 2)
+
+
+@query("json_array_import")
+def q_json_array(spark, sf_dir):
+    """Items written as JSON documents with one root array each ({"items": [...]}, one
+    document per thousand item ids, so a document's size is bounded), read back (S5)
+    and checked as a batch of new items (M15)."""
+    from ledgerline import schemas as S
+    from ledgerline.plans.ingest import add_items
+    from ledgerline.session import scratch_path
+    from ledgerline.sources.files import read_json_array
+    path = scratch_path(spark, "items_json")
+    items = shop_tables.items(spark, sf_dir)
+    docs = (items.groupBy((F.col("item_id") / 1000).cast("bigint").alias("doc"))
+            .agg(F.to_json(F.struct(F.collect_list(F.struct(*items.columns)).alias("items")))
+                 .alias("value")))
+    docs.repartition("doc").write.partitionBy("doc").text(path)
+    good, _ = add_items(read_json_array(spark, f"{path}/*/*.txt", "items", S.ITEMS))
+    return good
+
+
+@query("lake_snapshot")
+def q_lake_snapshot(spark, sf_dir):
+    """Snapshot transactions to the lake twice (the second replaces the first) and read
+    the lake back by glob (S2, S3)."""
+    from ledgerline import schemas as S
+    from ledgerline.session import scratch_path
+    from ledgerline.sinks.load import snapshot
+    from ledgerline.sources.files import read_lake
+    root = scratch_path(spark, "lake")
+    tx = shop_tables.transactions(spark, sf_dir)
+    snapshot(tx.where(F.col("created_at") < F.lit(MERGE_FIRST_END).cast("timestamp_ntz")),
+             f"{root}/transactions")
+    snapshot(tx, f"{root}/transactions")
+    return read_lake(spark, root, "transactions", S.TRANSACTIONS)
+
+
+@query("reset_tables")
+def q_reset_tables(spark, sf_dir):
+    """Write the seven OLTP tables, then empty them in dependency order; report the
+    counts before and after (S13)."""
+    from ledgerline.plans.imports import error_rows, validate_static_rows
+    from ledgerline.session import scratch_path
+    from ledgerline.sinks.reset import reset_tables
+    t = shop_tables
+    root = scratch_path(spark, "oltp")
+    static = t.transactions_static(spark, sf_dir)
+    good, rejected = validate_static_rows(static)
+    tables = {
+        "transaction_items": t.transaction_items(spark, sf_dir),
+        "transactions": t.transactions(spark, sf_dir),
+        "transactions_static": good,
+        "transactions_errors": error_rows(rejected),
+        "customers": t.customers(spark, sf_dir),
+        "items": t.items(spark, sf_dir),
+        "payment_methods": t.payment_methods(spark, sf_dir),
+    }
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    return reset_tables(spark, root)
+
+
+# --- whole hourly run (M16) and the streaming load (I8) ------------------------------------------
+
+_HOURLY: dict = {}
+
+
+def _oltp_at(spark, sf_dir, cut: str | None) -> dict:
+    t = shop_tables
+    oltp = {name: fn(spark, sf_dir) for name, fn in t.OLTP.items()}
+    if cut is not None:
+        ts = F.lit(cut).cast("timestamp_ntz")
+        oltp["transactions"] = oltp["transactions"].where(F.col("updated_at") < ts)
+        oltp["transaction_items"] = oltp["transaction_items"].where(F.col("created_at") < ts)
+    return oltp
+
+
+def hourly_two_runs(spark, sf_dir, exclude_static_second: bool) -> str:
+    """First load (every step, OLTP as of MERGE_FIRST_END), then an hourly run on the full
+    OLTP tables.  Built once per session and input folder; returns the warehouse root."""
+    from ledgerline.plans.hourly import run_hourly
+    from ledgerline.session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir, exclude_static_second)
+    if key not in _HOURLY:
+        root = scratch_path(spark, "warehouse")
+        seed = shop_tables.sales_dirty(spark, sf_dir)
+        run_hourly(spark, _oltp_at(spark, sf_dir, MERGE_FIRST_END), seed, root, exclude_tags=())
+        run_hourly(spark, _oltp_at(spark, sf_dir, None), seed, root,
+                   exclude_tags=("static",) if exclude_static_second else ())
+        _HOURLY[key] = root
+    return _HOURLY[key]
+
+
+@query("hourly_run")
+def q_hourly_run(spark, sf_dir):
+    root = hourly_two_runs(spark, sf_dir, exclude_static_second=False)
+    return spark.read.parquet(f"{root}/models/fct_transactions")
+
+
+@query("hourly_run_exclude_static")
+def q_hourly_run_exclude_static(spark, sf_dir):
+    root = hourly_two_runs(spark, sf_dir, exclude_static_second=True)
+    return spark.read.parquet(f"{root}/models/dim_transaction_items")
+
+
+@query("load_report")
+def q_load_report(spark, sf_dir):
+    from ledgerline.plans.hourly import model_counts
+    root = hourly_two_runs(spark, sf_dir, exclude_static_second=False)
+    return model_counts(spark, root, ["stg_transactions_static", "dim_customers", "dim_items",
+                                      "dim_payment_methods", "dim_transaction_items",
+                                      "fct_transactions"])
+
+
+@query("stream_load")
+def q_stream_load(spark, sf_dir):
+    """Two hourly snapshots of transactions land in the lake folder (the second replaces
+    the first and re-sends every row); the stream loads each into the raw table."""
+    from ledgerline import schemas as S
+    from ledgerline.session import scratch_path
+    from ledgerline.sinks.load import snapshot
+    from ledgerline.streaming.file_load import stream_load
+    root = scratch_path(spark, "stream")
+    tx = shop_tables.transactions(spark, sf_dir)
+    cursor, keys = "updated_at", ["transaction_id"]
+    for cut in (MERGE_FIRST_END, None):
+        snap = tx if cut is None else tx.where(F.col(cursor) < F.lit(cut).cast("timestamp_ntz"))
+        snapshot(snap, f"{root}/lake/transactions")
+        stream_load(spark, f"{root}/lake/transactions", f"{root}/raw/transactions",
+                    f"{root}/checkpoint", S.TRANSACTIONS, cursor, keys)
+    return spark.read.parquet(f"{root}/raw/transactions")
