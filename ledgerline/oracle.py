@@ -234,6 +234,7 @@ QUERIES = {
                sum(cast(total_spent as decimal(38, 9))) as total_sales
         from fct group by 1 order by 1""",
     "item_quantity": "select * from item_qty",
+    "item_quantity_table": "select * from item_qty",
     "item_share": """
         select item_name, total_quantity,
                cast(total_quantity as double) / cast(sum(total_quantity) over () as double) as share

@@ -27,6 +27,42 @@ def item_quantity(dim_transaction_items: DataFrame, dim_items: DataFrame) -> Dat
     return j.groupBy("item_name").agg(F.sum("__qty").alias("total_quantity"))
 
 
+def quantity_per_item_id(stg_transaction_items: DataFrame, stg_static: DataFrame,
+                         stg_items: DataFrame) -> DataFrame:
+    """sum(quantity) per item_id of ``dim_transaction_items``, without building it.
+
+    The static half of that model joins each sale to EVERY item row with the sale's name
+    (names repeat across item versions), so it holds sales x versions rows.  Summed per
+    item id, each static sale adds its quantity once to every item id with its name, so:
+    sum static quantities per name first, join those per-name totals to the items by
+    name, and add the live lines' per-id sums.  The fan-out is never materialised; a
+    static sale whose name matches no item lands in the NULL id, as in the join.
+    """
+    live = stg_transaction_items.groupBy("item_id").agg(F.sum("quantity").alias("__qty"))
+    per_name = stg_static.groupBy("item_name").agg(F.sum("quantity").alias("__qty"))
+    names = stg_items.select(F.col("item_id"), F.col("name").alias("__name"))
+    static = per_name.join(names, per_name["item_name"] == names["__name"], "left") \
+        .select("item_id", "__qty")
+    return live.unionByName(static).groupBy("item_id").agg(F.sum("__qty").alias("__qty"))
+
+
+def item_quantity_from_models(stg_transaction_items: DataFrame, stg_static: DataFrame,
+                              stg_items: DataFrame, dim_items: DataFrame) -> DataFrame:
+    """``item_quantity`` over the staging models (same result, no fan-out)."""
+    per_id = quantity_per_item_id(stg_transaction_items, stg_static, stg_items)
+    items = dim_items.select(F.col("item_id").alias("__id"), F.col("name").alias("item_name"))
+    j = per_id.join(items, per_id["item_id"] == items["__id"], "left")
+    return j.groupBy("item_name").agg(F.sum("__qty").alias("total_quantity"))
+
+
+def with_share(iq: DataFrame) -> DataFrame:
+    """Add each item's share of the total quantity (W2).  The total is a scalar subquery
+    over the same aggregate, not a window over all rows (which would put every row in one
+    task) and not a cross join."""
+    total = iq.select(F.sum("total_quantity").cast("double")).scalar()
+    return iq.withColumn("share", F.col("total_quantity").cast("double") / total)
+
+
 def item_share(dim_transaction_items: DataFrame, dim_items: DataFrame) -> DataFrame:
     """Item quantity with its share of the total.
 

@@ -82,3 +82,11 @@ class ShopModels:
     def fct_transactions(self) -> DataFrame:
         return marts.fct_transactions(self.stg_transactions, self.stg_transactions_static,
                                       self.dim_payment_methods)
+
+    # analytics over the models
+    @cached_property
+    def item_quantity(self) -> DataFrame:
+        from ledgerline.plans.analytics import item_quantity_from_models
+        return item_quantity_from_models(self.stg_transaction_items,
+                                         self.stg_transactions_static, self.stg_items,
+                                         self.dim_items)

@@ -47,14 +47,19 @@ def q_monthly_sales(spark, sf_dir):
 
 @query("item_quantity")
 def q_item_quantity(spark, sf_dir):
-    m = _m(spark, sf_dir)
-    return an.item_quantity(m.dim_transaction_items, m.dim_items)
+    return _m(spark, sf_dir).item_quantity
 
 
 @query("item_share")
 def q_item_share(spark, sf_dir):
+    return an.with_share(_m(spark, sf_dir).item_quantity)
+
+
+@query("item_quantity_table")
+def q_item_quantity_table(spark, sf_dir):
+    """The dashboard query as written: over the built transaction-items model."""
     m = _m(spark, sf_dir)
-    return an.item_share(m.dim_transaction_items, m.dim_items)
+    return an.item_quantity(m.dim_transaction_items, m.dim_items)
 
 
 @query("explore_scan")
