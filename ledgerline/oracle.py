@@ -293,6 +293,17 @@ QUERIES.update({
           and transaction_date >= (select max(transaction_date) from fct
                                    where transaction_date <= date '1998-06-30')""",
     "high_water": "select max(transaction_date) as high_water from fct",
+    "cursor_state": """
+        select 'items' as table_name, 'updated_at' as cursor_column,
+               strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') as cursor_value from f_items
+        union all select 'customers', 'updated_at',
+               strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') from f_customers
+        union all select 'payment_methods', 'created_at',
+               strftime(max(created_at), '%Y-%m-%d %H:%M:%S') from f_payment_methods
+        union all select 'transactions', 'updated_at',
+               strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') from f_transactions
+        union all select 'transaction_items', 'created_at',
+               strftime(max(created_at), '%Y-%m-%d %H:%M:%S') from f_transaction_items""",
     "incremental_load": """
         with tgt as (select * from f_transactions
                      where updated_at < timestamp '1998-06-01'

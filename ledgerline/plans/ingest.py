@@ -176,6 +176,65 @@ def ingest_transactions(headers: DataFrame, lines: DataFrame, customers: DataFra
 
 # --- reference data (M15) --------------------------------------------------------------
 
+# fixed values: column defaults of the source tables
+DEFAULTS = {"status": "completed", "is_active": True}
+
+
+def with_defaults(df: DataFrame) -> DataFrame:
+    """Fill missing status / is_active / created_at / updated_at with their defaults
+    (current time for the times), for whichever of these columns the frame has."""
+    now = F.current_timestamp().cast("timestamp_ntz")
+    out = df
+    for c in df.columns:
+        if c in DEFAULTS:
+            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(DEFAULTS[c])))
+        elif c in ("created_at", "updated_at"):
+            out = out.withColumn(c, F.coalesce(F.col(c), now))
+    return out
+
+
+def _derived_id(*cols) -> Column:
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in cols])),
+                              1, 15), 16, 10).cast("bigint")
+
+
+def add_customers(new: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Batch of customers stored as given (M15): defaults, id from the email when missing,
+    and R12: an email already present, or repeated in the batch, is rejected."""
+    from ledgerline.operators.quality import validate
+    staged = with_defaults(new).withColumn(
+        "customer_id", F.coalesce(F.col("customer_id"), _derived_id("email")))
+    repeated = staged.groupBy("email").agg(F.count(F.lit(1)).alias("__n"))
+    taken = existing.select(F.col("email").alias("__taken")).distinct()
+    tagged = (staged.join(repeated, "email", "left")
+              .join(taken, F.col("email") == F.col("__taken"), "left"))
+    good, bad = validate(tagged, [
+        (F.col("email").isNull() | is_blank("email"), "Customer email cannot be empty"),
+        (F.length("name") > 100, "Customer name is longer than 100"),
+        (F.length("email") > 255, "Customer email is longer than 255"),
+        (F.col("__taken").isNotNull(), "Customer email already exists"),
+        (F.col("__n") > 1, "Customer email repeated in the batch")])
+    cols = ["customer_id", "name", "email", "created_at", "updated_at"]
+    return good.select(*cols), bad.select(*cols, "error_message")
+
+
+def add_payment_methods(new: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Batch of payment methods (M15): is_active defaults to true; names are unique."""
+    from ledgerline.operators.quality import validate
+    staged = with_defaults(new).withColumn(
+        "payment_method_id", F.coalesce(F.col("payment_method_id"), _derived_id("name")))
+    repeated = staged.groupBy("name").agg(F.count(F.lit(1)).alias("__n"))
+    taken = existing.select(F.col("name").alias("__taken")).distinct()
+    tagged = (staged.join(repeated, "name", "left")
+              .join(taken, F.col("name") == F.col("__taken"), "left"))
+    good, bad = validate(tagged, [
+        (F.col("name").isNull() | is_blank("name"), "Payment method name cannot be empty"),
+        (F.length("name") > PAYMENT_MAX, f"Payment method is longer than {PAYMENT_MAX}"),
+        (F.col("__taken").isNotNull(), "Payment method already exists"),
+        (F.col("__n") > 1, "Payment method repeated in the batch")])
+    cols = ["payment_method_id", "name", "is_active", "created_at"]
+    return good.select(*cols), bad.select(*cols, "error_message")
+
 def item_rules() -> list[tuple[Column, str]]:
     return [
         (F.col("name").isNull() | is_blank("name"), "Item name cannot be empty"),

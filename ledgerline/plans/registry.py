@@ -211,6 +211,15 @@ def q_merge_moved(spark, sf_dir):
     return _run_merge(spark, sf_dir, MOVE_DAYS)
 
 
+@query("cursor_state")
+def q_cursor_state(spark, sf_dir):
+    """The saved cursor of each raw table: max of its cursor column."""
+    from ledgerline.operators.incremental import cursor_state
+    from ledgerline.plans.hourly import CURSORS
+    return cursor_state({t: (fn(spark, sf_dir), CURSORS[t][0])
+                         for t, fn in shop_tables.OLTP.items()})
+
+
 @query("append_replace_load")
 def q_append_replace(spark, sf_dir):
     from ledgerline.session import scratch_path

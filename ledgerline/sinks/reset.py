@@ -44,3 +44,15 @@ def reset_tables(spark: SparkSession, root: str,
 def tables_not_empty(report: DataFrame) -> DataFrame:
     """Rows of the reset report whose table still has rows (the warning case)."""
     return report.where(F.col("rows_after") > 0)
+
+
+def reset_and_reload(spark: SparkSession, root: str, samples: dict,
+                     names: Sequence[str] = RESET_ORDER) -> DataFrame:
+    """Empty the tables, then append the sample rows of each given table, parents first
+    (S14).  Returns the reset report."""
+    from ledgerline.sinks.load import load
+    report = reset_tables(spark, root, names)
+    for name in reversed(list(names)):
+        if name in samples:
+            load(samples[name], f"{root.rstrip('/')}/{name}", "append")
+    return report
