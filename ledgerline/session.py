@@ -29,6 +29,9 @@ DEFAULT_CONF = {
     # Merge writes replace only the partitions that receive rows.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": "128MB",
+    # Listing a table with many date folders runs as a Spark job; one task per folder
+    # (the default allows 10,000) is far too fine: cap it at a few tasks per core.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
