@@ -17,7 +17,7 @@ whole batch is one set of DataFrame jobs:
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +39,12 @@ class IngestResult:
     new_customers: DataFrame
     errors: DataFrame
     good_requests: DataFrame
+    cached: list = field(default_factory=list)
+
+    def release(self) -> None:
+        for df in self.cached:
+            df.unpersist()
+        self.cached = []
 
 
 def flatten_requests(requests: DataFrame, id_col: str = "request_id") -> tuple[DataFrame, DataFrame]:
@@ -129,34 +135,49 @@ def validate_requests(headers: DataFrame, lines: DataFrame, items: DataFrame,
     return good, good_lines, rejected
 
 
+def email_customer_id(email) -> Column:
+    """Id of a customer created from a request: the first 60 bits of the email's MD5, so
+    it is the same on every run and needs no global counter."""
+    return F.conv(F.substring(F.md5(email), 1, 15), 16, 10).cast("bigint")
+
+
 def upsert_customers(good: DataFrame, customers: DataFrame) -> DataFrame:
     """Distinct normalised emails of good requests with no customer, as new customer
-    rows (name = local part).  The id is derived from the email (first 60 bits of its
-    MD5), so it is the same on every run and needs no global counter."""
+    rows (name = local part)."""
     emails = good.select(F.col("email_norm").alias("email")).distinct()
     new = emails.join(customers.select(F.col("email").alias("__e")),
                       F.col("email") == F.col("__e"), "left_anti")
-    return new.select(
-        F.conv(F.substring(F.md5("email"), 1, 15), 16, 10).cast("bigint").alias("customer_id"),
-        email_local_part("email").alias("name"),
-        "email")
+    return new.select(email_customer_id(F.col("email")).alias("customer_id"),
+                      email_local_part("email").alias("name"), "email")
 
 
 def ingest_transactions(headers: DataFrame, lines: DataFrame, customers: DataFrame,
                         items: DataFrame, payment_methods: DataFrame,
-                        id_col: str = "request_id") -> IngestResult:
+                        id_col: str = "request_id", persist: bool = False) -> IngestResult:
     """M13 on a batch.  Transaction ids are 16 hex digits of SHA-256 over the request id,
-    so a recomputed task gives the same id."""
+    so a recomputed task gives the same id.
+
+    ``persist=True`` keeps the validated requests and priced lines in executor storage
+    (memory, spilling to disk) for jobs that write several of the outputs; call
+    ``release()`` on the result afterwards.  A lost executor only drops cached blocks,
+    which Spark recomputes.
+    """
     good, good_lines, rejected = validate_requests(headers, lines, items, payment_methods, id_col)
+    cached = []
+    if persist:
+        from pyspark import StorageLevel
+        good, good_lines, rejected = [d.persist(StorageLevel.MEMORY_AND_DISK)
+                                      for d in (good, good_lines, rejected)]
+        cached = [good, good_lines, rejected]
     tid = short_id(id_col, n=ID_HEX_DIGITS)
     new_customers = upsert_customers(good, customers)
-    # One id per email even if the customer table repeats an email (it should not: R12).
-    known = customers.groupBy(F.col("email").alias("__e")) \
-        .agg(F.min("customer_id").alias("__cid")) \
-        .unionByName(new_customers.select(F.col("email").alias("__e"),
-                                          F.col("customer_id").alias("__cid")))
-    g = good.join(known, good["email_norm"] == known["__e"], "left")
-    items_out = good_lines.join(g.select(id_col, "created_at"), id_col).select(
+    # Existing customer by email (one id per email even if the table repeats one, which
+    # R12 forbids), else the id a new customer gets from its email: no need to join the
+    # new-customer rows back, so the validation is not planned twice.
+    known = customers.groupBy(F.col("email").alias("__e")).agg(F.min("customer_id").alias("__cid"))
+    g = good.join(known, good["email_norm"] == known["__e"], "left") \
+        .withColumn("__cid", F.coalesce(F.col("__cid"), email_customer_id(F.col("email_norm"))))
+    items_out = good_lines.join(good.select(id_col, "created_at"), id_col).select(
         tid.alias("transaction_id"), "item_id", "quantity", "unit_price",
         (F.col("unit_price") * F.col("quantity")).alias("subtotal"), "created_at")
     # Sum as decimal, then back to double: the total no longer depends on the order in
@@ -171,7 +192,7 @@ def ingest_transactions(headers: DataFrame, lines: DataFrame, customers: DataFra
     errors = rejected.select(
         tid.alias("transaction_id"), "customer_email", "payment_method", "location",
         F.col("created_at").cast("string").alias("transaction_date"), "error_message")
-    return IngestResult(transactions, items_out, new_customers, errors, good)
+    return IngestResult(transactions, items_out, new_customers, errors, good, cached)
 
 
 # --- reference data (M15) --------------------------------------------------------------
