@@ -23,13 +23,28 @@ def high_water(target: DataFrame, col: str) -> Column:
     return target.select(F.max(col)).scalar()
 
 
-def newer_than(df: DataFrame, col: str | Column, mark: Column,
-               inclusive: bool = False) -> DataFrame:
+def high_water_value(target: DataFrame, col: str):
+    """max(col) of the target as a Python value (one aggregated row; None when empty).
+
+    Prefer this to ``high_water`` when the mark feeds a scan: a literal in the filter is
+    pushed into the Parquet reader (row-group skipping) and prunes partitions, while a
+    filter holding a subquery stays above the scan.
+    """
+    return target.agg(F.max(col).alias("m")).first()["m"]
+
+
+def newer_than(df: DataFrame, col: str | Column, mark, inclusive: bool = False) -> DataFrame:
     """Rows after the mark: ``col > mark`` (F2) or ``col >= mark``.
 
+    ``mark`` is a Column (e.g. ``high_water``) or a plain value (``high_water_value``).
     A NULL mark (empty target) keeps every row; the source model's filter would keep none.
     """
     c = F.col(col) if isinstance(col, str) else col
+    if not isinstance(mark, Column):
+        if mark is None:
+            return df
+        mark = F.lit(mark)
+        return df.where((c >= mark) if inclusive else (c > mark))
     keep = (c >= mark) if inclusive else (c > mark)
     return df.where(mark.isNull() | keep)
 
@@ -40,18 +55,24 @@ def is_incremental(spark: SparkSession, table: str, full_refresh: bool = False)
 
 
 def incremental_load(source: DataFrame, target: DataFrame, cursor: str,
-                     keys: Sequence[str], mark: Column | None = None) -> DataFrame:
+                     keys: Sequence[str], mark=None) -> DataFrame:
     """Rows of ``source`` not yet loaded into ``target`` by cursor.
 
     Takes rows with ``cursor >= mark`` (mark = max cursor in the target unless given) and
     drops those whose key was already loaded AT the mark, so a boundary row is neither
-    lost nor loaded twice.  Only target rows on the mark take part in the anti join.
-    Rows with a NULL cursor cannot be placed and are left out; route them to quarantine
-    with ``null_cursor_rows``.
+    lost nor loaded twice.  The mark is read as a value, so both filters (new rows of the
+    source, boundary rows of the target) are literals pushed into the scans; only the
+    target's rows on the mark take part in the anti join.  Rows with a NULL cursor cannot
+    be placed and are left out; route them to quarantine with ``null_cursor_rows``.
     """
-    mark = high_water(target, cursor) if mark is None else mark
-    cand = source.where(F.col(cursor).isNotNull()).where(mark.isNull() | (F.col(cursor) >= mark))
-    at_mark = target.where(F.col(cursor) == mark).select(
+    if mark is None:
+        mark = high_water_value(target, cursor)
+    cand = source.where(F.col(cursor).isNotNull())
+    if mark is None:  # empty target: everything is new
+        return cand
+    m = mark if isinstance(mark, Column) else F.lit(mark)
+    cand = cand.where(F.col(cursor) >= m)
+    at_mark = target.where(F.col(cursor) == m).select(
         *[F.col(k).alias(f"__b{i}") for i, k in enumerate(keys)]).distinct()
     cond = all_of(cand[k] == at_mark[f"__b{i}"] for i, k in enumerate(keys))
     return cand.join(at_mark, cond, "left_anti")

@@ -21,7 +21,7 @@ from typing import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.incremental import high_water, incremental_load
+from ledgerline.operators.incremental import high_water_value, incremental_load
 from ledgerline.operators.merge import merge_upsert
 from ledgerline.plans import marts, staging
 from ledgerline.sinks.files import path_exists
@@ -85,14 +85,14 @@ def load_raw(spark: SparkSession, wh: Warehouse, tables: Sequence[str] = tuple(C
 
 
 def live_mark(fct: DataFrame, scope: str = "live"):
-    """The fact's high-water mark.  ``live`` (default) takes it over live rows only, so a
+    """The fact's high-water mark, as a value so the filter reaches the scan.  ``live`` (default) takes it over live rows only, so a
     static sale dated in the future cannot block new sales; ``all`` is the source model's
     mark over every row."""
     if scope == "live":
         fct = fct.where(F.col("created_at").isNotNull())
     elif scope != "all":
         raise ValueError("scope is 'live' or 'all'")
-    return high_water(fct, "transaction_date")
+    return high_water_value(fct, "transaction_date")
 
 
 def transform(spark: SparkSession, wh: Warehouse, seed: DataFrame,
@@ -122,7 +122,8 @@ def transform(spark: SparkSession, wh: Warehouse, seed: DataFrame,
 
     def static_model():
         exists = path_exists(spark, static_path) and not full_refresh
-        mark = high_water(spark.read.parquet(static_path), "transaction_date") if exists else None
+        mark = high_water_value(spark.read.parquet(static_path), "transaction_date") \
+            if exists else None
         src = staging.stg_transactions_static(seed, mark)
         merge_upsert(spark, static_path, src, "transaction_id", "transaction_date",
                      on_duplicate="raise")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.functions.scalar import to_ts
+from ledgerline.operators.incremental import newer_than
 from ledgerline.operators.latest import latest_by
 
 TI_COLUMNS = S.DIM_TRANSACTION_ITEMS.fieldNames()
@@ -65,15 +66,16 @@ def dim_transaction_items(stg_transaction_items: DataFrame, stg_static: DataFram
 
 
 def live_facts(stg_transactions: DataFrame, dim_payment_methods: DataFrame,
-               mark: Column | None = None) -> DataFrame:
+               mark=None) -> DataFrame:
     """Live transactions with the payment method name.
 
-    ``mark`` applies the inclusive high-water filter ``date(created_at) >= mark`` (F3);
-    Catalyst turns it into a range on the timestamp that reaches the scan.
+    ``mark`` (a value or a Column) applies the inclusive high-water filter
+    ``date(created_at) >= mark`` (F3).  With a value, Catalyst turns it into a range on the
+    timestamp that reaches the scan.
     """
     tx = stg_transactions
     if mark is not None:
-        tx = tx.where(mark.isNull() | (F.to_date("created_at") >= mark))
+        tx = newer_than(tx, F.to_date("created_at"), mark, inclusive=True)
     pm = dim_payment_methods.select(F.col("payment_method_id").alias("__pm_id"),
                                     F.col("name").alias("payment_method_name"))
     j = tx.join(pm, tx["payment_method_id"] == pm["__pm_id"], "left")
@@ -97,7 +99,7 @@ def static_facts(stg_static: DataFrame) -> DataFrame:
 
 
 def fct_transactions(stg_transactions: DataFrame, stg_static: DataFrame,
-                     dim_payment_methods: DataFrame, mark: Column | None = None) -> DataFrame:
+                     dim_payment_methods: DataFrame, mark=None) -> DataFrame:
     """M9 body: UNION ALL of live and static facts (U2).  ``payment_method_id`` and
     ``status`` are not carried.  For the incremental table use ``merge_upsert`` with
     this as the source (see ``ledgerline.plans.pipeline``)."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.functions.scalar import to_date_safe, to_double, to_long
+from ledgerline.operators.incremental import newer_than
 from ledgerline.operators.quality import complete_case, validate
 
 # Column list of each staging model (drops load-tool bookkeeping columns).
@@ -88,16 +89,16 @@ def rename_sales(raw: DataFrame) -> DataFrame:
     return raw.select(*_typed_columns())
 
 
-def clean_static(raw: DataFrame, mark: Column | None = None,
+def clean_static(raw: DataFrame, mark=None,
                  inclusive: bool = False) -> tuple[DataFrame, DataFrame]:
     """Split the raw sales file into (typed complete cases, rejected raw rows).
 
     Rows with a sentinel or NULL are dropped (F1), as in the source model.  Rows that pass
     F1 but hold a value that does not parse (``'4.0'`` as a quantity, ``'abc'`` as a
     date) would fail the source job; here they go to ``rejected`` with a message.
-    ``mark`` (a Column, usually a scalar subquery on the target) applies the high-water
-    filter ``transaction_date > mark`` (F2; ``>=`` with ``inclusive``); a NULL mark
-    loads everything.  One narrow pass: no shuffle.
+    ``mark`` (a value, or a Column such as a scalar subquery on the target) applies the
+    high-water filter ``transaction_date > mark`` (F2; ``>=`` with ``inclusive``); a
+    NULL mark loads everything.  One narrow pass: no shuffle.
     """
     complete = raw.where(complete_case(S.SALES_CSV_COLUMNS))
     both = complete.select("*", *_typed_columns(_P))
@@ -105,13 +106,11 @@ def clean_static(raw: DataFrame, mark: Column | None = None,
     good = good.select(*[F.col(_P + c).alias(c) for c in STATIC_COLUMNS])
     rejected = rejected.select(*[_q(c) for c in S.SALES_CSV_COLUMNS], "error_message")
     if mark is not None:
-        date = F.col("transaction_date")
-        keep = (date >= mark) if inclusive else (date > mark)
-        good = good.where(mark.isNull() | keep)
+        good = newer_than(good, "transaction_date", mark, inclusive)
     return good, rejected
 
 
-def stg_transactions_static(raw: DataFrame, mark: Column | None = None) -> DataFrame:
+def stg_transactions_static(raw: DataFrame, mark=None) -> DataFrame:
     """M6: complete, typed, de-duplicated static sales."""
     good, _ = clean_static(raw, mark)
     return good.distinct()

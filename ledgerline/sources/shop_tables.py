@@ -104,7 +104,7 @@ def transaction_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").cast("string").alias("transaction_id"),
         F.col("l_partkey").cast("bigint").alias("item_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price"),
         F.col("l_extendedprice").alias("subtotal"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("created_at"),
     )
