@@ -122,7 +122,11 @@ def _merge_staged(spark, target_path, target, source, key, partition_col, keys_m
                                 partition_col)
     if not hit:
         return MergeResult(touched_partitions=0, removed_partitions=[])
-    kept = _in_parts(target, partition_col, hit).join(keys, key, "left_anti")
+    touched = _in_parts(target, partition_col, hit)
+    # NULL keys never match: keep those rows without sending them through the join's
+    # shuffle, where they would all hash to one task.
+    kept = (touched.where(F.col(key).isNotNull()).join(keys, key, "left_anti")
+            .unionByName(touched.where(F.col(key).isNull())))
     # Partitions of hit that will hold no row, known before the write changes the target.
     removed = sorted(hit - src_parts - _distinct_values(kept, partition_col),
                      key=lambda v: (v is None, v))
@@ -157,4 +161,6 @@ def merge_frames(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """The merged rows as a DataFrame, without writing: target rows whose key is not in
     the source, plus the source (J7).  For catalogs without row-level MERGE."""
     keys = source.where(F.col(key).isNotNull()).select(key).distinct()
-    return target.join(keys, key, "left_anti").unionByName(source.select(*target.columns))
+    kept = (target.where(F.col(key).isNotNull()).join(keys, key, "left_anti")
+            .unionByName(target.where(F.col(key).isNull())))
+    return kept.unionByName(source.select(*target.columns))

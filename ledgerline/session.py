@@ -36,6 +36,25 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (not applied by any code here; the platform or
+# the job submitter sets them).  Shuffle partitions start high and AQE coalesces them to
+# about the advisory size, so a 100 TB job neither spills nor runs thousands of empty
+# tasks; skewed join partitions over the threshold are split.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64MB",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "1000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "ledgerline", extra: dict | None = None) -> SparkSession:
     """Build (or get) a session with the defaults above, for tests and the bench."""
