@@ -41,9 +41,16 @@ def quantity_per_item_id(stg_transaction_items: DataFrame, stg_static: DataFrame
     live = stg_transaction_items.groupBy("item_id").agg(F.sum("quantity").alias("__qty"))
     per_name = stg_static.groupBy("item_name").agg(F.sum("quantity").alias("__qty"))
     names = stg_items.select(F.col("item_id"), F.col("name").alias("__name"))
-    static = per_name.join(names, per_name["item_name"] == names["__name"], "left") \
+    # Inner join with the item rows streaming past the per-name totals (one row per name,
+    # broadcast by AQE once measured): a name with billions of item rows is no hot task.
+    matched = names.join(per_name, names["__name"] == per_name["item_name"], "inner") \
         .select("item_id", "__qty")
-    return live.unionByName(static).groupBy("item_id").agg(F.sum("__qty").alias("__qty"))
+    # Names with no item row keep their quantity under a NULL id, as the left join does.
+    known = stg_items.select(F.col("name").alias("__name")).distinct()
+    unmatched = per_name.join(known, per_name["item_name"] == known["__name"], "left_anti") \
+        .select(F.lit(None).cast("bigint").alias("item_id"), "__qty")
+    return (live.unionByName(matched).unionByName(unmatched)
+            .groupBy("item_id").agg(F.sum("__qty").alias("__qty")))
 
 
 def item_quantity_from_models(stg_transaction_items: DataFrame, stg_static: DataFrame,

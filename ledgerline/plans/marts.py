@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas as S
 from ledgerline.functions.scalar import to_ts
 from ledgerline.operators.incremental import newer_than
+from ledgerline.operators.joins import ROWS_PER_TASK, fanout_left_join
 from ledgerline.operators.latest import latest_by
 
 TI_COLUMNS = S.DIM_TRANSACTION_ITEMS.fieldNames()
@@ -28,7 +29,7 @@ def dim_payment_methods(stg_payment_methods: DataFrame) -> DataFrame:
 
 
 def static_items(stg_static: DataFrame, stg_items: DataFrame,
-                 dedupe: str | None = None) -> DataFrame:
+                 dedupe: str | None = None, rows_per_task: int | None = None) -> DataFrame:
     """Static sales as transaction items, item id looked up by NAME.
 
     Item names are not unique, so by default (as in the source model) a sale fans out
@@ -36,9 +37,9 @@ def static_items(stg_static: DataFrame, stg_items: DataFrame,
     name instead (ties broken by the larger item_id).
 
     Plan: an equi-join on the name.  The planner broadcasts the item side when its size
-    is known to be small and shuffles both sides otherwise; with AQE on, a name that
-    holds a large share of the sales is split over several tasks on the sales side
-    (left outer joins can split their left side).
+    is known to be small and shuffles both sides otherwise.  A name with a large share of
+    the sales is split by AQE on the sales side; a name with very many item rows is
+    split by ``fanout_left_join`` (AQE cannot split the right side of a left join).
     """
     items = stg_items
     if dedupe == "latest":
@@ -46,7 +47,8 @@ def static_items(stg_static: DataFrame, stg_items: DataFrame,
     elif dedupe is not None:
         raise ValueError(f"unknown dedupe mode {dedupe!r}")
     it = items.select(F.col("item_id").alias("__item_id"), F.col("name").alias("__name"))
-    j = stg_static.join(it, stg_static["item_name"] == it["__name"], "left")
+    j = fanout_left_join(stg_static, it, "item_name", "__name",
+                         rows_per_task or ROWS_PER_TASK)
     return j.select(
         F.col("transaction_id"),
         F.col("__item_id").alias("item_id"),
@@ -58,11 +60,12 @@ def static_items(stg_static: DataFrame, stg_items: DataFrame,
 
 
 def dim_transaction_items(stg_transaction_items: DataFrame, stg_static: DataFrame,
-                          stg_items: DataFrame, dedupe: str | None = None) -> DataFrame:
+                          stg_items: DataFrame, dedupe: str | None = None,
+                          rows_per_task: int | None = None) -> DataFrame:
     """UNION ALL of live items and static sales (U1); the static total lands in
     ``subtotal``.  A union adds no shuffle."""
     live = stg_transaction_items.select(*TI_COLUMNS)
-    return live.unionByName(static_items(stg_static, stg_items, dedupe))
+    return live.unionByName(static_items(stg_static, stg_items, dedupe, rows_per_task))
 
 
 def live_facts(stg_transactions: DataFrame, dim_payment_methods: DataFrame,

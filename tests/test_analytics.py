@@ -51,3 +51,28 @@ def test_lookup_found_and_missing(spark):
     found, missing = an.get_transactions(tx, ids)
     assert [r.transaction_id for r in found.collect()] == ["a"]
     assert [r.transaction_id for r in missing.collect()] == ["z"]
+
+
+def test_fanout_join_splits_hot_keys_exactly(spark):
+    from ledgerline.operators.joins import fanout_left_join
+    left = spark.createDataFrame([(i, k) for i, k in enumerate("aaaabbcx")], "lid int, k string")
+    right = spark.createDataFrame([(j, "a") for j in range(7)] + [(10, "b"), (11, "c"), (12, None)],
+                                  "rid int, rk string")
+    want = sorted(left.join(right, left.k == right.rk, "left").collect(), key=repr)
+    for rows_per_task in (1, 2, 3, 100):   # 'a' split in 7, 4, 3 buckets, then not at all
+        got = fanout_left_join(left, right, "k", "rk", rows_per_task)
+        assert sorted(got.collect(), key=repr) == want
+        assert got.columns == ["lid", "k", "rid", "rk"]
+
+
+def test_static_items_with_tiny_task_budget_matches(spark):
+    items = spark.createDataFrame(
+        [(i + 1, n, None, 1.0, TS, TS) for i, n in enumerate(["Coffee"] * 5 + ["Tea"] * 2)], S.ITEMS)
+    ti = spark.createDataFrame([], S.TRANSACTION_ITEMS)
+    st_ = spark.createDataFrame(
+        [(f"s{i}", n, 1, 1.0, 1.0, "In-store", "Cash", dt.date(2024, 1, 1))
+         for i, n in enumerate(["Coffee", "Coffee", "Tea", "Nope"])], S.STG_TRANSACTIONS_STATIC)
+    a = dim_transaction_items(ti, st_, items, rows_per_task=1)
+    b = dim_transaction_items(ti, st_, items)
+    assert a.count() == 2 * 5 + 2 + 1
+    assert sorted(a.collect(), key=repr) == sorted(b.collect(), key=repr)
