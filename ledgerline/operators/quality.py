@@ -12,7 +12,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.scalar import all_of, messages
+from ledgerline.functions.scalar import all_of, any_of, messages
 
 # fixed values: the dirty file marks missing data with these exact, case-sensitive words
 SENTINELS = ("ERROR", "UNKNOWN")
@@ -43,9 +43,10 @@ def validate(df: DataFrame, rules: Sequence[tuple[Column, str]],
     column plus ``message_col``.  Both outputs come from one projection of the input, so
     good + rejected = input, row for row.
     """
-    tagged = df.withColumn(message_col, messages(*rules))
-    good = tagged.where(F.col(message_col).isNull()).drop(message_col)
-    rejected = tagged.where(F.col(message_col).isNotNull())
+    failed = any_of(F.coalesce(cond, F.lit(False)) for cond, _ in rules)
+    # The good side tests the conditions only; messages are built for rejected rows.
+    good = df.where(~failed)
+    rejected = df.where(failed).withColumn(message_col, messages(*rules))
     return good, rejected
 
 

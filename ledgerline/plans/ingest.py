@@ -22,9 +22,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.scalar import (email_local_part, is_blank, messages, short_id,
+from ledgerline.functions.scalar import (email_local_part, is_blank, short_id,
                                          strip, strip_lower)
 from ledgerline.operators.latest import latest_by
+from ledgerline.operators.quality import validate
 
 # fixed values: accepted locations and field length limits of the request model
 LOCATIONS = ("In-store", "Takeaway")
@@ -128,9 +129,7 @@ def validate_requests(headers: DataFrame, lines: DataFrame, items: DataFrame,
     priced = price_lines(lines, items)
     summary = line_summary(priced, id_col)
     h = lookup_payment(normalise_headers(headers), payment_methods).join(summary, id_col, "left")
-    tagged = h.withColumn("error_message", messages(*request_rules()))
-    good = tagged.where(F.col("error_message").isNull()).drop("error_message")
-    rejected = tagged.where(F.col("error_message").isNotNull())
+    good, rejected = validate(h, request_rules())
     good_lines = priced.join(good.select(id_col), id_col, "left_semi")
     return good, good_lines, rejected
 
