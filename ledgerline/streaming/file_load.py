@@ -12,27 +12,46 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.incremental import incremental_load
+from ledgerline.operators.incremental import high_water_value, incremental_load
 from ledgerline.sinks.files import path_exists
 
 
 def stream_load(spark: SparkSession, src_dir: str, target_path: str, checkpoint: str,
                 schema: T.StructType, cursor: str, keys: Sequence[str],
                 max_files_per_trigger: int | None = None) -> int:
-    """Run the stream until caught up; returns the number of micro-batches."""
+    """Run the stream until caught up; returns the number of micro-batches.
+
+    The cursor mark is read from the target once when the stream starts, then advanced
+    from each batch's own max cursor, observed while the batch is written (no second
+    scan, and no scan of the growing target per batch).  After a restart it is read from
+    the target again, which also covers a batch that was written but not yet committed
+    to the stream checkpoint: its rows are at or below the mark and are not loaded twice.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(src_dir)
+    state = {"mark": None, "started": path_exists(spark, target_path)}
+    if state["started"]:
+        state["mark"] = high_water_value(spark.read.parquet(target_path), cursor)
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = batch.dropDuplicates(list(keys) + [cursor])
-        if path_exists(spark, target_path):
-            rows = incremental_load(rows, spark.read.parquet(target_path), cursor, keys)
-        rows.write.mode("append").parquet(target_path)
+        if state["started"] and state["mark"] is not None:
+            rows = incremental_load(rows, spark.read.parquet(target_path), cursor, keys,
+                                    mark=state["mark"])
+        elif not state["started"]:
+            rows = rows.where(F.col(cursor).isNotNull())
+        obs = Observation(f"stream_load_{epoch_id}")
+        rows.observe(obs, F.max(cursor).alias("mark")).write.mode("append").parquet(target_path)
+        new = obs.get.get("mark")
+        if new is not None and (state["mark"] is None or new > state["mark"]):
+            state["mark"] = new
+        state["started"] = True
 
     q = (stream.writeStream.foreachBatch(load_batch)
          .option("checkpointLocation", checkpoint)
