@@ -50,9 +50,15 @@ def month_start(x) -> Column:
 
 # --- text (X6, X7, X8, X10, X12) -------------------------------------------------------
 
+# fixed values: the whitespace characters stripped from text fields
+WHITESPACE = " \t\n\u000b\f\r"
+
+
 def strip(x) -> Column:
-    """Remove leading and trailing whitespace of any kind (Spark's trim takes spaces only)."""
-    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+    """Remove leading and trailing whitespace (space, tab, newline, vertical tab, form
+    feed, carriage return); Spark's one-argument trim takes spaces only.  A character-set
+    trim, not a regular expression."""
+    return F.btrim(_c(x), F.lit(WHITESPACE))
 
 
 def strip_lower(x) -> Column:

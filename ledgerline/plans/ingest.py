@@ -7,12 +7,13 @@ whole batch is one set of DataFrame jobs:
    are exploded (a narrow step), so no step ever gathers a request's items together;
 2. normalise email and item names, look up the payment method (exact name) and the
    latest item row per name (J5, J6);
-3. line problems are rolled up per request with a grouped aggregate (partial aggregation,
-   so a request with millions of lines is still pre-reduced in every task);
+3. line problems and the line total are rolled up per request with a grouped aggregate
+   (partial aggregation, so a request with millions of lines is still pre-reduced in
+   every task);
 4. one message column per request decides good or rejected (R0–R9); a request with any
    bad line is rejected whole (R15) by a semi join of its lines on the good requests;
-5. good lines are priced (subtotal = latest price × quantity) and summed per request for
-   the total (A8); new customers are the distinct unknown emails of good requests (J4).
+5. good lines are priced (subtotal = latest price × quantity); a good request's total is
+   the rolled-up sum of its lines (A8); new customers are the distinct unknown emails of good requests (J4).
 """
 
 from __future__ import annotations
@@ -84,17 +85,23 @@ def price_lines(lines: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def line_summary(priced: DataFrame, id_col: str = "request_id") -> DataFrame:
-    """Per request: line count, names, distinct names, and any bad line.
+    """Per request: line count, names, distinct names, any bad line, and the sum of the
+    line amounts.
 
     Two grouped aggregates, both partially aggregated before their shuffle: per (request,
     name), then per request.  This gives count(DISTINCT name) without the row-doubling
-    Expand that Spark plans for a distinct aggregate next to other aggregates.
+    Expand that Spark plans for a distinct aggregate next to other aggregates.  Every
+    line of a good request is good, so ``lines_total`` is a good request's total and the
+    lines need no second pass.  It is summed as decimal, exact whatever the grouping or
+    the order rows arrive in, so a retried task gives the same value.
     """
+    amount = (F.col("unit_price") * F.col("quantity")).cast("decimal(38,9)")
     per_name = priced.groupBy(id_col, "name_norm").agg(
         F.count(F.lit(1)).alias("__n"),
         F.max(F.col("bad_name").cast("int")).alias("__bad_name"),
         F.max(F.col("bad_qty").cast("int")).alias("__bad_qty"),
-        F.max(F.col("no_item").cast("int")).alias("__no_item"))
+        F.max(F.col("no_item").cast("int")).alias("__no_item"),
+        F.sum(amount).alias("__amount"))
     named = F.col("name_norm").isNotNull()
     return per_name.groupBy(id_col).agg(
         F.sum("__n").alias("n_lines"),
@@ -103,6 +110,7 @@ def line_summary(priced: DataFrame, id_col: str = "request_id") -> DataFrame:
         F.max("__bad_name").alias("any_bad_name"),
         F.max("__bad_qty").alias("any_bad_qty"),
         F.max("__no_item").alias("any_no_item"),
+        F.sum("__amount").alias("lines_total"),
     )
 
 
@@ -137,7 +145,8 @@ def lookup_payment(headers: DataFrame, payment_methods: DataFrame) -> DataFrame:
 def validate_requests(headers: DataFrame, lines: DataFrame, items: DataFrame,
                       payment_methods: DataFrame, id_col: str = "request_id",
                       persist: bool = False):
-    """Return (good headers, good priced lines, rejected headers with ``error_message``).
+    """Return (good headers, good priced lines with the request's ``created_at``, rejected
+    headers with ``error_message``).
 
     With ``persist`` the two shared parents (headers with their lookups and line
     roll-up, and the priced lines) are kept in executor storage, so the outputs derived
@@ -152,7 +161,8 @@ def validate_requests(headers: DataFrame, lines: DataFrame, items: DataFrame,
         h, priced = [d.persist(StorageLevel.MEMORY_AND_DISK) for d in (h, priced)]
         cached = [h, priced]
     good, rejected = validate(h, request_rules())
-    good_lines = priced.join(good.select(id_col), id_col, "left_semi")
+    # One inner join keeps the lines of good requests and brings the request's time.
+    good_lines = priced.join(good.select(id_col, "created_at"), id_col)
     if persist:
         return good, good_lines, rejected, cached
     return good, good_lines, rejected
@@ -200,17 +210,14 @@ def ingest_transactions(headers: DataFrame, lines: DataFrame, customers: DataFra
     known = customers.groupBy(F.col("email").alias("__e")).agg(F.min("customer_id").alias("__cid"))
     g = good.join(known, good["email_norm"] == known["__e"], "left") \
         .withColumn("__cid", F.coalesce(F.col("__cid"), email_customer_id(F.col("email_norm"))))
-    items_out = good_lines.join(good.select(id_col, "created_at"), id_col).select(
+    items_out = good_lines.select(
         tid.alias("transaction_id"), "item_id", "quantity", "unit_price",
         (F.col("unit_price") * F.col("quantity")).alias("subtotal"), "created_at")
-    # Sum as decimal, then back to double: the total no longer depends on the order in
-    # which lines reach the aggregate, so a retried task gives the same value.
-    totals = good_lines.groupBy(id_col).agg(
-        F.sum((F.col("unit_price") * F.col("quantity")).cast("decimal(38,9)"))
-        .cast("double").alias("total_spent"))
-    transactions = g.join(totals, id_col, "left").select(
+    # The total comes with the validated request (exact decimal sum of its lines).
+    transactions = g.select(
         tid.alias("transaction_id"), F.col("__cid").alias("customer_id"), "payment_method_id",
-        "location", "total_spent", F.lit("completed").alias("status"),
+        "location", F.col("lines_total").cast("double").alias("total_spent"),
+        F.lit("completed").alias("status"),
         "created_at", "updated_at")
     errors = rejected.select(
         tid.alias("transaction_id"), "customer_email", "payment_method", "location",
