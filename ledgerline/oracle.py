@@ -59,7 +59,7 @@ VIEWS = {
                     else 'Digital Wallet' end as "Payment Method",
                case when event_id % 43 = 0 then 'UNKNOWN'
                     else cast(cast(ts as date) as varchar) end as "Transaction Date"
-        from events join part on p_partkey = event_id % (select count(*) from part)""",
+        from events left join part on p_partkey = event_id % (select count(*) from part)""",
     "stg_customers": "select distinct customer_id, name, email, created_at, updated_at from f_customers",
     "stg_items": """select distinct item_id, name, description, unit_price, created_at, updated_at
                     from f_items""",
