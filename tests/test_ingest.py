@@ -71,3 +71,30 @@ def test_good_plus_rejected_is_input(spark):
     res = ingest_transactions(headers, lines, customers, items, pms)
     assert res.good_requests.count() + res.errors.count() == 30
     assert res.transactions.select("transaction_id").distinct().count() == res.transactions.count()
+
+
+def test_total_is_sum_of_item_subtotals(spark):
+    """The total comes from the per-request roll-up, not from the written item lines; the
+    two must agree, also for a request whose lines are spread over many tasks."""
+    n = 300
+    items = spark.createDataFrame(
+        [(i, f"Item {i}", "", round(0.1 * i + 0.05, 2), TS, TS) for i in range(1, n + 1)],
+        S.ITEMS)
+    _, pms, customers = _refs(spark)
+    reqs = _requests(spark, [
+        R("big", "a.b@x.com", [(f"Item {i}", 1 + i % 4) for i in range(1, n + 1)]),
+        R("small", "c@x.com", [("Item 3", 2), ("Item 7", 5)]),
+    ])
+    headers, lines = flatten_requests(reqs)
+    res = ingest_transactions(headers, lines.repartition(16), customers, items, pms)
+    tx = {r.transaction_id: r.total_spent for r in res.transactions.collect()}
+    sums = {}
+    for r in res.transaction_items.collect():
+        sums[r.transaction_id] = sums.get(r.transaction_id, 0.0) + r.subtotal
+    assert len(tx) == 2 and set(tx) == set(sums)
+    for tid, total in tx.items():
+        assert abs(total - sums[tid]) < 1e-6
+    prices = {i: round(0.1 * i + 0.05, 2) for i in range(1, n + 1)}
+    expected_big = sum(prices[i] * (1 + i % 4) for i in range(1, n + 1))
+    assert any(abs(t - expected_big) < 1e-6 for t in tx.values())
+    assert any(abs(t - (prices[3] * 2 + prices[7] * 5)) < 1e-9 for t in tx.values())
