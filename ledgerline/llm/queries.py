@@ -3,19 +3,35 @@
 from __future__ import annotations
 
 import public_tokenizers
+import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import binary_output, bpe, packing, sharding, tokens
+from ledgerline.llm import binary_output, bpe, classifier, packing, quality, sharding, tokens
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _held_out():
+    """Documents that no label may be learned from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scores = classifier.score_quality(_docs(spark, sf_dir), labels, learn=~_held_out())
+    return scores.select("doc_id", _held_out().alias("held_out"), "score", "predicted")
+
+
 def op2_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.bounded_ring(_docs(spark, sf_dir), shards=24)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(_docs(spark, sf_dir))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
@@ -34,6 +50,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_hash_ring, op5_token_counts, op6_token_output, op7_bpe_automaton, op9_best_fit_packing)
+    for f in (
+        op1_quality_classifier, op2_hash_ring, op4_quality_rules, op5_token_counts, op6_token_output, op7_bpe_automaton,
+        op9_best_fit_packing,
+    )
 }
 ORACLE_SQL: dict[str, str] = {}
