@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.window import Window
@@ -51,7 +52,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
         enc, end, start = encoder(path), np.uint32(end_id).tobytes(), 0
         for batch in batches:
             texts = batch.column(1)
-            for a, b in by_bytes(pa.compute.binary_length(texts).to_pylist(), group_bytes):
+            for a, b in by_bytes(pc.binary_length(texts).to_pylist(), group_bytes):
                 found = [enc.ids(x) + end for x in texts.slice(a, b - a).to_pylist()]
                 sizes = np.fromiter((len(x) // 4 for x in found), np.int64, len(found))
                 ends = np.cumsum(sizes)

@@ -23,6 +23,7 @@ import re
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -163,7 +164,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         tok = tokenizer(path)
         for batch in batches:
             texts = batch.column(1)
-            for a, b in by_bytes(pa.compute.binary_length(texts).to_pylist(), group_bytes):
+            for a, b in by_bytes(pc.binary_length(texts).to_pylist(), group_bytes):
                 n, ids, decoded = [], [], []
                 for text in texts.slice(a, b - a).to_pylist():
                     found = tok.encoded(text)

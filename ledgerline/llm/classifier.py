@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
@@ -53,7 +54,7 @@ def context_sums(docs: DataFrame, text_col: str = "text", group_bytes: int = 4 <
         total = np.zeros(BUCKETS * DIMS)  # whole numbers
         for batch in batches:
             texts = batch.column(0)
-            for a, b in by_bytes(pa.compute.binary_length(texts).to_pylist(), group_bytes):
+            for a, b in by_bytes(pc.binary_length(texts).to_pylist(), group_bytes):
                 words, ends = word_ids(texts.slice(a, b - a))
                 doc = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
                 at, near = [], []
@@ -130,7 +131,7 @@ def pooled(docs: DataFrame, vectors: np.ndarray, id_col: str = "doc_id", text_co
         wide = np.hstack([shared.value, shared.value**2])
         for batch in batches:
             texts = batch.column(1)
-            for a, b in by_bytes(pa.compute.binary_length(texts).to_pylist(), group_bytes):
+            for a, b in by_bytes(pc.binary_length(texts).to_pylist(), group_bytes):
                 found = pool(texts.slice(a, b - a), wide)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array([x.tobytes() for x in found], pa.binary())], names=["doc_id", "vector"]

@@ -16,6 +16,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 from pyspark.sql.window import Window
@@ -163,7 +164,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col:
         enc, end = encoder(path), np.uint32(end_id).tobytes()
         for batch in batches:
             texts = batch.column(1)
-            for a, b in by_bytes(pa.compute.binary_length(texts).to_pylist(), group_bytes):
+            for a, b in by_bytes(pc.binary_length(texts).to_pylist(), group_bytes):
                 row, piece, start, length, crc = [], [], [], [], []
                 for i, x in enumerate(texts.slice(a, b - a).to_pylist()):
                     raw = memoryview(enc.ids(x) + end)

@@ -6,7 +6,7 @@ import public_tokenizers
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import binary_output, bpe, classifier, packing, quality, sharding, tokens
+from ledgerline.llm import binary_output, bpe, classifier, embeddings, jaccard, packing, quality, sharding, tokens
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,15 +44,23 @@ def op7_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.95)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_documents(_docs(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_hash_ring, op4_quality_rules, op5_token_counts, op6_token_output, op7_bpe_automaton,
-        op9_best_fit_packing,
+        op8_near_vectors, op9_best_fit_packing, op10_jaccard_join,
     )
 }
 ORACLE_SQL: dict[str, str] = {}

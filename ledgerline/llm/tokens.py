@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, pre_tokenizers
@@ -206,7 +207,7 @@ def token_counts(
         counter = _counter(path, batch_bytes)
         for batch in batches:
             texts = batch.column(1)
-            sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0)
+            sizes = pc.fill_null(pc.binary_length(texts), 0)
             rows = sizes.to_pylist()
             out: list[int] = []
             for a, b in by_bytes(rows, group_bytes):
