@@ -6,7 +6,7 @@ import public_tokenizers
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import binary_output, bpe, classifier, embeddings, jaccard, packing, quality, sharding, tokens
+from ledgerline.llm import binary_output, bpe, classifier, embeddings, jaccard, packing, quality, sharding, substrings, tokens
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op2_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.bounded_ring(_docs(spark, sf_dir), shards=24)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_docs(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_docs(spark, sf_dir))
 
@@ -59,8 +63,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_classifier, op2_hash_ring, op4_quality_rules, op5_token_counts, op6_token_output, op7_bpe_automaton,
-        op8_near_vectors, op9_best_fit_packing, op10_jaccard_join,
+        op1_quality_classifier, op2_hash_ring, op3_suffix_dedup, op4_quality_rules, op5_token_counts, op6_token_output,
+        op7_bpe_automaton, op8_near_vectors, op9_best_fit_packing, op10_jaccard_join,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
