@@ -50,14 +50,15 @@ def month_start(x) -> Column:
 
 # --- text (X6, X7, X8, X10, X12) -------------------------------------------------------
 
-# fixed values: the whitespace characters stripped from text fields
-WHITESPACE = " \t\n\u000b\f\r"
+# fixed values: the whitespace characters stripped from text fields (Unicode White_Space and
+# the four ASCII separators)
+WHITESPACE = (" \t\n\u000b\f\r\u001c\u001d\u001e\u001f\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004"
+              "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def strip(x) -> Column:
-    """Remove leading and trailing whitespace (space, tab, newline, vertical tab, form
-    feed, carriage return); Spark's one-argument trim takes spaces only.  A character-set
-    trim, not a regular expression."""
+    """Remove leading and trailing Unicode whitespace; Spark's one-argument trim takes
+    spaces only.  A character-set trim, not a regular expression."""
     return F.btrim(_c(x), F.lit(WHITESPACE))
 
 

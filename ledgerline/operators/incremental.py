@@ -49,11 +49,6 @@ def newer_than(df: DataFrame, col: str | Column, mark, inclusive: bool = False)
     return df.where(mark.isNull() | keep)
 
 
-def is_incremental(spark: SparkSession, table: str, full_refresh: bool = False) -> bool:
-    """True when the target exists and no full refresh is asked for (I4)."""
-    return (not full_refresh) and spark.catalog.tableExists(table)
-
-
 def incremental_load(source: DataFrame, target: DataFrame, cursor: str,
                      keys: Sequence[str], mark=None) -> DataFrame:
     """Rows of ``source`` not yet loaded into ``target`` by cursor.
@@ -63,7 +58,7 @@ def incremental_load(source: DataFrame, target: DataFrame, cursor: str,
     lost nor loaded twice.  The mark is read as a value, so both filters (new rows of the
     source, boundary rows of the target) are literals pushed into the scans; only the
     target's rows on the mark take part in the anti join.  Rows with a NULL cursor cannot
-    be placed and are left out; route them to quarantine with ``null_cursor_rows``.
+    be placed: split them off with ``null_cursor_rows`` and write them to quarantine first.
     """
     if mark is None:
         mark = high_water_value(target, cursor)
@@ -74,12 +69,33 @@ def incremental_load(source: DataFrame, target: DataFrame, cursor: str,
     cand = cand.where(F.col(cursor) >= m)
     at_mark = target.where(F.col(cursor) == m).select(
         *[F.col(k).alias(f"__b{i}") for i, k in enumerate(keys)]).distinct()
-    cond = all_of(cand[k] == at_mark[f"__b{i}"] for i, k in enumerate(keys))
+    cond = all_of(cand[k].eqNullSafe(at_mark[f"__b{i}"]) for i, k in enumerate(keys))
     return cand.join(at_mark, cond, "left_anti")
 
 
-def null_cursor_rows(source: DataFrame, cursor: str) -> DataFrame:
-    return source.where(F.col(cursor).isNull())
+def null_cursor_rows(source: DataFrame, cursor: str, keys: Sequence[str], table: str,
+                     parsed: Column | None = None) -> DataFrame:
+    """Rows that a cursor load cannot place, in the shape of the load quarantine: table_name,
+    row_key, error_message, payload (the whole row as JSON).  ``parsed`` is the cursor's value
+    where it is kept as text."""
+    rows = source.where((F.col(cursor) if parsed is None else parsed).isNull())
+    key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    return rows.select(F.lit(table).alias("table_name"), key.alias("row_key"),
+                       F.lit(f"{cursor} is missing or no {'value' if parsed is None else 'date'}")
+                       .alias("error_message"),
+                       F.to_json(F.struct(*rows.columns)).alias("payload"))
+
+
+def quarantine_new(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Append the rows that the quarantine table at ``path`` doesn't have yet: a snapshot sends
+    them again every hour."""
+    from ledgerline.sinks.files import path_exists
+    rows = rows.distinct()
+    if path_exists(spark, path):
+        old = spark.read.parquet(path)
+        rows = rows.join(old.select(*rows.columns), rows.columns, "left_anti")
+    if not rows.isEmpty():
+        rows.write.mode("append").parquet(path)
 
 
 def cursor_state(targets: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -37,6 +37,10 @@ from ledgerline.operators.quality import check_unique
 from ledgerline.sinks.files import path_exists, remove_partitions, staged_rows
 
 
+# More folders than this in one increment mean that the column is no partition column.
+MAX_PARTITIONS = 100_000
+
+
 class DuplicateKeys(ValueError):
     """The source holds more than one row for a key."""
 
@@ -47,11 +51,13 @@ class MergeResult:
     removed_partitions: list
 
 
-def _unchanged(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Source rows with no identical target row (NULL-safe on every column)."""
+def _unchanged(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Source rows with no identical target row (NULL-safe on every other column).  A row
+    without a key is always new: NULL keys never match."""
     cols = source.columns
-    t = target.select(*[F.col(c).alias(f"__t_{c}") for c in cols])
-    cond = all_of(source[c].eqNullSafe(t[f"__t_{c}"]) for c in cols)
+    t = target.where(F.col(key).isNotNull()).select(*[F.col(c).alias(f"__t_{c}") for c in cols])
+    cond = all_of((source[c] == t[f"__t_{c}"]) if c == key
+                  else source[c].eqNullSafe(t[f"__t_{c}"]) for c in cols)
     return source.join(t, cond, "left_anti")
 
 
@@ -66,8 +72,12 @@ def _in_parts(df: DataFrame, col: str, values) -> DataFrame:
 
 def _distinct_values(df: DataFrame, col: str) -> set:
     # The distinct partition values of a merge: dates touched by one increment, a short
-    # list however many rows the increment has.
-    return {r[0] for r in df.select(col).distinct().collect()}
+    # list however many rows the increment has.  Each is a folder of the table, so a column
+    # with more values than a table may have folders is refused, not collected.
+    values = df.select(col).distinct().limit(MAX_PARTITIONS + 1).collect()
+    if len(values) > MAX_PARTITIONS:
+        raise ValueError(f"{col} has more than {MAX_PARTITIONS} values: not a partition column")
+    return {r[0] for r in values}
 
 
 def merge_upsert(spark: SparkSession, target_path: str, source: DataFrame, key: str,
@@ -104,7 +114,7 @@ def merge_upsert(spark: SparkSession, target_path: str, source: DataFrame, key:
             _raise_on_duplicates(staged, key)
         src_parts = _distinct_values(staged, partition_col)
         if skip_unchanged:
-            with staged_rows(spark, _unchanged(staged, _in_parts(target, partition_col, src_parts)),
+            with staged_rows(spark, _unchanged(staged, _in_parts(target, partition_col, src_parts), key),
                              "merge-changed") as changed:
                 return _merge_staged(spark, target_path, target, changed, key, partition_col,
                                      keys_may_move)
@@ -114,6 +124,8 @@ def merge_upsert(spark: SparkSession, target_path: str, source: DataFrame, key:
 
 def _merge_staged(spark, target_path, target, source, key, partition_col, keys_may_move):
     src_parts = _distinct_values(source, partition_col)
+    if not src_parts:  # nothing to merge: no scan of the target's keys
+        return MergeResult(touched_partitions=0, removed_partitions=[])
     keys = source.where(F.col(key).isNotNull()).select(key).distinct()
     hit = set(src_parts)
     if keys_may_move:
@@ -135,6 +147,16 @@ def _merge_staged(spark, target_path, target, source, key, partition_col, keys_m
     return MergeResult(touched_partitions=len(hit), removed_partitions=removed)
 
 
+def replace_table(spark: SparkSession, path: str, source: DataFrame, key: str,
+                  partition_col: str) -> None:
+    """Build the partitioned table anew from ``source`` (full refresh): partitions that the
+    source no longer has go too.  The source is written aside first, so it may read the table."""
+    with staged_rows(spark, source, "refresh") as staged:
+        _raise_on_duplicates(staged, key)
+        (_by_partition(staged, partition_col).write.mode("overwrite")
+            .option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(path))
+
+
 def _write_partitions(df: DataFrame, partition_col: str, path: str) -> None:
     """Dynamic partition overwrite: only partitions that receive rows are replaced, in one
     job commit; a failed or retried task leaves the table as it was."""
@@ -155,12 +177,3 @@ def _raise_on_duplicates(source: DataFrame, key: str) -> None:
     if not dups.isEmpty():
         sample = [r[0] for r in dups.limit(5).collect()]
         raise DuplicateKeys(f"source has repeated {key} values, e.g. {sample}")
-
-
-def merge_frames(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """The merged rows as a DataFrame, without writing: target rows whose key is not in
-    the source, plus the source (J7).  For catalogs without row-level MERGE."""
-    keys = source.where(F.col(key).isNotNull()).select(key).distinct()
-    kept = (target.where(F.col(key).isNotNull()).join(keys, key, "left_anti")
-            .unionByName(target.where(F.col(key).isNull())))
-    return kept.unionByName(source.select(*target.columns))

@@ -7,6 +7,7 @@ a message or NULL, the messages of a row are joined, and the row goes to ``good`
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -82,3 +83,18 @@ def subtotal_mismatch(quantity: str = "quantity", unit_price: str = "unit_price"
 
 def check_subtotal(df: DataFrame, **names) -> DataFrame:
     return df.where(subtotal_mismatch(**names))
+
+
+def integrity_report(unique: Sequence[tuple[str, DataFrame, Sequence[str]]],
+                     foreign: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """One row per rule with the number of violations: repeated keys for a unique rule (NULL
+    keys don't count), rows without a parent for a reference (R12, R13)."""
+    parts = []
+    for name, df, keys in unique:
+        known = df.where(all_of(F.col(k).isNotNull() for k in keys))
+        parts.append(check_unique(known, keys).agg(F.count(F.lit(1)).alias("violations"))
+                     .select(F.lit(name).alias("rule"), "violations"))
+    for name, child, key, parent, parent_key in foreign:
+        parts.append(check_fk(child, parent, [key], [parent_key]).agg(F.count(F.lit(1)).alias("violations"))
+                     .select(F.lit(name).alias("rule"), "violations"))
+    return reduce(DataFrame.unionByName, parts)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 VIEWS = {
     "f_items": """
-        select p_partkey as item_id, p_name as name, p_type as description,
+        select p_partkey as item_id, concat(p_name, ' ', cast(p_partkey // 4 as varchar)) as name, p_type as description,
                p_retailprice as unit_price,
                cast(date '2024-01-01' as timestamp) as created_at,
                cast(date '2024-01-01' + p_size as timestamp) as updated_at
@@ -21,13 +21,13 @@ VIEWS = {
                cast(date '2024-01-01' + c_nationkey as timestamp) as updated_at
         from customer""",
     "f_payment_methods": """
-        select distinct cast(substr(o_orderpriority, 1, 1) as bigint) as payment_method_id,
+        select distinct cast(split_part(o_orderpriority, '-', 1) as bigint) as payment_method_id,
                substr(o_orderpriority, 3) as name, true as is_active,
                cast(date '2024-01-01' as timestamp) as created_at
         from orders""",
     "f_transactions": """
         select cast(o_orderkey as varchar) as transaction_id, o_custkey as customer_id,
-               cast(substr(o_orderpriority, 1, 1) as bigint) as payment_method_id,
+               cast(split_part(o_orderpriority, '-', 1) as bigint) as payment_method_id,
                case when o_orderkey % 2 = 0 then 'In-store' else 'Takeaway' end as location,
                o_totalprice as total_spent,
                case o_orderstatus when 'F' then 'completed' when 'O' then 'pending'
@@ -45,19 +45,22 @@ VIEWS = {
         select case when event_id % 97 = 0 then null
                     else concat('TXN_', cast(event_id as varchar)) end as "Transaction ID",
                case when event_id % 11 = 0 then 'ERROR' when event_id % 13 = 0 then 'UNKNOWN'
-                    when event_id % 17 = 0 then null else p_name end as "Item",
+                    when event_id % 17 = 0 then null
+                    when event_id % 59 = 0 then 'a "hot" tea,' || chr(10) || 'big'
+                    else concat(p_name, ' ', cast(p_partkey // 4 as varchar)) end as "Item",
                case when event_id % 19 = 0 then 'ERROR' when event_id % 23 = 0 then 'UNKNOWN'
+                    when event_id % 47 = 0 then 'two'
                     else cast(1 + event_id % 5 as varchar) end as "Quantity",
                case when event_id % 29 = 0 then 'ERROR'
                     else cast(p_retailprice as varchar) end as "Price Per Unit",
-               case when event_id % 31 = 0 then 'UNKNOWN'
+               case when event_id % 31 = 0 then 'UNKNOWN' when event_id % 53 = 0 then 'n/a'
                     else cast(value as varchar) end as "Total Spent",
                case when event_id % 37 = 0 then null when event_id % 2 = 0 then 'In-store'
                     else 'Takeaway' end as "Location",
                case when event_id % 41 = 0 then 'ERROR' when user_id % 3 = 0 then 'Cash'
                     when user_id % 3 = 1 then 'Credit Card'
                     else 'Digital Wallet' end as "Payment Method",
-               case when event_id % 43 = 0 then 'UNKNOWN'
+               case when event_id % 43 = 0 then 'UNKNOWN' when event_id % 61 = 0 then '2024-13-45'
                     else cast(cast(ts as date) as varchar) end as "Transaction Date"
         from events left join part on p_partkey = event_id % (select count(*) from part)""",
     "stg_customers": "select distinct customer_id, name, email, created_at, updated_at from f_customers",
@@ -135,8 +138,8 @@ VIEWS = {
         select cast(l_orderkey as varchar) as request_id, l_linenumber as line_no,
                case when l_orderkey % 67 = 0 and l_linenumber = 1 then 'Unknown Gadget'
                     when l_orderkey % 71 = 0 and l_linenumber = 1 then '  '
-                    when l_orderkey % 7 = 1 then concat(' ', p_name, ' ')
-                    else p_name end as item_name,
+                    when l_orderkey % 7 = 1 then concat(' ', p_name, ' ', cast(p_partkey // 4 as varchar), ' ')
+                    else concat(p_name, ' ', cast(p_partkey // 4 as varchar)) end as item_name,
                case when l_orderkey % 61 = 0 and l_linenumber = 1 then cast(0 as bigint)
                     else cast(l_quantity as bigint) end as quantity
         from lineitem left join part on l_partkey = p_partkey""",
@@ -194,8 +197,9 @@ VIEWS = {
     "req_good": "select * from req_msg where error_message is null",
     "new_cust": """
         select ('0x' || substr(md5(email), 1, 15))::bigint as customer_id,
-               split_part(email, '@', 1) as name, email
-        from (select distinct email_norm as email from req_good) e
+               split_part(email, '@', 1) as name, email, first_at as created_at,
+               first_at as updated_at
+        from (select email_norm as email, min(created_at) as first_at from req_good group by 1) e
         where email not in (select email from f_customers where email is not null)""",
     "static_checked": """
           select "Transaction ID" as transaction_id, "Item" as item, "Quantity" as quantity,
@@ -303,7 +307,9 @@ QUERIES.update({
         union all select 'transactions', 'updated_at',
                strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') from f_transactions
         union all select 'transaction_items', 'created_at',
-               strftime(max(created_at), '%Y-%m-%d %H:%M:%S') from f_transaction_items""",
+               strftime(max(created_at), '%Y-%m-%d %H:%M:%S') from f_transaction_items
+        union all select 'transactions_static', 'transaction_date',
+               strftime(max(try_cast("Transaction Date" as date)), '%Y-%m-%d') from f_sales_dirty""",
     "incremental_load": """
         with tgt as (select * from f_transactions
                      where updated_at < timestamp '1998-06-01'
@@ -319,8 +325,7 @@ QUERIES.update({
              src as (select transaction_id, customer_id, payment_method_name, location,
                             total_spent + 1.0 as total_spent, created_at, updated_at,
                             transaction_date
-                     from fct where transaction_date >= date '1997-12-01'
-                                and transaction_date < date '1998-03-01'),
+                     from fct where transaction_date >= date '1997-12-01'),
              u as (select *, 1 as prio from src union all select *, 2 as prio from tgt)
         select transaction_id, customer_id, payment_method_name, location, total_spent,
                created_at, updated_at, transaction_date
@@ -331,8 +336,7 @@ QUERIES.update({
              src as (select transaction_id, customer_id, payment_method_name, location,
                             total_spent, created_at, updated_at,
                             transaction_date + 40 as transaction_date
-                     from fct where transaction_date >= date '1997-12-01'
-                                and transaction_date < date '1998-01-01'),
+                     from fct where transaction_date >= date '1997-12-01'),
              u as (select *, 1 as prio from src union all select *, 2 as prio from tgt)
         select transaction_id, customer_id, payment_method_name, location, total_spent,
                created_at, updated_at, transaction_date
@@ -427,5 +431,132 @@ QUERIES.update({
 })
 
 
+QUERIES.update({
+    # --- faults mended: merges, replaces, quarantines, keys ---
+    "merge_null_keys": """
+        with d as (select case when cast(transaction_id as bigint) % 13 != 0 then transaction_id end as k,
+                          location, total_spent, strftime(created_at, '%Y:%m') as month
+                   from f_transactions)
+        select * from d union all select * from d where k is null and month like '1997:%'""",
+    "merge_text_partition": """
+        select transaction_id as k, location, total_spent,
+               case when year(created_at) = 1997 then 'moved: a/b=c'
+                    else strftime(created_at, '%Y:%m') end as month
+        from f_transactions where cast(transaction_id as bigint) % 13 != 0""",
+    "replace_partitioned": """
+        select case when cast(transaction_id as bigint) % 13 != 0 then transaction_id end as k,
+               location, total_spent, strftime(created_at, '%Y:%m') as month
+        from f_transactions where created_at >= timestamp '1997-12-01'""",
+    "full_refresh": "select * from stg_static where transaction_date > date '2024-01-15'",
+    "cursor_quarantine": """
+        select distinct * from (
+          select 'transactions' as table_name, transaction_id as row_key,
+                 'updated_at is missing or no value' as error_message
+          from f_transactions where cast(transaction_id as bigint) % 23 = 0
+          union all
+          select 'transactions_static', coalesce("Transaction ID", ''),
+                 'transaction_date is missing or no date'
+          from (select distinct * from f_sales_dirty)
+          where try_cast("Transaction Date" as date) is null and "Transaction ID" is not null)
+        union all
+        select 'transactions_static', '', 'transaction_date is missing or no date'
+        from (select distinct * from f_sales_dirty
+              where try_cast("Transaction Date" as date) is null and "Transaction ID" is null)""",
+    "fanout_hot_key": """
+        select s.transaction_id, i.item_id, count(*) as n, cast(sum(s.quantity) as bigint) as quantity
+        from stg_static s left join (select cast(7 as bigint) as item_id, split_part(name, ' ', 1) as name
+                                     from stg_items) i on split_part(s.item_name, ' ', 1) = i.name
+        group by 1, 2""",
+    "integrity_report": """
+        with c as (select * from f_customers
+                   where customer_id not in (select c_custkey from customer where c_acctbal < 0)),
+             u as (
+          select 'transactions_static.transaction_id' as rule, count(*) as violations from (
+            select "Transaction ID" from f_sales_dirty where "Transaction ID" is not null group by 1 having count(*) > 1)
+          union all select 'items.item_id', count(*) from (select item_id from f_items group by 1 having count(*) > 1)
+          union all select 'customers.customer_id', count(*) from (select customer_id from c group by 1 having count(*) > 1)
+          union all select 'customers.email', count(*) from (select email from c group by 1 having count(*) > 1)
+          union all select 'payment_methods.payment_method_id', count(*) from (
+            select payment_method_id from f_payment_methods group by 1 having count(*) > 1)
+          union all select 'payment_methods.name', count(*) from (select name from f_payment_methods group by 1 having count(*) > 1)
+          union all select 'transactions.transaction_id', count(*) from (select transaction_id from f_transactions group by 1 having count(*) > 1)
+          union all select 'transaction_items.transaction_id, item_id', count(*) from (
+            select transaction_id, item_id from f_transaction_items group by 1, 2 having count(*) > 1)
+          union all select 'transactions.customer_id', count(*) from f_transactions
+            where customer_id is not null and customer_id not in (select customer_id from c)
+          union all select 'transactions.payment_method_id', count(*) from f_transactions
+            where payment_method_id not in (select payment_method_id from f_payment_methods)
+          union all select 'transaction_items.transaction_id', count(*) from f_transaction_items
+            where transaction_id not in (select transaction_id from f_transactions)
+          union all select 'transaction_items.item_id', count(*) from f_transaction_items
+            where item_id not in (select item_id from f_items))
+        select * from u""",
+    "static_quarantine": """
+        select c."Transaction ID" as transaction_id, c."Item" as item, c."Quantity" as quantity,
+               c."Price Per Unit" as price_per_unit, c."Total Spent" as total_spent,
+               c."Payment Method" as payment_method, c."Location" as location,
+               c."Transaction Date" as transaction_date,
+               concat_ws('; ',
+                 case when try_cast("Quantity" as bigint) is null then 'Quantity is not an integer' end,
+                 case when try_cast("Price Per Unit" as double) is null then 'Price Per Unit is not a number' end,
+                 case when try_cast("Total Spent" as double) is null then 'Total Spent is not a number' end,
+                 case when try_cast("Transaction Date" as date) is null then 'Transaction Date is not a date' end
+               ) as error_message
+        from sales_complete c
+        where try_cast("Quantity" as bigint) is null or try_cast("Price Per Unit" as double) is null
+           or try_cast("Total Spent" as double) is null or try_cast("Transaction Date" as date) is null""",
+    "static_accounting": """
+        with t as (select (select count(*) from f_sales_dirty) as n, (select count(*) from sales_complete) as c,
+                          (select count(*) from sales_typed where quantity is not null and unit_price is not null
+                             and total_spent is not null and transaction_date is not null) as g)
+        select 'incomplete' as fate, n - c as row_count from t
+        union all select 'rejected', c - g from t union all select 'good', g from t""",
+    "import_errors": """
+        select * from static_checked where error_message is not null
+        union all
+        select null, null, null, null, null, null, null, null,
+               'Malformed row: BAD_' || event_id || ',tea,1,2.0,2.0,In-store,Cash,2024-01-01,extra'
+        from events where event_id % 101 = 0""",
+    "import_error_ids": """
+        with n as (select (select count(*) from static_checked where error_message is not null)
+                          + (select count(*) from events where event_id % 101 = 0) as n)
+        select n, n as n_ids from n""",
+    "add_customers": """
+        with b as (select customer_id + 1000000000 as customer_id, name,
+                          case when customer_id % 5 = 0 then email when customer_id % 7 = 0 then 'twice@shop.example'
+                               when customer_id % 11 = 0 then chr(160)
+                               else 'n' || customer_id || '@shop.example' end as email, created_at, updated_at
+                   from f_customers)
+        select b.*, nullif(concat_ws('; ',
+                 case when email = chr(160) then 'Customer email cannot be empty' end,
+                 case when length(name) > 100 then 'Customer name is longer than 100' end,
+                 case when email in (select email from f_customers) then 'Customer email already exists' end,
+                 case when count(*) over (partition by email) > 1 then 'Customer email repeated in the batch' end),
+               '') as error_message
+        from b""",
+    "add_payment_methods": """
+        with b as (select p_partkey + 100 as payment_method_id,
+                          case when p_partkey % 4 = 0 then p_type else p_name || ' ' || p_partkey end as name,
+                          p_partkey % 3 != 0 as is_active, timestamp '2024-02-01' as created_at from part
+                   union all select payment_method_id + 50, name, is_active, created_at from f_payment_methods)
+        select b.*, nullif(concat_ws('; ',
+                 case when length(name) > 50 then 'Payment method is longer than 50' end,
+                 case when name in (select name from f_payment_methods) then 'Payment method already exists' end,
+                 case when count(*) over (partition by name) > 1 then 'Payment method repeated in the batch' end),
+               '') as error_message
+        from b""",
+    "hourly_rows_appended": """
+        select 'items' as table_name, cast(0 as bigint) as rows_appended
+        union all select 'transactions', count(*) from f_transactions where updated_at >= timestamp '1998-01-01'
+        union all select 'transaction_items', count(*) from f_transaction_items where created_at >= timestamp '1998-01-01'
+        union all select 'customers', 0 union all select 'payment_methods', 0
+        union all select 'transactions_static', 0""",
+    "stream_load_rejected": """
+        select transaction_id as row_key from f_transactions where cast(transaction_id as bigint) % 23 = 0""",
+})
+QUERIES["ingest_nested"] = QUERIES["ingest_transactions"]
+QUERIES["stream_load"] = "select * from f_transactions where cast(transaction_id as bigint) % 23 != 0"
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in QUERIES.items()}

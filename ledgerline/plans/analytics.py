@@ -22,9 +22,20 @@ def item_quantity(dim_transaction_items: DataFrame, dim_items: DataFrame) -> Dat
     """
     per_id = (dim_transaction_items.groupBy("item_id")
               .agg(F.sum("quantity").alias("__qty")))
-    items = dim_items.select(F.col("item_id").alias("__id"), F.col("name").alias("item_name"))
+    return _by_name(per_id, dim_items)
+
+
+def _by_name(per_id: DataFrame, dim_items: DataFrame) -> DataFrame:
+    """Quantities per item id -> per item name; ids without an item go under NULL.
+
+    Versions of an item with one name are counted first (partial aggregation), and the
+    quantity is multiplied by their number: an id with a billion versions is one row.
+    """
+    items = (dim_items.groupBy(F.col("item_id").alias("__id"), F.col("name").alias("item_name"))
+             .agg(F.count(F.lit(1)).alias("__n")))
     j = per_id.join(items, per_id["item_id"] == items["__id"], "left")
-    return j.groupBy("item_name").agg(F.sum("__qty").alias("total_quantity"))
+    amount = F.col("__qty") * F.coalesce(F.col("__n"), F.lit(1))
+    return j.groupBy("item_name").agg(F.sum(amount).alias("total_quantity"))
 
 
 def quantity_per_item_id(stg_transaction_items: DataFrame, stg_static: DataFrame,
@@ -57,9 +68,7 @@ def item_quantity_from_models(stg_transaction_items: DataFrame, stg_static: Data
                               stg_items: DataFrame, dim_items: DataFrame) -> DataFrame:
     """``item_quantity`` over the staging models (same result, no fan-out)."""
     per_id = quantity_per_item_id(stg_transaction_items, stg_static, stg_items)
-    items = dim_items.select(F.col("item_id").alias("__id"), F.col("name").alias("item_name"))
-    j = per_id.join(items, per_id["item_id"] == items["__id"], "left")
-    return j.groupBy("item_name").agg(F.sum("__qty").alias("total_quantity"))
+    return _by_name(per_id, dim_items)
 
 
 def with_share(iq: DataFrame) -> DataFrame:
@@ -70,17 +79,6 @@ def with_share(iq: DataFrame) -> DataFrame:
     return iq.withColumn("share", F.col("total_quantity").cast("double") / total)
 
 
-def item_share(dim_transaction_items: DataFrame, dim_items: DataFrame) -> DataFrame:
-    """Item quantity with its share of the total.
-
-    The total is a scalar subquery over the same aggregate, not a window over all rows
-    (which would put every row in one task) and not a cross join.
-    """
-    iq = item_quantity(dim_transaction_items, dim_items)
-    total = iq.select(F.sum("total_quantity").cast("double")).scalar()
-    return iq.withColumn("share", F.col("total_quantity").cast("double") / total)
-
-
 def monthly_sales(fct_transactions: DataFrame) -> DataFrame:
     """Orders and revenue per month, in month order (M11: X4, A2, A3, O1).
 

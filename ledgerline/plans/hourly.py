@@ -2,7 +2,7 @@
 
 * extract: snapshot each OLTP table to the lake as Parquet, replacing the last one (S2);
 * load: append to the raw tables only rows past each table's cursor (I1, I3); the first
-  run loads everything;
+  run loads everything.  On every run rows without a cursor go to the load quarantine;
 * transform: staging models as temporary views (S10); dimensions and transaction items
   rebuilt as tables (S9); the static model and the fact merged incrementally by key into
   date-partitioned tables (S11, S12, I5) with their high-water marks (F2, F3).
@@ -21,9 +21,12 @@ from typing import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.incremental import high_water_value, incremental_load
-from ledgerline.operators.merge import merge_upsert
+from ledgerline.functions.scalar import to_date_safe
+from ledgerline.operators.incremental import (high_water_value, incremental_load, newer_than,
+                                              null_cursor_rows, quarantine_new)
+from ledgerline.operators.merge import merge_upsert, replace_table
 from ledgerline.plans import marts, staging
+from ledgerline.plans.imports import error_rows
 from ledgerline.sinks.files import path_exists
 from ledgerline.sinks.load import snapshot
 
@@ -34,7 +37,14 @@ CURSORS = {
     "transaction_items": ("created_at", ["transaction_id", "item_id"]),
     "customers": ("updated_at", ["customer_id"]),
     "payment_methods": ("created_at", ["payment_method_id"]),
+    "transactions_static": ("transaction_date", ["transaction_id"]),
 }
+# Cursors that the raw table keeps as text: compared as dates, since as text a word such as
+# UNKNOWN would sort above every date and stop the load for good.
+DATE_CURSORS = {"transactions_static"}
+
+
+MONTH = "sale_month"
 
 
 @dataclass
@@ -50,6 +60,9 @@ class Warehouse:
     def model(self, name: str) -> str:
         return f"{self.root}/models/{name}"
 
+    def quarantine(self, name: str) -> str:
+        return f"{self.root}/quarantine/{name}"
+
 
 @dataclass
 class Step:
@@ -71,15 +84,23 @@ def extract(oltp: Mapping[str, DataFrame], wh: Warehouse) -> None:
 
 def load_raw(spark: SparkSession, wh: Warehouse, tables: Sequence[str] = tuple(CURSORS)) -> dict:
     """Append new rows of each lake snapshot to its raw table; returns rows appended.
-    The count is observed during the write itself, with no second scan (S17)."""
+    The count is observed during the write itself, with no second scan (S17).  Rows whose
+    cursor is missing can't be placed, on the first run or later: they go to the load quarantine."""
     out = {}
     for t in tables:
+        cursor, keys = CURSORS[t]
         src = spark.read.parquet(wh.lake(t))
+        parsed = to_date_safe(cursor) if t in DATE_CURSORS else F.col(cursor)
+        quarantine_new(spark, null_cursor_rows(src, cursor, keys, t,
+                                               parsed if t in DATE_CURSORS else None),
+                       wh.quarantine("load"))
+        new = src.withColumn("__cursor", parsed).where(F.col("__cursor").isNotNull())
         if path_exists(spark, wh.raw(t)):
-            cursor, keys = CURSORS[t]
-            src = incremental_load(src, spark.read.parquet(wh.raw(t)), cursor, keys)
+            have = spark.read.parquet(wh.raw(t)).withColumn("__cursor", parsed)
+            new = incremental_load(new, have, "__cursor", keys)
         obs = Observation(f"load_{t}")
-        src.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(wh.raw(t))
+        (new.drop("__cursor").observe(obs, F.count(F.lit(1)).alias("rows"))
+            .write.mode("append").parquet(wh.raw(t)))
         out[t] = obs.get["rows"]
     return out
 
@@ -97,8 +118,17 @@ def live_mark(fct: DataFrame, scope: str = "live"):
 
 def transform(spark: SparkSession, wh: Warehouse, seed: DataFrame,
               exclude_tags: Sequence[str] = (), full_refresh: bool = False,
-              mark_scope: str = "live") -> list[str]:
-    raw = {t: spark.read.parquet(wh.raw(t)) for t in CURSORS}
+              mark_scope: str = "live", by_month: bool = False) -> list[str]:
+    """``by_month`` partitions the static model and the fact by month instead of by day."""
+    raw = {t: spark.read.parquet(wh.raw(t)) for t in staging.STAGING_COLUMNS}
+    part = MONTH if by_month else "transaction_date"
+
+    def parted(df: DataFrame) -> DataFrame:
+        return df.withColumn(MONTH, F.trunc("transaction_date", "MM")) if by_month else df
+
+    def merge(path: str, src: DataFrame, **options) -> None:
+        merge_upsert(spark, path, parted(src), "transaction_id", part, **options)
+
     stg = {
         "stg_customers": staging.stg_customers(raw["customers"]),
         "stg_items": staging.stg_items(raw["items"]),
@@ -121,22 +151,36 @@ def transform(spark: SparkSession, wh: Warehouse, seed: DataFrame,
         return run
 
     def static_model():
-        exists = path_exists(spark, static_path) and not full_refresh
+        error_rows(staging.rejected_static(seed)).write.mode("overwrite") \
+            .parquet(wh.quarantine("static"))
+        if full_refresh:
+            replace_table(spark, static_path, parted(staging.stg_transactions_static(seed)),
+                          "transaction_id", part)
+            return
         mark = high_water_value(spark.read.parquet(static_path), "transaction_date") \
-            if exists else None
-        src = staging.stg_transactions_static(seed, mark)
-        merge_upsert(spark, static_path, src, "transaction_id", "transaction_date",
-                     on_duplicate="raise")
+            if path_exists(spark, static_path) else None
+        merge(static_path, staging.stg_transactions_static(seed, mark), on_duplicate="raise")
 
     def static_table() -> DataFrame:
         return spark.read.parquet(static_path).select(*staging.STATIC_COLUMNS)
 
     def fact():
-        exists = path_exists(spark, fct_path) and not full_refresh
-        mark = live_mark(spark.read.parquet(fct_path), mark_scope) if exists else None
         pm = spark.read.parquet(wh.model("dim_payment_methods"))
-        src = marts.fct_transactions(stg["stg_transactions"], static_table(), pm, mark)
-        merge_upsert(spark, fct_path, src, "transaction_id", "transaction_date")
+        live = stg["stg_transactions"]
+        if full_refresh or not path_exists(spark, fct_path):
+            replace_table(spark, fct_path, parted(marts.fct_transactions(live, static_table(), pm)),
+                          "transaction_id", part)
+            return
+        fct = spark.read.parquet(fct_path)
+        # Live rows keep their date (created_at does not change): no scan of the fact's keys.
+        merge(fct_path, marts.live_facts(live, pm, live_mark(fct, mark_scope))
+              .select(*marts.FCT_COLUMNS), keys_may_move=False)
+        # Static rows come in past the static model's own strict mark, so only those from the
+        # fact's latest static date on can be new.
+        static_mark = high_water_value(fct.where(F.col("created_at").isNull()), "transaction_date")
+        merge(fct_path, marts.static_facts(newer_than(static_table(), "transaction_date",
+                                                      static_mark, inclusive=True))
+              .select(*marts.FCT_COLUMNS))
 
     steps = [Step(n, view(n)) for n in stg] + [
         Step("stg_transactions_static", static_model, ("static",)),
@@ -159,14 +203,20 @@ def transform(spark: SparkSession, wh: Warehouse, seed: DataFrame,
 
 def run_hourly(spark: SparkSession, oltp: Mapping[str, DataFrame], seed: DataFrame,
                root: str, exclude_tags: Sequence[str] = ("static",),
-               full_refresh: bool = False) -> RunReport:
+               full_refresh: bool = False, mark_scope: str = "live",
+               by_month: bool = False) -> RunReport:
     wh = Warehouse(root.rstrip("/"))
     extract(oltp, wh)
-    loaded = load_raw(spark, wh)
-    models = transform(spark, wh, seed, exclude_tags, full_refresh)
+    loaded = load_raw(spark, wh, [t for t in CURSORS if t in oltp])
+    models = transform(spark, wh, seed, exclude_tags, full_refresh, mark_scope, by_month)
     return RunReport(loaded, models)
 
 
+def loaded_rows(spark: SparkSession, report: RunReport) -> DataFrame:
+    """Rows that the run appended per raw table."""
+    return spark.createDataFrame(list(report.loaded.items()), "table_name string, rows_appended bigint")
+
+
 def model_counts(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
     """Rows per model table (S17), one small union of counts."""
     wh = Warehouse(root.rstrip("/"))

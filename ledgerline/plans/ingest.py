@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.scalar import (email_local_part, is_blank, short_id,
-                                         strip, strip_lower)
+                                         strip, strip_lower, today_text)
 from ledgerline.operators.latest import latest_by
 from ledgerline.operators.quality import validate
 
@@ -115,7 +115,8 @@ def line_summary(priced: DataFrame, id_col: str = "request_id") -> DataFrame:
 
 
 def request_rules() -> list[tuple[Column, str]]:
-    """(failure condition, message) per rule, in the order messages are joined."""
+    """(failure condition, message) per rule, in the order messages are joined.  fixed values:
+    the texts of the messages."""
     email = F.col("customer_email")
     return [
         (email.isNull() | is_blank(email), "Customer email cannot be empty"),
@@ -175,13 +176,22 @@ def email_customer_id(email) -> Column:
 
 
 def upsert_customers(good: DataFrame, customers: DataFrame) -> DataFrame:
-    """Distinct normalised emails of good requests with no customer, as new customer
-    rows (name = local part)."""
-    emails = good.select(F.col("email_norm").alias("email")).distinct()
+    """Distinct normalised emails of good requests with no customer, as whole rows of the
+    customers table (name = local part; both times are the first request's)."""
+    emails = good.groupBy(F.col("email_norm").alias("email")).agg(F.min("created_at").alias("__first"))
     new = emails.join(customers.select(F.col("email").alias("__e")),
                       F.col("email") == F.col("__e"), "left_anti")
     return new.select(email_customer_id(F.col("email")).alias("customer_id"),
-                      email_local_part("email").alias("name"), "email")
+                      email_local_part("email").alias("name"), "email",
+                      F.col("__first").alias("created_at"), F.col("__first").alias("updated_at"))
+
+
+def id_clashes(new: DataFrame, existing: DataFrame, id_col: str = "customer_id") -> DataFrame:
+    """Derived ids that two new rows share or that an existing row has: ids are 60 bits of a hash,
+    so at some 10^9 new rows a clash is likely.  Check it before the new rows are stored."""
+    both = new.select(id_col).unionAll(existing.select(id_col).join(new.select(id_col).distinct(),
+                                                                    id_col, "left_semi").distinct())
+    return both.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def ingest_transactions(headers: DataFrame, lines: DataFrame, customers: DataFrame,
@@ -232,8 +242,9 @@ DEFAULTS = {"status": "completed", "is_active": True}
 
 
 def with_defaults(df: DataFrame) -> DataFrame:
-    """Fill missing status / is_active / created_at / updated_at with their defaults
-    (current time for the times), for whichever of these columns the frame has."""
+    """Fill missing status / is_active / created_at / updated_at / text
+    transaction_date with their defaults (current time for the times, today for the date), for
+    whichever of these columns the frame has."""
     now = F.current_timestamp().cast("timestamp_ntz")
     out = df
     for c in df.columns:
@@ -241,6 +252,8 @@ def with_defaults(df: DataFrame) -> DataFrame:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(DEFAULTS[c])))
         elif c in ("created_at", "updated_at"):
             out = out.withColumn(c, F.coalesce(F.col(c), now))
+        elif c == "transaction_date" and df.schema[c].dataType.simpleString() == "string":
+            out = out.withColumn(c, F.coalesce(F.col(c), today_text()))
     return out
 
 

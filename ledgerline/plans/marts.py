@@ -46,7 +46,8 @@ def static_items(stg_static: DataFrame, stg_items: DataFrame,
         items = latest_by(items, ["name"], ["updated_at", "item_id"])
     elif dedupe is not None:
         raise ValueError(f"unknown dedupe mode {dedupe!r}")
-    it = items.select(F.col("item_id").alias("__item_id"), F.col("name").alias("__name"))
+    # The whole item row, so that versions of one id under one name fall into many buckets.
+    it = items.select(*[F.col(c).alias(f"__{c}") for c in items.columns])
     j = fanout_left_join(stg_static, it, "item_name", "__name",
                          rows_per_task or ROWS_PER_TASK)
     return j.select(
@@ -105,7 +106,7 @@ def fct_transactions(stg_transactions: DataFrame, stg_static: DataFrame,
                      dim_payment_methods: DataFrame, mark=None) -> DataFrame:
     """M9 body: UNION ALL of live and static facts (U2).  ``payment_method_id`` and
     ``status`` are not carried.  For the incremental table use ``merge_upsert`` with
-    this as the source (see ``ledgerline.plans.pipeline``)."""
+    this as the source (see ``ledgerline.plans.hourly``)."""
     return (live_facts(stg_transactions, dim_payment_methods, mark)
             .unionByName(static_facts(stg_static))
             .select(*FCT_COLUMNS))

@@ -11,6 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline import schemas as S
 from ledgerline.operators.latest import latest_by
 from ledgerline.operators.quality import drop_sentinels
 from ledgerline.plans import analytics as an
@@ -130,7 +131,7 @@ STATIC_CUT = "2024-01-15"      # static table already loaded up to this date
 FACT_CUT = "1998-06-30"        # fact already loaded up to this date
 CURSOR_AT = "1998-06-01"       # cursor load stopped on this timestamp, half the rows loaded
 MERGE_FIRST_END = "1998-01-01"  # first fact build: dates before this
-MERGE_SRC_START, MERGE_SRC_END = "1997-12-01", "1998-03-01"  # increment: [start, end)
+MERGE_SRC_START = "1997-12-01"  # the increment begins here
 MOVE_DAYS = 40
 
 
@@ -178,18 +179,21 @@ def q_incremental_load(spark, sf_dir):
     return incremental_load(tx, _cursor_target(tx), "updated_at", ["transaction_id"])
 
 
+def _by_month(df: DataFrame) -> DataFrame:
+    return df.withColumn("sale_month", F.trunc("transaction_date", "MM"))
+
+
 def _merge_inputs(m: ShopModels, shift_days: int | None):
+    """The fact before a date, and an increment from a month earlier to the end, static sales
+    (no customer, no times, later dates) among it."""
     fct = m.fct_transactions
     first = fct.where(F.col("transaction_date") < _d(MERGE_FIRST_END))
+    src = fct.where(F.col("transaction_date") >= _d(MERGE_SRC_START))
     if shift_days is None:
-        src = fct.where((F.col("transaction_date") >= _d(MERGE_SRC_START)) &
-                        (F.col("transaction_date") < _d(MERGE_SRC_END))) \
-            .withColumn("total_spent", F.col("total_spent") + F.lit(1.0))
+        src = src.withColumn("total_spent", F.col("total_spent") + F.lit(1.0))
     else:
-        src = fct.where((F.col("transaction_date") >= _d(MERGE_SRC_START)) &
-                        (F.col("transaction_date") < _d(MERGE_FIRST_END))) \
-            .withColumn("transaction_date", F.date_add("transaction_date", shift_days))
-    return first, src
+        src = src.withColumn("transaction_date", F.date_add("transaction_date", shift_days))
+    return _by_month(first), _by_month(src)
 
 
 def _run_merge(spark, sf_dir, shift_days):
@@ -198,9 +202,9 @@ def _run_merge(spark, sf_dir, shift_days):
     m = _m(spark, sf_dir)
     first, src = _merge_inputs(m, shift_days)
     path = scratch_path(spark, "merge")
-    merge_upsert(spark, path, first, "transaction_id", "transaction_date")
-    merge_upsert(spark, path, src, "transaction_id", "transaction_date")
-    return spark.read.parquet(path)
+    merge_upsert(spark, path, first, "transaction_id", "sale_month")
+    merge_upsert(spark, path, src, "transaction_id", "sale_month")
+    return spark.read.parquet(path).drop("sale_month")
 
 
 @query("merge_upsert")
@@ -217,9 +221,106 @@ def q_merge_moved(spark, sf_dir):
 def q_cursor_state(spark, sf_dir):
     """The saved cursor of each raw table: max of its cursor column."""
     from ledgerline.operators.incremental import cursor_state
-    from ledgerline.plans.hourly import CURSORS
-    return cursor_state({t: (fn(spark, sf_dir), CURSORS[t][0])
-                         for t, fn in shop_tables.OLTP.items()})
+    from ledgerline.functions.scalar import to_date_safe
+    from ledgerline.plans.hourly import CURSORS, DATE_CURSORS
+    tables = {t: fn(spark, sf_dir) for t, fn in shop_tables.OLTP.items()}
+    tables["transactions_static"] = shop_tables.transactions_static(spark, sf_dir)
+    return cursor_state({t: (df.withColumn(CURSORS[t][0], to_date_safe(CURSORS[t][0]))
+                             if t in DATE_CURSORS else df, CURSORS[t][0])
+                         for t, df in tables.items()})
+
+
+def _keyed(spark, sf_dir) -> DataFrame:
+    """Transactions with a key that some rows lack and a text partition column whose values
+    need escaping in folder names."""
+    tx = shop_tables.transactions(spark, sf_dir)
+    return tx.select(
+        F.when(F.col("transaction_id").cast("bigint") % 13 != 0, F.col("transaction_id")).alias("k"),
+        "location", "total_spent", F.date_format("created_at", "yyyy:MM").alias("month"))
+
+
+@query("merge_null_keys")
+def q_merge_null_keys(spark, sf_dir):
+    """A year merged in again as it is: rows without a key match nothing, so they are added."""
+    from ledgerline.operators.merge import merge_upsert
+    from ledgerline.session import scratch_path
+    df = _keyed(spark, sf_dir)
+    path = scratch_path(spark, "merge_null")
+    merge_upsert(spark, path, df, "k", "month")
+    merge_upsert(spark, path, df.where(F.col("month").startswith("1997:")), "k", "month")
+    return spark.read.parquet(path)
+
+
+@query("merge_text_partition")
+def q_merge_text_partition(spark, sf_dir):
+    """All rows of a year move to one partition: the folders that they leave must go."""
+    from ledgerline.operators.merge import merge_upsert
+    from ledgerline.session import scratch_path
+    df = _keyed(spark, sf_dir).where(F.col("k").isNotNull())
+    path = scratch_path(spark, "merge_text")
+    merge_upsert(spark, path, df, "k", "month")
+    merge_upsert(spark, path, df.where(F.col("month").startswith("1997:"))
+                 .withColumn("month", F.lit("moved: a/b=c")), "k", "month")
+    return spark.read.parquet(path)
+
+
+@query("replace_partitioned")
+def q_replace_partitioned(spark, sf_dir):
+    """A replace drops the partitions that the new rows don't have."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sinks.load import load
+    df = _keyed(spark, sf_dir)
+    path = scratch_path(spark, "replace")
+    load(df, path, "replace", ["month"])
+    load(df.where(F.col("month") >= "1997:12"), path, "replace", ["month"])
+    return spark.read.parquet(path)
+
+
+@query("full_refresh")
+def q_full_refresh(spark, sf_dir):
+    """The static model as an incremental table, then built anew from fewer rows."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sinks.load import materialize
+    stg = _m(spark, sf_dir).stg_transactions_static
+    path = scratch_path(spark, "refresh")
+    options = {"kind": "incremental", "partition_by": ["transaction_date"], "path": path,
+               "unique_key": "transaction_id"}
+    materialize(stg, "static_incremental", **options)
+    return materialize(stg.where(F.col("transaction_date") > _d(STATIC_CUT)), "static_incremental",
+                       full_refresh=True, **options)
+
+
+@query("cursor_quarantine")
+def q_cursor_quarantine(spark, sf_dir):
+    """Two loads of snapshots in which some cursors are missing or no dates: what could not be
+    placed, once."""
+    from ledgerline.plans.hourly import Warehouse, extract, load_raw
+    from ledgerline.session import scratch_path
+    wh = Warehouse(scratch_path(spark, "cursors"))
+    tables = {"transactions": _null_cursors(shop_tables.transactions(spark, sf_dir)),
+              "transactions_static": shop_tables.transactions_static(spark, sf_dir)}
+    extract(tables, wh)
+    for _ in range(2):
+        load_raw(spark, wh, list(tables))
+    return spark.read.parquet(wh.quarantine("load")).select("table_name", "row_key", "error_message")
+
+
+def _null_cursors(tx: DataFrame) -> DataFrame:
+    return tx.withColumn("updated_at", F.when(F.col("transaction_id").cast("bigint") % 23 != 0,
+                                              F.col("updated_at")))
+
+
+@query("fanout_hot_key")
+def q_fanout_hot_key(spark, sf_dir):
+    """One item id with all versions, a few names: the hot names split into buckets of ten rows."""
+    from ledgerline.plans.marts import static_items
+    m = _m(spark, sf_dir)
+    word = F.split("name", " ").getItem(0)
+    items = m.stg_items.withColumn("item_id", F.lit(7).cast("bigint")).withColumn("name", word)
+    sales = m.stg_transactions_static.withColumn("item_name", F.split("item_name", " ").getItem(0))
+    out = static_items(sales, items, rows_per_task=10)
+    return out.groupBy("transaction_id", "item_id").agg(F.count(F.lit(1)).alias("n"),
+                                                        F.sum("quantity").alias("quantity"))
 
 
 @query("append_replace_load")
@@ -274,6 +375,41 @@ def q_check_subtotal(spark, sf_dir):
     return check_subtotal(shop_tables.transaction_items(spark, sf_dir))
 
 
+@query("integrity_report")
+def q_integrity_report(spark, sf_dir):
+    """All unique keys and references of the shop's tables; customers with a negative balance
+    are gone, as in check_fk."""
+    from ledgerline.operators.quality import integrity_report
+    t = shop_tables
+    tx, ti = t.transactions(spark, sf_dir), t.transaction_items(spark, sf_dir)
+    items, pm = t.items(spark, sf_dir), t.payment_methods(spark, sf_dir)
+    gone = t.table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0).select("c_custkey")
+    customers = t.customers(spark, sf_dir).join(gone, F.col("customer_id") == F.col("c_custkey"), "left_anti")
+    return integrity_report(
+        [("transactions_static.transaction_id", t.transactions_static(spark, sf_dir), ["transaction_id"]),
+         ("items.item_id", items, ["item_id"]), ("customers.customer_id", customers, ["customer_id"]),
+         ("customers.email", customers, ["email"]), ("payment_methods.payment_method_id", pm, ["payment_method_id"]),
+         ("payment_methods.name", pm, ["name"]), ("transactions.transaction_id", tx, ["transaction_id"]),
+         ("transaction_items.transaction_id, item_id", ti, ["transaction_id", "item_id"])],
+        [("transactions.customer_id", tx, "customer_id", customers, "customer_id"),
+         ("transactions.payment_method_id", tx, "payment_method_id", pm, "payment_method_id"),
+         ("transaction_items.transaction_id", ti, "transaction_id", tx, "transaction_id"),
+         ("transaction_items.item_id", ti, "item_id", items, "item_id")])
+
+
+@query("static_quarantine")
+def q_static_quarantine(spark, sf_dir):
+    from ledgerline.plans.staging import rejected_static
+    return rejected_static(shop_tables.sales_dirty(spark, sf_dir))
+
+
+@query("static_accounting")
+def q_static_accounting(spark, sf_dir):
+    """Good, rejected and incomplete rows of the seed; they add up to it."""
+    from ledgerline.plans.staging import static_accounting
+    return static_accounting(shop_tables.sales_dirty(spark, sf_dir))
+
+
 @query("validate_static")
 def q_validate_static(spark, sf_dir):
     from ledgerline.plans.imports import validate_static_rows
@@ -336,6 +472,48 @@ def q_ingest_items(spark, sf_dir):
     return _ingest(spark, sf_dir).transaction_items
 
 
+@query("ingest_nested")
+def q_ingest_nested(spark, sf_dir):
+    """The same requests as nested rows, their items in arrays, as a service receives them."""
+    from ledgerline.plans.ingest import flatten_requests, ingest_transactions
+    t = shop_tables
+    lines = t.request_lines(spark, sf_dir).groupBy("request_id").agg(
+        F.collect_list(F.struct("item_name", "quantity")).alias("items"))
+    nested = t.request_headers(spark, sf_dir).join(lines, "request_id", "left")
+    headers, flat = flatten_requests(nested)
+    return ingest_transactions(headers, flat, t.customers(spark, sf_dir), t.items(spark, sf_dir),
+                               t.payment_methods(spark, sf_dir)).transactions
+
+
+@query("add_customers")
+def q_add_customers(spark, sf_dir):
+    """A batch of customers: a fifth known already, some twice in the batch, some blank."""
+    from ledgerline.plans.ingest import add_customers
+    have = shop_tables.customers(spark, sf_dir)
+    k = F.col("customer_id")
+    email = (F.when(k % 5 == 0, F.col("email")).when(k % 7 == 0, F.lit("twice@shop.example"))
+             .when(k % 11 == 0, F.lit("\u00a0")).otherwise(F.concat(F.lit("n"), k.cast("string"), F.lit("@shop.example"))))
+    new = have.select((k + 1_000_000_000).alias("customer_id"), "name", email.alias("email"), "created_at", "updated_at")
+    good, bad = add_customers(new, have)
+    return good.withColumn("error_message", F.lit(None).cast("string")).unionByName(bad)
+
+
+@query("add_payment_methods")
+def q_add_payment_methods(spark, sf_dir):
+    """A batch of payment methods named after the parts' types, with repeats, and the known ones."""
+    from ledgerline.plans.ingest import add_payment_methods
+    have = shop_tables.payment_methods(spark, sf_dir)
+    part = shop_tables.table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    new = part.select((k + 100).cast("bigint").alias("payment_method_id"),
+                      F.when(k % 4 == 0, F.col("p_type")).otherwise(F.concat("p_name", F.lit(" "), k.cast("string"))).alias("name"),
+                      F.when(k % 3 == 0, F.lit(False)).alias("is_active"),
+                      F.lit("2024-02-01").cast("timestamp_ntz").alias("created_at"))
+    known = have.select((F.col("payment_method_id") + 50).alias("payment_method_id"), "name", "is_active", "created_at")
+    good, bad = add_payment_methods(new.unionByName(known), have)
+    return good.withColumn("error_message", F.lit(None).cast("string")).unionByName(bad)
+
+
 @query("ingest_errors")
 def q_ingest_errors(spark, sf_dir):
     return _ingest(spark, sf_dir).errors
@@ -344,21 +522,45 @@ def q_ingest_errors(spark, sf_dir):
 # --- connectors (S2–S5, S13, S16, S17) -------------------------------------------------------
 
 def _write_csv(spark, sf_dir) -> str:
-    """The dirty sales file as CSV with a header (the seed the import reads)."""
+    """The dirty sales file as CSV with a header (the seed the import reads), and files with
+    malformed lines: one field too many, for one event in 101."""
     from ledgerline.session import scratch_path
     path = scratch_path(spark, "sales_csv")
-    shop_tables.sales_dirty(spark, sf_dir).write.option("header", True).csv(path)
+    (shop_tables.sales_dirty(spark, sf_dir).write.option("header", True).option("escape", '"')
+        .csv(f"{path}/set=whole"))
+    header = ",".join(S.SALES_CSV_COLUMNS)
+    bad = (shop_tables.table(spark, sf_dir, "events").where(F.col("event_id") % 101 == 0)
+           .select((F.col("event_id") / 100_000).cast("bigint").alias("file"),
+                   F.concat(F.lit("BAD_"), F.col("event_id").cast("string"),
+                            F.lit(",tea,1,2.0,2.0,In-store,Cash,2024-01-01,extra")).alias("line")))
+    (bad.groupBy("file").agg(F.concat(F.lit(header + "\n"), F.array_join(F.collect_list("line"), "\n")).alias("value"))
+        .write.partitionBy("file").text(f"{path}/set=bad"))
     return path
 
 
-def _import(spark, sf_dir, times: int):
+def _import(spark, sf_dir, times: int, table: str = "transactions_static"):
     from ledgerline.plans.imports import import_static_csv
     from ledgerline.session import scratch_path
     csv = _write_csv(spark, sf_dir)
     root = scratch_path(spark, "oltp")
     for _ in range(times):
-        import_static_csv(spark, csv, f"{root}/transactions_static", f"{root}/transactions_errors")
-    return spark.read.parquet(f"{root}/transactions_static")
+        import_static_csv(spark, [f"{csv}/set=whole", f"{csv}/set=bad/*"],
+                          f"{root}/transactions_static", f"{root}/transactions_errors")
+    return spark.read.parquet(f"{root}/{table}")
+
+
+@query("import_errors")
+def q_import_errors(spark, sf_dir):
+    """The quarantine of the import: rows over the length limits and malformed lines."""
+    out = _import(spark, sf_dir, 1, "transactions_errors")
+    return out.select(*S.TRANSACTIONS_STATIC.fieldNames(), "error_message")
+
+
+@query("import_error_ids")
+def q_import_error_ids(spark, sf_dir):
+    """Each quarantined row has an id of its own."""
+    out = _import(spark, sf_dir, 1, "transactions_errors")
+    return out.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("n_ids"))
 
 
 @query("csv_import")
@@ -377,7 +579,6 @@ def q_json_array(spark, sf_dir):
     """Items written as JSON documents with one root array each ({"items": [...]}, one
     document per thousand item ids, so a document's size is bounded), read back (S5)
     and checked as a batch of new items (M15)."""
-    from ledgerline import schemas as S
     from ledgerline.plans.ingest import add_items
     from ledgerline.session import scratch_path
     from ledgerline.sources.files import read_json_array
@@ -395,7 +596,6 @@ def q_json_array(spark, sf_dir):
 def q_lake_snapshot(spark, sf_dir):
     """Snapshot transactions to the lake twice (the second replaces the first) and read
     the lake back by glob (S2, S3)."""
-    from ledgerline import schemas as S
     from ledgerline.session import scratch_path
     from ledgerline.sinks.load import snapshot
     from ledgerline.sources.files import read_lake
@@ -434,12 +634,10 @@ def q_reset_tables(spark, sf_dir):
 
 # --- whole hourly run (M16) and the streaming load (I8) ------------------------------------------
 
-_HOURLY: dict = {}
-
-
 def _oltp_at(spark, sf_dir, cut: str | None) -> dict:
     t = shop_tables
     oltp = {name: fn(spark, sf_dir) for name, fn in t.OLTP.items()}
+    oltp["transactions_static"] = t.transactions_static(spark, sf_dir)
     if cut is not None:
         ts = F.lit(cut).cast("timestamp_ntz")
         oltp["transactions"] = oltp["transactions"].where(F.col("updated_at") < ts)
@@ -447,38 +645,43 @@ def _oltp_at(spark, sf_dir, cut: str | None) -> dict:
     return oltp
 
 
-def hourly_two_runs(spark, sf_dir, exclude_static_second: bool) -> str:
+def hourly_two_runs(spark, sf_dir, exclude_static_second: bool):
     """First load (every step, OLTP as of MERGE_FIRST_END), then an hourly run on the full
-    OLTP tables.  Built once per session and input folder; returns the warehouse root."""
+    OLTP tables.  Returns the warehouse root and the second run's report."""
     from ledgerline.plans.hourly import run_hourly
     from ledgerline.session import scratch_path
-    key = (spark.sparkContext.applicationId, sf_dir, exclude_static_second)
-    if key not in _HOURLY:
-        root = scratch_path(spark, "warehouse")
-        seed = shop_tables.sales_dirty(spark, sf_dir)
-        run_hourly(spark, _oltp_at(spark, sf_dir, MERGE_FIRST_END), seed, root, exclude_tags=())
-        run_hourly(spark, _oltp_at(spark, sf_dir, None), seed, root,
-                   exclude_tags=("static",) if exclude_static_second else ())
-        _HOURLY[key] = root
-    return _HOURLY[key]
+    root = scratch_path(spark, "warehouse")
+    seed = shop_tables.sales_dirty(spark, sf_dir)
+    run_hourly(spark, _oltp_at(spark, sf_dir, MERGE_FIRST_END), seed, root, exclude_tags=(), by_month=True)
+    report = run_hourly(spark, _oltp_at(spark, sf_dir, None), seed, root, by_month=True,
+                        exclude_tags=("static",) if exclude_static_second else ())
+    return root, report
 
 
 @query("hourly_run")
 def q_hourly_run(spark, sf_dir):
-    root = hourly_two_runs(spark, sf_dir, exclude_static_second=False)
-    return spark.read.parquet(f"{root}/models/fct_transactions")
+    root, _ = hourly_two_runs(spark, sf_dir, exclude_static_second=False)
+    return spark.read.parquet(f"{root}/models/fct_transactions").drop("sale_month")
+
+
+@query("hourly_rows_appended")
+def q_hourly_rows_appended(spark, sf_dir):
+    """Rows that the second run appended to each raw table."""
+    from ledgerline.plans.hourly import loaded_rows
+    _, report = hourly_two_runs(spark, sf_dir, exclude_static_second=True)
+    return loaded_rows(spark, report)
 
 
 @query("hourly_run_exclude_static")
 def q_hourly_run_exclude_static(spark, sf_dir):
-    root = hourly_two_runs(spark, sf_dir, exclude_static_second=True)
+    root, _ = hourly_two_runs(spark, sf_dir, exclude_static_second=True)
     return spark.read.parquet(f"{root}/models/dim_transaction_items")
 
 
 @query("load_report")
 def q_load_report(spark, sf_dir):
     from ledgerline.plans.hourly import model_counts
-    root = hourly_two_runs(spark, sf_dir, exclude_static_second=False)
+    root, _ = hourly_two_runs(spark, sf_dir, exclude_static_second=False)
     return model_counts(spark, root, ["stg_transactions_static", "dim_customers", "dim_items",
                                       "dim_payment_methods", "dim_transaction_items",
                                       "fct_transactions"])
@@ -487,17 +690,32 @@ def q_load_report(spark, sf_dir):
 @query("stream_load")
 def q_stream_load(spark, sf_dir):
     """Two hourly snapshots of transactions land in the lake folder (the second replaces
-    the first and re-sends every row); the stream loads each into the raw table."""
-    from ledgerline import schemas as S
+    the first and re-sends every row), in files by falling cursor, some rows without one; the
+    stream loads them into the raw table one file at a time."""
     from ledgerline.session import scratch_path
     from ledgerline.sinks.load import snapshot
     from ledgerline.streaming.file_load import stream_load
     root = scratch_path(spark, "stream")
-    tx = shop_tables.transactions(spark, sf_dir)
     cursor, keys = "updated_at", ["transaction_id"]
+    tx = _null_cursors(shop_tables.transactions(spark, sf_dir))
     for cut in (MERGE_FIRST_END, None):
-        snap = tx if cut is None else tx.where(F.col(cursor) < F.lit(cut).cast("timestamp_ntz"))
-        snapshot(snap, f"{root}/lake/transactions")
+        snap = tx if cut is None else tx.where(
+            F.col(cursor).isNull() | (F.col(cursor) < F.lit(cut).cast("timestamp_ntz")))
+        snapshot(snap.repartitionByRange(4, F.col(cursor).desc_nulls_last()), f"{root}/lake/transactions")
         stream_load(spark, f"{root}/lake/transactions", f"{root}/raw/transactions",
-                    f"{root}/checkpoint", S.TRANSACTIONS, cursor, keys)
+                    f"{root}/checkpoint", S.TRANSACTIONS, cursor, keys, max_files_per_trigger=1)
     return spark.read.parquet(f"{root}/raw/transactions")
+
+
+@query("stream_load_rejected")
+def q_stream_load_rejected(spark, sf_dir):
+    """What the stream could not place: the rows without a cursor, once."""
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming.file_load import stream_load
+    root = scratch_path(spark, "stream_rejected")
+    tx = _null_cursors(shop_tables.transactions(spark, sf_dir))
+    for _ in range(2):
+        tx.write.mode("overwrite").parquet(f"{root}/lake")
+        stream_load(spark, f"{root}/lake", f"{root}/raw", f"{root}/checkpoint", S.TRANSACTIONS,
+                    "updated_at", ["transaction_id"], quarantine_path=f"{root}/rejected")
+    return spark.read.parquet(f"{root}/rejected").select("row_key")

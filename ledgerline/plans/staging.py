@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
-from ledgerline.functions.scalar import to_date_safe, to_double, to_long
+from ledgerline.functions.scalar import any_of, to_date_safe, to_double, to_long
 from ledgerline.operators.incremental import newer_than
 from ledgerline.operators.quality import complete_case, validate
 
@@ -85,10 +85,6 @@ def parse_rules(prefix: str = "") -> list[tuple[Column, str]]:
     ]
 
 
-def rename_sales(raw: DataFrame) -> DataFrame:
-    return raw.select(*_typed_columns())
-
-
 def clean_static(raw: DataFrame, mark=None,
                  inclusive: bool = False) -> tuple[DataFrame, DataFrame]:
     """Split the raw sales file into (typed complete cases, rejected raw rows).
@@ -111,6 +107,25 @@ def clean_static(raw: DataFrame, mark=None,
 
 
 def stg_transactions_static(raw: DataFrame, mark=None) -> DataFrame:
-    """M6: complete, typed, de-duplicated static sales."""
+    """M6: complete, typed, de-duplicated static sales.  The rows that don't parse are
+    ``rejected_static``."""
     good, _ = clean_static(raw, mark)
     return good.distinct()
+
+
+def rejected_static(raw: DataFrame) -> DataFrame:
+    """The complete rows that don't parse, in the columns of the raw static table, with a
+    message (S15)."""
+    from ledgerline.plans.imports import CSV_TO_STATIC
+    _, rejected = clean_static(raw)
+    return rejected.select(*[_q(src).alias(dst) for src, dst in CSV_TO_STATIC.items()],
+                           "error_message").select(*S.TRANSACTIONS_STATIC.fieldNames(), "error_message")
+
+
+def static_accounting(raw: DataFrame) -> DataFrame:
+    """Rows of the seed by fate: incomplete, rejected, good; they add up to the input."""
+    complete = complete_case(S.SALES_CSV_COLUMNS)
+    both = raw.select("*", *_typed_columns(_P))
+    bad = any_of(F.coalesce(cond, F.lit(False)) for cond, _ in parse_rules(_P))
+    fate = F.when(~complete, "incomplete").when(bad, "rejected").otherwise("good")
+    return both.groupBy(fate.alias("fate")).agg(F.count(F.lit(1)).alias("row_count"))

@@ -26,8 +26,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
-    # Merge writes replace only the partitions that receive rows.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": "128MB",
     # Listing a table with many date folders runs as a Spark job; one task per folder
     # (the default allows 10,000) is far too fine: cap it at a few tasks per core.
@@ -49,7 +47,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.files.maxPartitionBytes": "256MB",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "1000",
     "spark.sql.session.timeZone": "UTC",
 }
@@ -75,15 +72,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared scratch root named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the platform to a shared folder and is used as is.  Only
-    when the session has none (local tests) is a fresh local folder created and set.
-    ``DataFrame.checkpoint()`` writes to the same place.
+    On a cluster the platform sets it to a shared folder, and it is used as is; a cluster
+    without it is an error, since every executor would write to a disk of its own.  A local
+    session (tests) that has none gets a fresh local folder.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
         current = sc.getCheckpointDir()
     return current.rstrip("/")
 

@@ -21,20 +21,36 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _part_text(v) -> str:
-    if v is None:
-        return "__HIVE_DEFAULT_PARTITION__"
-    if isinstance(v, (dt.date, dt.datetime)):
-        return v.isoformat()
-    return str(v)
+# fixed values: characters that Spark escapes in the folder names of partitions
+_ESCAPED = set('"#%\'*/:=?\\\x7f{[]^') | {chr(c) for c in range(1, 0x20)}
+
+
+def partition_folder(col: str, v) -> str:
+    """The folder name ``col=value`` as Spark's writer spells it."""
+    if v is None or v == "":
+        text = "__HIVE_DEFAULT_PARTITION__"
+    elif isinstance(v, dt.datetime):
+        text = v.strftime("%Y-%m-%d %H:%M:%S") + (f".{v.microsecond:06d}".rstrip("0") if v.microsecond else "")
+    elif isinstance(v, bool):
+        text = str(v).lower()
+    else:
+        text = v.isoformat() if isinstance(v, dt.date) else str(v)
+    return "=".join("".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in x) for x in (col, text))
 
 
 def remove_partitions(spark: SparkSession, root: str, col: str, values: Iterable) -> None:
-    """Delete the folders ``root/col=value`` of a partitioned table."""
+    """Delete the folders ``root/col=value`` of a partitioned table; each must exist."""
     for v in values:
-        fs, p = _fs(spark, f"{root.rstrip('/')}/{col}={_part_text(v)}")
-        if fs.exists(p):
-            fs.delete(p, True)
+        fs, top = _fs(spark, root.rstrip("/"))
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top, partition_folder(col, v))
+        if not fs.exists(p):
+            raise FileNotFoundError(f"{root} has no partition folder for {col} = {v!r}")
+        fs.delete(p, True)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 @contextmanager

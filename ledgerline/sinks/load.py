@@ -29,7 +29,8 @@ def load(df: DataFrame, path: str, disposition: str = "append",
         assert_same_schema(df, spark.read.parquet(path))
     w = df.write.mode("append" if disposition == "append" else "overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # A replace drops the partitions that the new rows don't have, whatever the session says.
+        w = w.option("partitionOverwriteMode", "static").partitionBy(*partition_by)
     w.parquet(path)
 
 
@@ -39,34 +40,36 @@ def load_all(tables: Mapping[str, DataFrame], root: str, disposition: str = "app
         load(df, f"{root.rstrip('/')}/{name}", disposition)
 
 
-def load_if_empty(df: DataFrame, path: str) -> bool:
-    """Append only when the target has no rows (S16).  Returns True when it loaded.
-    The probe reads at most one row."""
-    spark = df.sparkSession
-    if path_exists(spark, path) and not spark.read.parquet(path).isEmpty():
-        return False
-    load(df, path, "append")
-    return True
-
-
 def materialize(df: DataFrame, name: str, kind: str = "table",
-                partition_by: Sequence[str] = (), path: str | None = None) -> DataFrame:
-    """Materialise a model (S9, S10, S11): ``view`` registers a temporary view (nothing is
+                partition_by: Sequence[str] = (), path: str | None = None,
+                unique_key: str | None = None, full_refresh: bool = False) -> DataFrame:
+    """Materialise a model (S9-S12): ``view`` registers a temporary view (nothing is
     computed), ``table`` writes it (to ``path`` when given, else as a catalog table) and
-    returns a DataFrame over the written data, which cuts the lineage."""
+    ``incremental`` merges it by ``unique_key`` into the table at ``path``, partitioned by
+    its one partition column, or builds that table anew on ``full_refresh``.  The result
+    reads the written data, which cuts the lineage."""
     spark: SparkSession = df.sparkSession
     if kind == "view":
         df.createOrReplaceTempView(name)
         return spark.table(name)
-    if kind != "table":
-        raise ValueError("kind is 'view' or 'table'; incremental tables use merge_upsert")
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if path:
+    if kind == "incremental":
+        from ledgerline.operators.merge import merge_upsert, replace_table
+        if not path or not unique_key or len(partition_by) != 1:
+            raise ValueError("an incremental table needs path, unique_key and one partition column")
+        if full_refresh:
+            replace_table(spark, path, df, unique_key, partition_by[0])
+        else:
+            merge_upsert(spark, path, df, unique_key, partition_by[0])
+    elif kind == "table":
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.option("partitionOverwriteMode", "static").partitionBy(*partition_by)
+        if not path:
+            w.saveAsTable(name)
+            return spark.table(name)
         w.parquet(path)
-        out = spark.read.parquet(path)
-        out.createOrReplaceTempView(name)
-        return out
-    w.saveAsTable(name)
-    return spark.table(name)
+    else:
+        raise ValueError("kind is 'view', 'table' or 'incremental'")
+    out = spark.read.parquet(path)
+    out.createOrReplaceTempView(name)
+    return out

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.sinks.files import path_exists
 
-# Dependency order: children before parents.
+# fixed values: dependency order of the tables, children before parents
 RESET_ORDER = ["transaction_items", "transactions", "transactions_static",
                "transactions_errors", "customers", "items", "payment_methods"]
 
@@ -41,11 +41,6 @@ def reset_tables(spark: SparkSession, root: str,
     return report
 
 
-def tables_not_empty(report: DataFrame) -> DataFrame:
-    """Rows of the reset report whose table still has rows (the warning case)."""
-    return report.where(F.col("rows_after") > 0)
-
-
 def reset_and_reload(spark: SparkSession, root: str, samples: dict,
                      names: Sequence[str] = RESET_ORDER) -> DataFrame:
     """Empty the tables, then append the sample rows of each given table, parents first

@@ -9,13 +9,24 @@ from pyspark.sql import types as T
 from ledgerline import schemas as S
 
 
-def read_sales_csv(spark: SparkSession, path: str, columns=None) -> DataFrame:
-    """CSV with a header row, every column read as text (S4).  An explicit schema, so no
-    inference pass over the data; an empty field reads as NULL.  Plain CSV splits by
-    file block, so large files are read in parallel."""
+CORRUPT = "_corrupt_record"
+
+
+def read_sales_csv(spark: SparkSession, path: str, columns=None,
+                   multi_line: bool = True) -> DataFrame:
+    """CSV with a header row, every column read as text (S4), and the raw text of malformed
+    rows (too few or too many fields) in ``_corrupt_record``, NULL for the others.
+
+    An explicit schema, so no inference pass over the data; the header must match it; an empty
+    field reads as NULL.  Fields may be quoted, a quote within one is doubled.  With
+    ``multi_line`` a quoted field may hold line feeds, and each file is one split; switch it off
+    for files without such fields, which are then split by block and read in parallel.
+    """
     cols = columns or S.SALES_CSV_COLUMNS
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*cols, CORRUPT]])
     return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+            .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+            .option("columnNameOfCorruptRecord", CORRUPT)
             .option("enforceSchema", False).csv(path))
 
 
@@ -24,17 +35,13 @@ def read_json_array(spark: SparkSession, path: str, root: str,
     """A JSON document holding one array under ``root`` (S5): one row per element.
 
     A multi-line document is one split (it cannot be cut safely), so this suits the small
-    reference files; large feeds should be JSON lines, read with ``read_json_lines``.
+    reference files; large feeds should be JSON lines (``spark.read.schema(...).json``).
     """
     schema = T.StructType([T.StructField(root, T.ArrayType(element), True)])
     doc = spark.read.schema(schema).option("multiLine", True).json(path)
     return doc.select(F.inline(F.col(root)))
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).json(path)
-
-
 def read_lake(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None
               ) -> DataFrame:
     """Lake Parquet files of one table, by the table's folder glob (S3)."""

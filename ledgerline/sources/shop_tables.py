@@ -5,7 +5,8 @@ grows with the data.  The same mapping is written in DuckDB SQL in
 ``ledgerline.oracle`` and both sides must stay equal, column for column.
 
 mapping (fixed values that define the test data model):
-    items            <- part      (item_id=p_partkey, name=p_name, description=p_type,
+    items            <- part      (item_id=p_partkey, name=p_name and p_partkey div 4, so that
+                                   at most four parts share a name, description=p_type,
                                    unit_price=p_retailprice, created_at=2024-01-01,
                                    updated_at=2024-01-01 + p_size days)
     customers        <- customer  (email = lower(c_name with '#' -> '.') || '@example.com')
@@ -38,11 +39,15 @@ def _base_ts(days: F.Column | None = None) -> F.Column:
     return d.cast("timestamp_ntz")
 
 
+def _item_name() -> F.Column:
+    return F.concat("p_name", F.lit(" "), F.expr("p_partkey div 4").cast("string"))
+
+
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(
         F.col("p_partkey").cast("bigint").alias("item_id"),
-        F.col("p_name").alias("name"),
+        _item_name().alias("name"),
         F.col("p_type").alias("description"),
         F.col("p_retailprice").cast("double").alias("unit_price"),
         _base_ts().alias("created_at"),
@@ -63,11 +68,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pm_id(col: str = "o_orderpriority") -> F.Column:
-    return F.substring(F.col(col), 1, 1).cast("bigint")
+    return F.split(F.col(col), "-", 2).getItem(0).cast("bigint")
 
 
 def _pm_name(col: str = "o_orderpriority") -> F.Column:
-    return F.substring(F.col(col), 3, 1 << 20)
+    return F.split(F.col(col), "-", 2).getItem(1)
 
 
 def payment_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +120,8 @@ def sales_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Sentinels are placed by residues of event_id (fixed values: 97 null id; 11/13/17
     item ERROR/UNKNOWN/null; 19/23 quantity; 29 price; 31 total; 37 location null;
-    41 payment ERROR; 43 date UNKNOWN; payment by user_id mod 3).
+    41 payment ERROR; 43 date UNKNOWN; payment by user_id mod 3).  Values that don't parse: 47
+    quantity, 53 total, 61 date.  59 gives an item with quotes, a comma and a line feed.
     """
     ev = table(spark, sf_dir, "events")
     part = table(spark, sf_dir, "part")
@@ -129,18 +135,19 @@ def sales_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(eid % 97 == 0, s(None).cast("string"))
          .otherwise(F.concat(s("TXN_"), eid.cast("string"))).alias("Transaction ID"),
         F.when(eid % 11 == 0, s("ERROR")).when(eid % 13 == 0, s("UNKNOWN"))
-         .when(eid % 17 == 0, s(None).cast("string")).otherwise(F.col("p_name")).alias("Item"),
-        F.when(eid % 19 == 0, s("ERROR")).when(eid % 23 == 0, s("UNKNOWN"))
+         .when(eid % 17 == 0, s(None).cast("string"))
+         .when(eid % 59 == 0, s('a "hot" tea,\nbig')).otherwise(_item_name()).alias("Item"),
+        F.when(eid % 19 == 0, s("ERROR")).when(eid % 23 == 0, s("UNKNOWN")).when(eid % 47 == 0, s("two"))
          .otherwise((eid % 5 + 1).cast("string")).alias("Quantity"),
         F.when(eid % 29 == 0, s("ERROR"))
          .otherwise(F.col("p_retailprice").cast("string")).alias("Price Per Unit"),
-        F.when(eid % 31 == 0, s("UNKNOWN"))
+        F.when(eid % 31 == 0, s("UNKNOWN")).when(eid % 53 == 0, s("n/a"))
          .otherwise(F.col("value").cast("string")).alias("Total Spent"),
         F.when(eid % 37 == 0, s(None).cast("string")).when(eid % 2 == 0, s("In-store"))
          .otherwise(s("Takeaway")).alias("Location"),
         F.when(eid % 41 == 0, s("ERROR")).when(uid % 3 == 0, s("Cash"))
          .when(uid % 3 == 1, s("Credit Card")).otherwise(s("Digital Wallet")).alias("Payment Method"),
-        F.when(eid % 43 == 0, s("UNKNOWN"))
+        F.when(eid % 43 == 0, s("UNKNOWN")).when(eid % 61 == 0, s("2024-13-45"))
          .otherwise(F.col("ts").cast("date").cast("string")).alias("Transaction Date"),
     )
 
@@ -187,7 +194,7 @@ def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     name; 61 quantity 0; 7 -> 1 name padded with spaces (any line).
     """
     li = table(spark, sf_dir, "lineitem")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    p = table(spark, sf_dir, "part").select("p_partkey", _item_name().alias("p_name"))
     j = li.join(p, li["l_partkey"] == p["p_partkey"], "left")
     k, first = F.col("l_orderkey"), F.col("l_linenumber") == 1
     return j.select(

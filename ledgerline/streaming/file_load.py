@@ -1,60 +1,83 @@
-"""The lake -> raw load as a file stream that stops when caught up (I8).
-
-``readStream`` lists new files in the lake folder; each micro-batch applies the cursor
-load (I1) against the target and appends.  Hourly snapshots are rewritten files, which a
-file stream sees as new and reads again in full; the cursor filter and the key dedupe at
-the mark drop what is already loaded, so re-read rows do not pile up.  A batch that is
-replayed after a failure finds its own rows at or below the mark and appends nothing
-twice.  ``trigger(availableNow=True)`` processes what is there, then stops.
+"""The lake -> raw cursor load as a file stream that stops when caught up (I8).
+
+``readStream`` lists new files in the lake folder; each micro-batch appends the rows that
+the raw table doesn't have.  ``trigger(availableNow=True)`` processes what is there, then
+stops.
+
+One mark holds for the whole run: files of one snapshot come in any order and in any number
+of micro-batches, so a batch's own largest cursor says nothing about the files still to
+come.  The mark lies in a small state table beside the stream's checkpoint and moves on only
+when a run has drained.  Rows at or past it are compared by (key, cursor) with those of the
+raw table at or past it; so a snapshot that is sent again, or a batch that is replayed after a
+failure, adds nothing twice.  A run that fails midway leaves the old mark.
+
+Rows without a cursor go to the quarantine table, as in the batch load.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.incremental import high_water_value, incremental_load
+from ledgerline.functions.scalar import all_of
+from ledgerline.operators.incremental import (high_water_value, newer_than, null_cursor_rows,
+                                              quarantine_new)
+from ledgerline.operators.latest import latest_by
 from ledgerline.sinks.files import path_exists
 
 
+def _new_rows(batch: DataFrame, loaded: DataFrame | None, cursor: str, keys: Sequence[str],
+              mark) -> DataFrame:
+    """One row per (key, cursor) of the batch, the greatest by all columns, that is not loaded."""
+    at = [*keys, cursor]
+    rest = [c for c in batch.columns if c not in at]
+    rows = newer_than(batch, cursor, mark, inclusive=True)
+    rows = latest_by(rows, at, rest) if rest else rows.distinct()
+    if loaded is None:
+        return rows
+    have = newer_than(loaded, cursor, mark, inclusive=True) \
+        .select(*[F.col(c).alias(f"__b{i}") for i, c in enumerate(at)]).distinct()
+    cond = all_of(rows[c].eqNullSafe(have[f"__b{i}"]) for i, c in enumerate(at))
+    return rows.join(have, cond, "left_anti")
+
+
 def stream_load(spark: SparkSession, src_dir: str, target_path: str, checkpoint: str,
                 schema: T.StructType, cursor: str, keys: Sequence[str],
-                max_files_per_trigger: int | None = None) -> int:
+                max_files_per_trigger: int | None = None, quarantine_path: str | None = None,
+                table: str = "stream") -> int:
     """Run the stream until caught up; returns the number of micro-batches.
 
-    The cursor mark is read from the target once when the stream starts, then advanced
-    from each batch's own max cursor, observed while the batch is written (no second
-    scan, and no scan of the growing target per batch).  After a restart it is read from
-    the target again, which also covers a batch that was written but not yet committed
-    to the stream checkpoint: its rows are at or below the mark and are not loaded twice.
+    ``quarantine_path`` takes the rows without a cursor (by default a folder beside the
+    target).
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(src_dir)
-    state = {"mark": None, "started": path_exists(spark, target_path)}
-    if state["started"]:
-        state["mark"] = high_water_value(spark.read.parquet(target_path), cursor)
+    state_path = f"{checkpoint.rstrip('/')}-mark"
+    rejects = quarantine_path or f"{target_path.rstrip('/')}_rejected"
+    mark = None
+    if path_exists(spark, state_path) and path_exists(spark, target_path):
+        mark = high_water_value(spark.read.parquet(state_path), "mark")
+    batches = 0
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        rows = batch.dropDuplicates(list(keys) + [cursor])
-        if state["started"] and state["mark"] is not None:
-            rows = incremental_load(rows, spark.read.parquet(target_path), cursor, keys,
-                                    mark=state["mark"])
-        elif not state["started"]:
-            rows = rows.where(F.col(cursor).isNotNull())
-        obs = Observation(f"stream_load_{epoch_id}")
-        rows.observe(obs, F.max(cursor).alias("mark")).write.mode("append").parquet(target_path)
-        new = obs.get.get("mark")
-        if new is not None and (state["mark"] is None or new > state["mark"]):
-            state["mark"] = new
-        state["started"] = True
+        nonlocal batches
+        batches += 1
+        quarantine_new(spark, null_cursor_rows(batch, cursor, keys, table), rejects)
+        loaded = spark.read.parquet(target_path) if path_exists(spark, target_path) else None
+        rows = _new_rows(batch.where(F.col(cursor).isNotNull()), loaded, cursor, keys, mark)
+        rows.write.mode("append").parquet(target_path)
 
     q = (stream.writeStream.foreachBatch(load_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return len(q.recentProgress)
+    if path_exists(spark, target_path):
+        # Marks only grow, so they are appended and the largest counts: no moment without one.
+        spark.read.parquet(target_path).agg(F.max(cursor).alias("mark")) \
+            .write.mode("append").parquet(state_path)
+    return batches

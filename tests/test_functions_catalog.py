@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from ledgerline import schemas as S
 from ledgerline.functions.scalar import (email_local_part, is_blank, month_start, names_unique,
                                          short_id, strip, strip_lower, within_length)
-from ledgerline.operators.incremental import is_incremental
 from ledgerline.plans.models import ShopModels
 from ledgerline.sinks.load import load_all, materialize
 
@@ -40,12 +39,3 @@ def test_models_from_catalog_and_materialize(spark, tmp_root):
     load_all({"a": items}, f"{tmp_root}/raw")
     assert spark.read.parquet(f"{tmp_root}/raw/a").count() == 4
     assert spark.read.parquet(f"{tmp_root}/raw/b").count() == 2
-
-
-def test_is_incremental(spark):
-    spark.sql("DROP TABLE IF EXISTS inc_probe")
-    assert not is_incremental(spark, "inc_probe")
-    spark.range(1).write.saveAsTable("inc_probe")
-    assert is_incremental(spark, "inc_probe")
-    assert not is_incremental(spark, "inc_probe", full_refresh=True)
-    spark.sql("DROP TABLE inc_probe")
