@@ -8,7 +8,7 @@ from ledgerline.plans import analytics as an
 from ledgerline.plans.marts import dim_transaction_items
 
 TS = dt.datetime(2024, 1, 1)
-NAMES = ["Coffee", "Tea", "Cake", "Nope"]
+NAMES = ["Mocha", "Chai", "Scone", "Nope"]
 
 
 @settings(max_examples=8, deadline=None)
@@ -67,11 +67,11 @@ def test_fanout_join_splits_hot_keys_exactly(spark):
 
 def test_static_items_with_tiny_task_budget_matches(spark):
     items = spark.createDataFrame(
-        [(i + 1, n, None, 1.0, TS, TS) for i, n in enumerate(["Coffee"] * 5 + ["Tea"] * 2)], S.ITEMS)
+        [(i + 1, n, None, 1.0, TS, TS) for i, n in enumerate(["Mocha"] * 5 + ["Chai"] * 2)], S.ITEMS)
     ti = spark.createDataFrame([], S.TRANSACTION_ITEMS)
     st_ = spark.createDataFrame(
         [(f"s{i}", n, 1, 1.0, 1.0, "In-store", "Cash", dt.date(2024, 1, 1))
-         for i, n in enumerate(["Coffee", "Coffee", "Tea", "Nope"])], S.STG_TRANSACTIONS_STATIC)
+         for i, n in enumerate(["Mocha", "Mocha", "Chai", "Nope"])], S.STG_TRANSACTIONS_STATIC)
     a = dim_transaction_items(ti, st_, items, rows_per_task=1)
     b = dim_transaction_items(ti, st_, items)
     assert a.count() == 2 * 5 + 2 + 1

@@ -9,15 +9,15 @@ def _raw(spark, rows):
     return spark.createDataFrame(rows, S.SALES_CSV)
 
 
-GOOD = ("TXN_1", "Coffee", "2", "3.5", "7.0", "In-store", "Cash", "2024-01-05")
+GOOD = ("TXN_1", "Mocha", "2", "3.75", "7.0", "In-store", "Cash", "2024-01-05")
 
 
 def test_sentinels_and_nulls_dropped(spark):
     rows = [GOOD,
-            ("TXN_2", "ERROR", "2", "3.5", "7.0", "In-store", "Cash", "2024-01-05"),
-            ("TXN_3", "Tea", "UNKNOWN", "2.5", "5.0", "Takeaway", "Cash", "2024-01-05"),
-            ("TXN_4", "Tea", "1", "2.5", "2.5", None, "Cash", "2024-01-05"),
-            ("TXN_5", "error", "1", "2.5", "2.5", "Takeaway", "Cash", "2024-01-05")]
+            ("TXN_2", "ERROR", "2", "3.75", "7.0", "In-store", "Cash", "2024-01-05"),
+            ("TXN_3", "Chai", "UNKNOWN", "2.25", "5.0", "Takeaway", "Cash", "2024-01-05"),
+            ("TXN_4", "Chai", "1", "2.25", "2.25", None, "Cash", "2024-01-05"),
+            ("TXN_5", "error", "1", "2.25", "2.25", "Takeaway", "Cash", "2024-01-05")]
     out = drop_sentinels(_raw(spark, rows)).collect()
     # sentinels are exact and case-sensitive: 'error' stays
     assert sorted(r[0] for r in out) == ["TXN_1", "TXN_5"]
@@ -25,9 +25,9 @@ def test_sentinels_and_nulls_dropped(spark):
 
 def test_unparseable_values_go_to_rejects(spark):
     rows = [GOOD,
-            ("TXN_2", "Tea", "4.0", "2.5", "10.0", "Takeaway", "Cash", "2024-01-05"),
-            ("TXN_3", "Tea", "1", "2.5", "2.5", "Takeaway", "Cash", "abc"),
-            ("TXN_4", "Tea", " 4 ", "2.5", "10.0", "Takeaway", "Cash", "2024-01-06")]
+            ("TXN_2", "Chai", "4.0", "2.25", "10.0", "Takeaway", "Cash", "2024-01-05"),
+            ("TXN_3", "Chai", "1", "2.25", "2.25", "Takeaway", "Cash", "abc"),
+            ("TXN_4", "Chai", " 4 ", "2.25", "10.0", "Takeaway", "Cash", "2024-01-06")]
     good, rejected = clean_static(_raw(spark, rows))
     g = {r.transaction_id: r for r in good.collect()}
     assert set(g) == {"TXN_1", "TXN_4"}
@@ -38,8 +38,8 @@ def test_unparseable_values_go_to_rejects(spark):
 
 
 def test_good_plus_rejected_plus_incomplete_is_input(spark):
-    rows = [GOOD, ("TXN_2", "Tea", "x", "2.5", "10.0", "Takeaway", "Cash", "2024-01-05"),
-            ("TXN_3", None, "1", "2.5", "2.5", "Takeaway", "Cash", "2024-01-05")]
+    rows = [GOOD, ("TXN_2", "Chai", "x", "2.25", "10.0", "Takeaway", "Cash", "2024-01-05"),
+            ("TXN_3", None, "1", "2.25", "2.25", "Takeaway", "Cash", "2024-01-05")]
     raw = _raw(spark, rows)
     good, rejected = clean_static(raw)
     assert good.count() + rejected.count() + 1 == raw.count()

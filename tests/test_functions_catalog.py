@@ -27,7 +27,7 @@ def test_scalar_functions(spark):
 
 
 def test_models_from_catalog_and_materialize(spark, tmp_root):
-    items = spark.createDataFrame([(1, "Coffee", "", 3.5, T0, T0), (1, "Coffee", "", 3.5, T0, T0)],
+    items = spark.createDataFrame([(1, "Mocha", "", 3.5, T0, T0), (1, "Mocha", "", 3.5, T0, T0)],
                                   S.ITEMS)
     items.createOrReplaceTempView("shop_items")
     m = ShopModels.from_catalog(spark, {"items": "shop_items"})

@@ -10,7 +10,7 @@ T0 = dt.datetime(2024, 1, 1)
 
 
 def _oltp(spark, upto_day: int):
-    items = spark.createDataFrame([(1, "Coffee", "", 3.5, T0, T0), (2, "Tea", "", 2.5, T0, T0)],
+    items = spark.createDataFrame([(1, "Mocha", "", 3.75, T0, T0), (2, "Chai", "", 2.25, T0, T0)],
                                   S.ITEMS)
     customers = spark.createDataFrame([(1, "a", "a@x.com", T0, T0)], S.CUSTOMERS)
     pms = spark.createDataFrame([(1, "Cash", True, T0), (2, "Credit Card", True, T0)],
@@ -20,7 +20,7 @@ def _oltp(spark, upto_day: int):
           dt.datetime(2024, 3, d), dt.datetime(2024, 3, d)) for d in range(1, upto_day + 1)],
         S.TRANSACTIONS)
     ti = spark.createDataFrame(
-        [(f"t{d}", 1 + d % 2, 1, 3.5, 3.5, dt.datetime(2024, 3, d)) for d in range(1, upto_day + 1)],
+        [(f"t{d}", 1 + d % 2, 1, 3.75, 3.75, dt.datetime(2024, 3, d)) for d in range(1, upto_day + 1)],
         S.TRANSACTION_ITEMS)
     return {"items": items, "customers": customers, "payment_methods": pms,
             "transactions": tx, "transaction_items": ti}
@@ -28,9 +28,9 @@ def _oltp(spark, upto_day: int):
 
 def _seed(spark):
     return spark.createDataFrame(
-        [("TXN_1", "Coffee", "2", "3.5", "7.0", "In-store", "Cash", "2024-01-05"),
-         ("TXN_2", "Tea", "ERROR", "2.5", "2.5", "Takeaway", "Cash", "2024-01-06"),
-         ("TXN_3", "Tea", "1", "2.5", "2.5", "Takeaway", "Credit Card", "2024-01-07")],
+        [("TXN_1", "Mocha", "2", "3.75", "7.0", "In-store", "Cash", "2024-01-05"),
+         ("TXN_2", "Chai", "ERROR", "2.25", "2.25", "Takeaway", "Cash", "2024-01-06"),
+         ("TXN_3", "Chai", "1", "2.25", "2.25", "Takeaway", "Credit Card", "2024-01-07")],
         S.SALES_CSV)
 
 

@@ -8,10 +8,10 @@ TS = dt.datetime(2024, 2, 1, 9, 0)
 
 def _refs(spark):
     items = spark.createDataFrame([
-        (1, "Coffee", "", 3.0, TS, dt.datetime(2024, 1, 1)),
-        (2, "Coffee", "", 3.5, TS, dt.datetime(2024, 1, 5)),   # newer price wins
-        (3, "Tea", "", 2.5, TS, dt.datetime(2024, 1, 1)),
-        (4, "Cake", "", 4.5, TS, dt.datetime(2024, 1, 1))], S.ITEMS)
+        (1, "Mocha", "", 3.0, TS, dt.datetime(2024, 1, 1)),
+        (2, "Mocha", "", 3.75, TS, dt.datetime(2024, 1, 5)),   # newer price wins
+        (3, "Chai", "", 2.25, TS, dt.datetime(2024, 1, 1)),
+        (4, "Scone", "", 4.25, TS, dt.datetime(2024, 1, 1))], S.ITEMS)
     pms = spark.createDataFrame([(1, "Cash", True, TS), (2, "Credit Card", True, TS)],
                                 S.PAYMENT_METHODS)
     customers = spark.createDataFrame([(7, "a.b", "a.b@x.com", TS, TS)], S.CUSTOMERS)
@@ -31,15 +31,15 @@ def R(rid, email, items, pm="Cash", loc="In-store"):
 def test_rules_and_all_or_nothing(spark):
     items, pms, customers = _refs(spark)
     reqs = _requests(spark, [
-        R("ok", " A.B@X.com ", [("Coffee", 2), (" Tea ", 1)]),
-        R("blank", "  ", [("Tea", 1)]),
-        R("dup", "new@y.com", [("Tea", 1), ("Tea ", 2)]),
-        R("qty0", "new@y.com", [("Tea", 0)]),
-        R("loc", "new@y.com", [("Tea", 1)], loc="Delivery"),
-        R("pay", "new@y.com", [("Tea", 1)], pm="Bitcoin"),
-        R("item", "new@y.com", [("Tea", 1), ("Nope", 1), ("Cake", 1)]),
+        R("ok", " A.B@X.com ", [("Mocha", 2), (" Chai ", 1)]),
+        R("blank", "  ", [("Chai", 1)]),
+        R("dup", "new@y.com", [("Chai", 1), ("Chai ", 2)]),
+        R("qty0", "new@y.com", [("Chai", 0)]),
+        R("loc", "new@y.com", [("Chai", 1)], loc="Delivery"),
+        R("pay", "new@y.com", [("Chai", 1)], pm="Bitcoin"),
+        R("item", "new@y.com", [("Chai", 1), ("Nope", 1), ("Scone", 1)]),
         R("empty", "new@y.com", []),
-        R("new", "New@Y.com", [("Cake", 2)]),
+        R("new", "New@Y.com", [("Scone", 2)]),
     ])
     headers, lines = flatten_requests(reqs)
     res = ingest_transactions(headers, lines, customers, items, pms)
@@ -57,7 +57,7 @@ def test_rules_and_all_or_nothing(spark):
     assert "At least one item is required" in msgs
     # the request with one unknown item among three adds no line at all
     tx = {r.customer_id: r for r in res.transactions.collect()}
-    assert 7 in tx and tx[7].total_spent == 2 * 3.5 + 2.5   # latest Coffee price
+    assert 7 in tx and tx[7].total_spent == 2 * 3.75 + 2.25   # latest Mocha price
     lines_out = res.transaction_items.collect()
     assert sorted((r.item_id, r.quantity) for r in lines_out) == [(2, 2), (3, 1), (4, 2)]
     new = res.new_customers.collect()
@@ -66,7 +66,7 @@ def test_rules_and_all_or_nothing(spark):
 
 def test_good_plus_rejected_is_input(spark):
     items, pms, customers = _refs(spark)
-    reqs = _requests(spark, [R(str(i), f"u{i}@x.com", [("Tea", i % 3)]) for i in range(30)])
+    reqs = _requests(spark, [R(str(i), f"u{i}@x.com", [("Chai", i % 3)]) for i in range(30)])
     headers, lines = flatten_requests(reqs)
     res = ingest_transactions(headers, lines, customers, items, pms)
     assert res.good_requests.count() + res.errors.count() == 30

@@ -29,10 +29,10 @@ def test_add_payment_methods_and_items(spark):
         spark.createDataFrame([(None, "Cash", None, None), (None, "Credit Card", None, None)],
                               S.PAYMENT_METHODS), pm_existing)
     assert [(r.name, r.is_active) for r in good.collect()] == [("Credit Card", True)]
-    items = spark.createDataFrame([(None, "Cake", "x", 4.5, TS, TS), (None, "Bad", "x", -1.0, TS, TS)],
+    items = spark.createDataFrame([(None, "Scone", "x", 4.25, TS, TS), (None, "Bad", "x", -1.0, TS, TS)],
                                   S.ITEMS)
     ok, rej = add_items(items)
-    assert [r.name for r in ok.collect()] == ["Cake"]
+    assert [r.name for r in ok.collect()] == ["Scone"]
     assert [r.error_message for r in rej.collect()] == ["unit_price must be >= 0"]
 
 
@@ -55,7 +55,7 @@ def test_result_cache_expires(spark):
 
 def test_reset_and_reload(spark, tmp_root):
     spark.createDataFrame([(9, "Old", None, 1.0, TS, TS)], S.ITEMS).write.parquet(f"{tmp_root}/items")
-    sample = spark.createDataFrame([(1, "Cake", None, 4.5, TS, TS)], S.ITEMS)
+    sample = spark.createDataFrame([(1, "Scone", None, 4.25, TS, TS)], S.ITEMS)
     rep = reset_and_reload(spark, tmp_root, {"items": sample}, ["items"]).collect()
     assert [(r.rows_before, r.rows_after) for r in rep] == [(1, 0)]
-    assert [r.name for r in spark.read.parquet(f"{tmp_root}/items").collect()] == ["Cake"]
+    assert [r.name for r in spark.read.parquet(f"{tmp_root}/items").collect()] == ["Scone"]
