@@ -45,21 +45,25 @@ class Automaton:
         for symbol in alphabet:
             self.ids[symbol] = ids[symbol]
             self.born[ids[symbol]] = -1
+        self.met = set(self.born)
         for number, (a, b) in enumerate(merges):
             self._gadget(number, ids[a], ids[b], a + b, ids[a + b])
-        self.labels = {i: x for x, i in self.ids.items()}
+        self.labels = {ids[x]: x for x in (*alphabet, *(a + b for a, b in merges))}
         self.longest = max(map(len, self.ids), default=0)
         self.table = Remembered(self._has_arc, 400_000)
 
     def _gadget(self, number: int, a: int, b: int, label: str, token: int) -> None:
         if token in self.born or (a, b) in self.lost:
             raise ValueError(f"merge {number} makes a token or joins a pair that an earlier one does")
+        # Where an earlier gadget took the arc b from behind a, no text has the two side by side.
+        if a in self.met and b in self.met and self._has_arc((a, b)):
+            self.ids[label] = token
+            self.met.add(token)
         self.lost[a, b] = number
-        self.ids[label] = token
         self.left[token], self.right[token], self.born[token] = a, b, number
 
     def _has_arc(self, pair: tuple[int, int]) -> bool:
-        """Whether state s has arc t, all gadgets being in place.
+        """Whether state s has arc t, all gadgets so far being in place.
 
         Back in time: before gadget ``until`` the newer of both didn't exist and stood for one of its halves.
         """
@@ -80,24 +84,32 @@ class Automaton:
                 s, t, until = self.right[s], self.left[t], a
 
     def encode(self, word: str) -> list[int]:
-        """The only path whose labels spell the word.  ``word`` is not empty and spelt in the alphabet."""
-        n, ids, table, longest = len(word), self.ids, self.table, self.longest
-        token: list[int | None] = [START] + [None] * n
-        came = [0] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(max(0, end - longest), end):
-                s = token[start]
-                if s is None:
-                    continue
-                t = ids.get(word[start:end] if end < n else word[start:] + self.suffix)
-                if t is not None and (s == START or table[s, t]):
-                    token[end], came[end] = t, start
+        """The only path whose labels spell the word.  ``word`` is not empty and spelt in the alphabet.
+
+        From each position the longest arc goes first.  At most one path leads to a position, so one from which
+        no arc goes on is never entered again.
+        """
+        n, ids, table, longest, suffix = len(word), self.ids, self.table, self.longest, self.suffix
+        path: list[int] = []
+        ends: list[int] = []
+        dead: set[int] = set()
+        at, state, end = 0, START, min(n, longest)
+        while at < n:
+            while end > at:
+                t = ids.get(word[at:end]) if end < n else ids.get(word[at:] + suffix)
+                if t is not None and end not in dead and (state == START or table[state, t]):
                     break
-        path, at = [], n
-        while at:
-            path.append(token[at])
-            at = came[at]
-        return path[::-1]
+                end -= 1
+            if end > at:
+                path.append(t)
+                ends.append(end)
+                at, state, end = end, t, min(n, end + longest)
+            else:  # back to the position before, with the next shorter arc
+                dead.add(at)
+                path.pop()
+                end = ends.pop() - 1
+                at, state = (ends[-1], path[-1]) if path else (0, START)
+        return path
 
 
 class AutomatonTokenizer:
@@ -117,20 +129,22 @@ class AutomatonTokenizer:
         self.automaton = Automaton(alphabet, merges, model["vocab"], model["end_of_word_suffix"] or "")
         self.labels = self.automaton.labels | {i: x for x, i in self.special.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        spell = self.library.pre_tokenizer.pre_tokenize_str
-        self.spelt = {b: spell(chr(b))[0][0] for b in range(33, 127)}
-        self.pieces = Remembered(self._piece, 150_000)
+        self.pieces = Remembered(self._piece, 200_000)
 
     def _words(self, text: str) -> list[str]:
-        """Normalised, pre-split and spelt in the alphabet."""
-        if _KNOWN.match(text) and text.isascii():
-            return [x.translate(self.spelt) for x in _WORD_WORDS.findall(text.lower())]
+        """Normalised, pre-split and spelt in the alphabet, which has printable ASCII as it is."""
+        if text.isascii() and text.isprintable():
+            text = text.lower()
+            return [text] if text.isalpha() else _WORD_WORDS.findall(text)
         return [x for x, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))]
 
     def _piece(self, piece: str) -> tuple[int, str, str]:
         """Of text without blanks at its ends: number of ids, ids and labels as written in the digests."""
+        if piece[-1] in ".," and piece[:-1].isalpha() and _KNOWN.match(piece):  # two words, each met before most of the time
+            head, tail = self.pieces[piece[:-1]], self.pieces[piece[-1]]
+            return head[0] + tail[0], f"{head[1]} {tail[1]}", f"{head[2]} {tail[2]}"
         ids: list[int] = []
-        for part in self.cut.split(piece):
+        for part in self.cut.split(piece) if "<|" in piece else (piece,):
             if part in self.special:
                 ids.append(self.special[part])
             elif part:

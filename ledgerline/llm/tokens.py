@@ -101,7 +101,7 @@ class PieceEncoder:
 
         None if white space beside the blank makes it part of a longer run.
         """
-        if piece[-1:] in (".", ",") and piece[-2:-1].isalpha():
+        if piece[-1:] in (".", ",") and piece[-2:-1].isalpha() and piece[-2] < "\u0180":
             head = self.after_blank[piece[:-1]]
             return head and head + self.first[piece[-1]]
         if not self.by_byte:

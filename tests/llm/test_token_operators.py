@@ -116,7 +116,7 @@ def greedy(word, merges):
             at += 1
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=600, deadline=None)
 @given(st.data())
 def test_automaton_equals_greedy_merging(data):
     made, merges = ["a", "b", "c"], []
