@@ -7,6 +7,9 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import binary_output, bpe, classifier, embeddings, jaccard, packing, quality, sharding, substrings, tokens
+from ledgerline.llm.oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,4 +70,3 @@ QUERIES = {
         op7_bpe_automaton, op8_near_vectors, op9_best_fit_packing, op10_jaccard_join,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
