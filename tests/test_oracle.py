@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from tools.check_oracle import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(E.oracle_sql())
+KEYS = sorted(E.QUERIES)
 
 
 @pytest.fixture(scope="module")
