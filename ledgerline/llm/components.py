@@ -29,11 +29,12 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """
     now = scratch.write(links.select("a", "b").distinct(), f"{name}-0")
     mark, step = None, 0
-    while True:
+    while not now.isEmpty():
         step += 1
         now = scratch.write(_small_star(_large_star(now)), f"{name}-{step}")
         found = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         scratch.drop(f"{name}-{step - 1}")
-        if (found["n"], found["h"]) == mark or not found["n"]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        if (found["n"], found["h"]) == mark:
+            break
         mark = (found["n"], found["h"])
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

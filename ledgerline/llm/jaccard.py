@@ -12,11 +12,12 @@ sizes s <= t have t <= 4s/3 and differ in at most D = (s + t) / 7 shingles.
    changes one place, so sketches of linked sets differ in at most D places, and as more than D places are filled,
    they agree in a filled one (pigeonhole).  Sets are joined on (band, place, XOR).  In narrow bands each shingle
    has a place of its own.
-4. *Check*: a sketch of parity bits has a Hamming distance of at most the number of differing shingles; pairs whose
-   distance is above D are out.  The others are compared exactly.
+4. *Check*: a sketch of parity bits, some for each shingle, has a Hamming distance of at most the number of
+   differing shingles; pairs whose distance is above D are out.  The others are compared exactly.
 
 Each set is first compared with the least set of each bucket that it is in.  All pairs of a bucket are needed only
-where its sets then still belong to different components; linked groups never expand into all their pairs.
+where its sets then still belong to different components, and of these only sets that share all but a quarter of
+their shingles with other components; linked groups never expand into all their pairs.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from ledgerline.llm.textbytes import flat, hashes, mix, words
 from ledgerline.llm.tokens import by_bytes
 
 PERCENT = 75
+#: Least parity bits of a set; larger sets have two to four for each shingle.
 SKETCH_BITS = 1024
 #: Bands whose largest set is at most this have a place for each shingle.
 SINGLE = 340
@@ -106,70 +108,119 @@ def set_marks(docs: DataFrame, id_col: str, text_col: str, width: int, group_byt
 
 
 def _digests(s: np.ndarray) -> tuple[int, int]:
-    """Of a set; the lowest bit of the first is free."""
+    """Two 64-bit digests of a set."""
     with np.errstate(over="ignore"):
-        return _signed(mix(s).sum(dtype=np.uint64) & ~np.uint64(1)), _signed(np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D))) if len(s) else 0)
+        return _signed(mix(s).sum(dtype=np.uint64)), _signed(np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D))) if len(s) else 0)
 
 
-def lonely_counts(docs: DataFrame, text_col: str, width: int, group_bytes: int = 4 << 20) -> DataFrame:
-    """d1 and the number of its judged shingles that no other set among ``docs`` has.
+def _deal_shingles(sets: list[np.ndarray], owners: np.ndarray, groups: np.ndarray, buckets: int) -> pa.RecordBatch | None:
+    """The shingles in which sets are judged, one row per bucket: (bucket, low, owners, groups, judged, runs).
 
-    Shingles travel as 48 bits beside those that choose the bucket; two that fall together only seem shared,
-    which keeps a set that might have gone.
+    A set of s shingles is judged by those in ``_share(s)`` of the hash space, and sends those that a smaller
+    partner is judged by.  Shingles travel as 48 bits beside those that choose the bucket; two that fall
+    together only seem shared, which keeps a set that might have gone.
     """
-    spark = docs.sparkSession
-    buckets = partitions(spark)
-
-    def deal(batches):
-        for batch, a, b in _groups(batches, 0, group_bytes):
-            sets = [s for s in shingle_sets(batch.column(0).slice(a, b - a), width) if len(s)]
-            if not sets:
-                continue
-            size = np.array([len(s) for s in sets])
-            every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
-            where = (every >> np.uint64(11)).astype(np.float64) / 2.0**53
-            sent = where < _share(0.75 * size)[owner]
-            every, owner, judged = every[sent], owner[sent], (where < _share(size)[owner])[sent]
-            d1 = np.array([_digests(s)[0] for s in sets], np.int64)[owner] | judged
-            bucket = (every % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((d1, bucket))
-            bucket, every, d1 = bucket[order], every[order], d1[order]
-            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
-            rows = []
-            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                new = np.flatnonzero(np.r_[True, d1[x + 1 : y] != d1[x : y - 1], True])
-                low = every[x:y].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
-                rows.append((int(bucket[x]), low.tobytes(), d1[x:y][new[:-1]].astype("<i8").tobytes(), np.diff(new).astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)], names=["bucket", "low", "d1", "runs"])
+    size = np.array([len(s) for s in sets])
+    if not size.sum():
+        return None
+    every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    where = (every >> np.uint64(11)).astype(np.float64) / 2.0**53
+    sent = where < _share(0.75 * size)[owner]
+    every, owner, judged = every[sent], owner[sent], (where < _share(size)[owner])[sent]
+    if not len(every):
+        return None
+    bucket = (every % np.uint64(buckets)).astype(np.int64)
+    run = owner * 2 + judged
+    order = np.lexsort((run, bucket))
+    bucket, every, run = bucket[order], every[order], run[order]
+    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+    rows = []
+    for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+        new = np.flatnonzero(np.r_[True, run[x + 1 : y] != run[x : y - 1], True])
+        low = every[x:y].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
+        at = run[x:y][new[:-1]]
+        parts = (owners[at >> 1].astype("<i8"), groups[at >> 1].astype("<i8"), (at & 1).astype(np.uint8), np.diff(new).astype("<u4"))
+        rows.append((int(bucket[x]), low.tobytes(), *(p.tobytes() for p in parts)))
+    kinds = (pa.int32(), *[pa.binary()] * 5)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=_DEALT)
+
+
+_DEALT = ["bucket", "low", "owners", "groups", "judged", "runs"]
+_DEALT_KIND = "bucket int, low binary, owners binary, groups binary, judged binary, runs binary"
+
+
+def _count_lonely(dealt: DataFrame) -> DataFrame:
+    """owner and the number of its judged shingles that only sets of its own group have."""
 
     def count(batches):
         by_bucket: dict[int, list] = {}
         for batch in batches:
             for bucket, *parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 by_bucket.setdefault(bucket, []).append(parts)
-        for parts in by_bucket.values():
-            low = np.frombuffer(b"".join(p[0] for p in parts), np.uint8).reshape(-1, 6)
-            key = np.zeros((len(low), 8), np.uint8)
-            key[:, :6] = low
+        while by_bucket:
+            _, parts = by_bucket.popitem()
+            low, owner, group, judged, runs = (np.frombuffer(b"".join(p[k] for p in parts), t) for k, t in enumerate((np.uint8, "<i8", "<i8", np.uint8, "<u4")))
+            key = np.zeros((len(low) // 6, 8), np.uint8)
+            key[:, :6] = low.reshape(-1, 6)
             key = key.view("<u8")[:, 0]
-            d1 = np.repeat(np.frombuffer(b"".join(p[1] for p in parts), "<i8"), np.frombuffer(b"".join(p[2] for p in parts), "<u4"))
-            order = np.argsort(key)
-            key, d1 = key[order], d1[order]
+            run = np.repeat(np.arange(len(runs)), runs)
+            order = np.lexsort((owner[run], key))
+            key, run = key[order], run[order]
             starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            low_d, high_d = np.minimum.reduceat(d1, starts), np.maximum.reduceat(d1, starts)
-            own = low_d[(low_d == high_d) & (low_d & 1 == 1)]
-            found, n = np.unique(own & ~np.int64(1), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["d1", "n"])
+            of = group[run]
+            alone = np.minimum.reduceat(of, starts) == np.maximum.reduceat(of, starts)
+            mine = np.repeat(alone, np.diff(np.append(starts, len(key)))) & (judged[run] == 1)
+            mine[1:] &= (key[1:] != key[:-1]) | (owner[run[1:]] != owner[run[:-1]])  # copies count once
+            found, n = np.unique(owner[run[mine]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["owner", "n"])
+
+    return dealt.repartition("bucket").mapInArrow(count, "owner bigint, n bigint").groupBy("owner").agg(F.sum("n").alias("lonely"))
+
+
+def lonely_counts(docs: DataFrame, text_col: str, width: int, group_bytes: int = 4 << 20) -> DataFrame:
+    """d1 (as ``owner``) and the number of its judged shingles that no other set among ``docs`` has."""
+    buckets = partitions(docs.sparkSession)
+
+    def deal(batches):
+        for batch, a, b in _groups(batches, 0, group_bytes):
+            sets = shingle_sets(batch.column(0).slice(a, b - a), width)
+            d1 = np.array([_digests(s)[0] for s in sets], np.int64)
+            if (out := _deal_shingles(sets, d1, d1, buckets)) is not None:
+                yield out
 
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    dealt = texts.mapInArrow(deal, "bucket int, low binary, d1 binary, runs binary").repartition("bucket")
-    return dealt.mapInArrow(count, "d1 bigint, n bigint").groupBy("d1").agg(F.sum("n").alias("lonely"))
+    return _count_lonely(texts.mapInArrow(deal, _DEALT_KIND))
+
+
+def lonely_in_component(sets: DataFrame, group_bytes: int = 4 << 20) -> DataFrame:
+    """id (as ``owner``) and the number of its judged shingles that no set of another component (``root``) has."""
+    buckets = partitions(sets.sparkSession)
+
+    def deal(batches):
+        for batch, a, b in _groups(batches, 2, group_bytes):
+            ids, roots = (batch.column(c).slice(a, b - a).to_numpy() for c in (0, 1))
+            found = [np.frombuffer(x, "<u8") for x in batch.column(2).slice(a, b - a).to_pylist()]
+            if (out := _deal_shingles(found, ids, roots, buckets)) is not None:
+                yield out
+
+    return _count_lonely(sets.select("id", "root", "shingles").mapInArrow(deal, _DEALT_KIND))
 
 
 def parity_sketch(s: np.ndarray) -> np.ndarray:
-    """SKETCH_BITS parities, as bytes: each shingle turns over one bit."""
-    bits = np.bincount((mix(s) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(bits.astype(np.uint8))
+    """Parities, as bytes: each shingle turns over one bit.  The number of bits is a power of two, and the halves
+    of a sketch, XORed, are the sketch of half as many bits."""
+    size = max(SKETCH_BITS, 1 << int(2 * len(s) - 1).bit_length())
+    bits = np.bincount((mix(s) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little")
+
+
+def sketch_distance(one: np.ndarray, two: np.ndarray) -> int:
+    """Of two sketches as bytes: a lower bound of the number of shingles that only one of the sets has."""
+    while len(one) != len(two):
+        if len(one) < len(two):
+            one, two = two, one
+        one = one[: len(one) // 2] ^ one[len(one) // 2 :]
+    return int(np.bitwise_count(one ^ two).sum(dtype=np.int64))
 
 
 def set_table(docs: DataFrame, id_col: str, text_col: str, width: int, group_bytes: int = 4 << 20) -> DataFrame:
@@ -281,30 +332,47 @@ def _most(s: np.ndarray, t: np.ndarray) -> np.ndarray:
     return np.where(100 * np.minimum(s, t) >= PERCENT * np.maximum(s, t), (s + t) * (100 - PERCENT) // (100 + PERCENT), -1)
 
 
+def _fold(sketch: np.ndarray) -> np.ndarray:
+    """To SKETCH_BITS bits, as 64-bit numbers."""
+    while len(sketch) * 8 > SKETCH_BITS:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return np.ascontiguousarray(sketch).view("<u8")
+
+
 def cross_pairs(sets: DataFrame, tile: int = 512) -> DataFrame:
     """Distinct pairs (a, b) of sets of one bucket in different components whose sketches allow a link."""
 
     def pairs(batches):
         for owner, starts, ids, (roots, sizes, sketches) in _by_bucket(batches, 4):
             root, size = np.array(roots, np.int64), np.array(sizes, np.int64)
-            bits = np.frombuffer(b"".join(sketches), "<u8").reshape(len(ids), -1)
+            bits = [np.frombuffer(x, np.uint8) for x in sketches]
+            folded = np.array([_fold(x) for x in bits])
             out = []
-            for x, y in zip(starts[:-1], starts[1:], strict=True):
-                at = owner[x:y]
-                if len(at) < 2 or (root[at] == root[at[0]]).all():
-                    continue
+            if len(starts) < 2:
+                continue
+            # Buckets of several components; of those with the same sets, which near-copies share by the hundred, one.
+            of, first = root[owner], starts[:-1]
+            size_of = np.diff(starts)
+            mark = mix(np.add.reduceat(mix(ids[owner].astype(np.uint64)), first) + size_of.astype(np.uint64))
+            several = np.flatnonzero((size_of > 1) & (np.minimum.reduceat(of, first) != np.maximum.reduceat(of, first)))
+            _, pick = np.unique(mark[several], return_index=True)
+            for g in several[pick]:
+                at = owner[starts[g] : starts[g + 1]]
                 for k in range(0, len(at), tile):
                     i = at[k : k + tile]
                     for m in range(k, len(at), tile):
                         j = at[m : m + tile]
                         most = _most(size[i][:, None], size[j][None, :])
                         p, q = np.nonzero((root[i][:, None] != root[j][None, :]) & (most >= 0))
-                        far = np.bitwise_count(bits[i[p]] ^ bits[j[q]]).sum(axis=1)
-                        p, q = p[near := far <= most[p, q]], q[near]
-                        out.append(np.stack([np.minimum(ids[i[p]], ids[j[q]]), np.maximum(ids[i[p]], ids[j[q]])]))
+                        far = np.bitwise_count(folded[i[p]] ^ folded[j[q]]).sum(axis=1)
+                        near = far <= most[p, q]
+                        out.append(np.unique(np.minimum(i[p[near]], j[q[near]]).astype(np.int64) * len(ids) + np.maximum(i[p[near]], j[q[near]])))
             if out:
-                two = np.unique(np.hstack(out), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(two[0]), pa.array(two[1])], names=["a", "b"])
+                i, j = np.divmod(np.unique(np.concatenate(out)), len(ids))
+                most = _most(size[i], size[j])
+                near = np.array([sketch_distance(bits[x], bits[y]) <= m for x, y, m in zip(i, j, most, strict=True)], bool)
+                a, b = ids[i[near]], ids[j[near]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     dealt = _deal_keys(sets.select("id", "shingles", "root", "n", "sketch"), ["root", "n", "sketch"], ", root array<bigint>, n array<bigint>, sketch array<binary>")
     return dealt.mapInArrow(pairs, "a bigint, b bigint").where("a != b").distinct()
@@ -316,10 +384,10 @@ def sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            bits = [np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(batch.num_rows, -1) for c in (4, 5)]
             most = _most(batch.column(2).to_numpy(), batch.column(3).to_numpy())
-            keep = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1) <= most
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in (0, 1)], names=["a", "b"])
+            pairs = zip(most.tolist(), batch.column(4), batch.column(5), strict=True)
+            keep = [m >= 0 and sketch_distance(*(np.frombuffer(x.as_buffer(), np.uint8) for x in two)) <= m for m, *two in pairs]
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in (0, 1)], names=["a", "b"])
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "s_a", "s_b")
     return both.mapInArrow(run, "a bigint, b bigint")
@@ -355,8 +423,8 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     full = marks.where("id is not null and n > 0")
     points = full.groupBy("n", "d1", "d2").agg(F.min("id").alias("point"))
     lonely = lonely_counts(docs.where(F.col(id_col).isNotNull()), text_col, width)
-    left = points.join(lonely, "d1", "left").where("4 * coalesce(lonely, 0) <= n").select(F.col("point").alias(id_col)).distinct()
-    sets = scratch.write(set_table(docs.select(id_col, text_col).join(left, id_col), id_col, text_col, width).where("n > 0").distinct(), "sets")
+    left = points.join(lonely, F.col("d1") == F.col("owner"), "left").where("4 * coalesce(lonely, 0) <= n").select(F.col("point").alias(id_col)).distinct()
+    sets = scratch.write(set_table(docs.select(id_col, text_col).join(left, id_col), id_col, text_col, width).where("n > 0"), "sets")
 
     stars = scratch.write(star_pairs(sets), "stars")
     likely = scratch.write(sketched(stars, sets), "likely")
@@ -365,10 +433,12 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     roots = components(links, scratch, "roots-1")
     links2 = scratch.write(checked(_apart(likely, roots).select("a", "b"), sets), "links-2")
     roots = scratch.write(components(_joined(roots, links2), scratch, "roots-2"), "roots")
-    open_pairs = _apart(stars, roots)
-    mixed = open_pairs.select(F.col("root_a").alias("root")).union(open_pairs.select("root_b")).distinct()
-    rooted = sets.join(roots, sets["id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "id")).drop("node")
-    links3 = scratch.write(checked(cross_pairs(rooted.join(mixed, "root")), sets), "links-3")
+    # The same argument as in step 2, for components: a set that lacks too many shingles outside its own
+    # component has no partner there.
+    rooted = scratch.write(sets.join(roots, sets["id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "id")).drop("node"), "rooted")
+    lonely = lonely_in_component(rooted)
+    open_sets = rooted.join(lonely, F.col("id") == F.col("owner"), "left").where("4 * coalesce(lonely, 0) <= n").select(*rooted.columns)
+    links3 = scratch.write(checked(cross_pairs(open_sets), sets), "links-3")
     roots = components(_joined(roots, links3), scratch, "roots-3")
 
     points = points.join(roots, F.col("point") == F.col("node"), "left")

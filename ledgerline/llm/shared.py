@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -37,8 +38,15 @@ class Scratch:
     def write(self, df: DataFrame, name: str, **options) -> DataFrame:
         at = f"{self.path}/{name}"
         df.write.options(**options).parquet(at)
+        self._release()
         return self.spark.read.schema(df.schema).parquet(at)
 
+    def _release(self) -> None:
+        """Let go of the shuffle files of steps that are done: Spark deletes them once the driver has found that
+        nothing refers to them, so a long chain of steps needs disk for few of them at a time."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for name in names:
