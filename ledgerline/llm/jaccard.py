@@ -223,20 +223,28 @@ def sketch_distance(one: np.ndarray, two: np.ndarray) -> int:
     return int(np.bitwise_count(one ^ two).sum(dtype=np.int64))
 
 
+def _fold(sketch: np.ndarray) -> np.ndarray:
+    """To SKETCH_BITS bits."""
+    while len(sketch) * 8 > SKETCH_BITS:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
+
+
 def set_table(docs: DataFrame, id_col: str, text_col: str, width: int, group_bytes: int = 4 << 20) -> DataFrame:
-    """id, n, sketch, shingles (64-bit, sorted, as bytes)."""
+    """id, n, sketch, folded (the sketch in SKETCH_BITS bits), shingles (64-bit, sorted, as bytes)."""
 
     def run(batches):
         for batch, a, b in _groups(batches, 1, group_bytes):
             sets = shingle_sets(batch.column(1).slice(a, b - a), width)
+            marks = [parity_sketch(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([parity_sketch(s).tobytes() for s in sets], pa.binary()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
-                names=["id", "n", "sketch", "shingles"],
+                [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array([m.tobytes() for m in marks], pa.binary()),
+                 pa.array([_fold(m).tobytes() for m in marks], pa.binary()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
+                names=["id", "n", "sketch", "folded", "shingles"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return _texts(docs, id_col, text_col).mapInArrow(run, f"id {kind}, n bigint, sketch binary, shingles binary")
+    return _texts(docs, id_col, text_col).mapInArrow(run, f"id {kind}, n bigint, sketch binary, folded binary, shingles binary")
 
 
 def bands(n: int) -> tuple[tuple[int, int], ...]:
@@ -332,21 +340,14 @@ def _most(s: np.ndarray, t: np.ndarray) -> np.ndarray:
     return np.where(100 * np.minimum(s, t) >= PERCENT * np.maximum(s, t), (s + t) * (100 - PERCENT) // (100 + PERCENT), -1)
 
 
-def _fold(sketch: np.ndarray) -> np.ndarray:
-    """To SKETCH_BITS bits, as 64-bit numbers."""
-    while len(sketch) * 8 > SKETCH_BITS:
-        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
-    return np.ascontiguousarray(sketch).view("<u8")
-
-
 def cross_pairs(sets: DataFrame, tile: int = 512) -> DataFrame:
-    """Distinct pairs (a, b) of sets of one bucket in different components whose sketches allow a link."""
+    """Distinct pairs (a, b) of sets of one bucket in different components whose sketches, folded to SKETCH_BITS bits,
+    allow a link; see ``sketched`` for the whole sketches, which are too long to go into every bucket."""
 
     def pairs(batches):
         for owner, starts, ids, (roots, sizes, sketches) in _by_bucket(batches, 4):
             root, size = np.array(roots, np.int64), np.array(sizes, np.int64)
-            bits = [np.frombuffer(x, np.uint8) for x in sketches]
-            folded = np.array([_fold(x) for x in bits])
+            folded = np.frombuffer(b"".join(sketches), "<u8").reshape(len(ids), -1)
             out = []
             if len(starts) < 2:
                 continue
@@ -369,12 +370,10 @@ def cross_pairs(sets: DataFrame, tile: int = 512) -> DataFrame:
                         out.append(np.unique(np.minimum(i[p[near]], j[q[near]]).astype(np.int64) * len(ids) + np.maximum(i[p[near]], j[q[near]])))
             if out:
                 i, j = np.divmod(np.unique(np.concatenate(out)), len(ids))
-                most = _most(size[i], size[j])
-                near = np.array([sketch_distance(bits[x], bits[y]) <= m for x, y, m in zip(i, j, most, strict=True)], bool)
-                a, b = ids[i[near]], ids[j[near]]
+                a, b = ids[i], ids[j]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    dealt = _deal_keys(sets.select("id", "shingles", "root", "n", "sketch"), ["root", "n", "sketch"], ", root array<bigint>, n array<bigint>, sketch array<binary>")
+    dealt = _deal_keys(sets.select("id", "shingles", "root", "n", "folded"), ["root", "n", "folded"], ", root array<bigint>, n array<bigint>, folded array<binary>")
     return dealt.mapInArrow(pairs, "a bigint, b bigint").where("a != b").distinct()
 
 
@@ -438,7 +437,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rooted = scratch.write(sets.join(roots, sets["id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "id")).drop("node"), "rooted")
     lonely = lonely_in_component(rooted)
     open_sets = rooted.join(lonely, F.col("id") == F.col("owner"), "left").where("4 * coalesce(lonely, 0) <= n").select(*rooted.columns)
-    links3 = scratch.write(checked(cross_pairs(open_sets), sets), "links-3")
+    links3 = scratch.write(checked(sketched(cross_pairs(open_sets), sets), sets), "links-3")
     roots = components(_joined(roots, links3), scratch, "roots-3")
 
     points = points.join(roots, F.col("point") == F.col("node"), "left")
