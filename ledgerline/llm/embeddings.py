@@ -2,9 +2,12 @@
 
 * A bounded sample of the vectors is projected on its principal directions, and rotations are learned (ITQ) that
   bring the projections close to the corners of a cube.  The signs of the rotated vector are its code; several
-  learned rotations make it ``BITS`` bits long.
+  learned rotations make it ``BITS`` bits long, or longer.
 * The code is cut into strings of ``STRING`` bits, one table for each.  Two codes that differ in fewer places than
   there are tables share a string, and meet in that table's bucket.
+* Taking the mean away widens the angle of a linked pair where the vectors share a direction.  So the number of
+  tables, and then the length of the strings, is learned: partners at the very threshold are made for vectors of the
+  sample, and tables are added, or strings shortened, until ``RECALL`` of these pairs meet.
 * In each bucket the original vectors are compared in double precision.  A link is counted in the first table in
   which its two vectors meet.  No pairs leave the task: only each vector's number of links, and one link of each
   vector to the least of the bucket's component that it is in.
@@ -25,6 +28,7 @@ from ledgerline.llm.shared import Scratch
 
 BITS, STRING = 256, 16
 TABLES = BITS // STRING
+RECALL, MOST_TABLES = 0.95, 64
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -49,16 +53,48 @@ def learn_rotation(x: np.ndarray, seed: int, rounds: int = 30) -> tuple[np.ndarr
     return mean, basis @ turn
 
 
-def learn_codes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and projection to BITS numbers, from as many learned rotations as that takes."""
-    found = [learn_rotation(x, seed) for seed in range(-(-BITS // min(BITS, x.shape[1])))]
-    return found[0][0], np.hstack([p for _, p in found])[:, :BITS]
+def partners(x: np.ndarray, least: float, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of x and for each a vector whose cosine to it is ``least``: half of them off in any direction, half in the
+    direction of the difference of two other rows."""
+    rng = np.random.default_rng(seed)
+    a = x[rng.integers(0, len(x), 4000)]
+    side = rng.normal(size=a.shape)
+    apart = x[rng.integers(0, len(x), len(a))] - x[rng.integers(0, len(x), len(a))]
+    other = (np.arange(len(a)) % 2 == 0) & (np.abs(apart).max(axis=1) > 1e-9)
+    side[other] = apart[other]
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    length = np.linalg.norm(side, axis=1, keepdims=True)
+    full = length[:, 0] > 1e-9
+    a, side = a[full], side[full] / length[full]
+    return a, least * a + np.sqrt(max(0.0, 1 - least * least)) * side
 
 
-def strings(x: np.ndarray, code: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The code of each row of x as TABLES unsigned 16-bit numbers."""
-    mean, projection = code
-    return np.packbits((x - mean) @ projection >= 0, axis=1).view("<u2")
+def learn_codes(x: np.ndarray, least: float = 0.95) -> tuple[np.ndarray, np.ndarray, int]:
+    """Mean, projection to the bits of all tables, from as many learned rotations as that takes, and bits a string.
+
+    Tables come first, since more of them cost in proportion; shorter strings, whose buckets are larger, only where
+    ``MOST_TABLES`` do not bring ``RECALL`` of pairs at the threshold together.
+    """
+    a, b = partners(x, least)
+    found = []
+    for length in (STRING, 12, 10, 8, 6, 4, 2, 1):
+        for tables in (TABLES, 24, 32, 48, MOST_TABLES):
+            while sum(p.shape[1] for _, p in found) < tables * length:
+                found.append(learn_rotation(x, len(found)))
+            code = found[0][0], np.hstack([p for _, p in found])[:, : tables * length], length
+            if not len(a):
+                return code
+            met = (strings(a, code) == strings(b, code)).any(axis=1)
+            if min(met[::2].mean(), met[1::2].mean()) >= RECALL:
+                return code
+    return code
+
+
+def strings(x: np.ndarray, code: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
+    """The code of each row of x as one unsigned 16-bit number for each table."""
+    mean, projection, length = code
+    bits = ((x - mean) @ projection >= 0).reshape(len(x), -1, length)
+    return np.packbits(np.pad(bits, ((0, 0), (0, 0), (0, 16 - length))), axis=2).view("<u2")[:, :, 0]
 
 
 def _matrix(lists: pa.Array, dim: int) -> np.ndarray:
@@ -112,7 +148,7 @@ def _buckets(rows: DataFrame, dim: int, least: float) -> DataFrame:
                 continue
             pick = pa.array(order[a:b])
             x = unit(_matrix(vectors.take(pick).combine_chunks(), dim))
-            words = np.frombuffer(b"".join(codes.take(pick).to_pylist()), "<u2").reshape(-1, TABLES)
+            words = np.frombuffer(b"".join(codes.take(pick).to_pylist()), "<u2").reshape(b - a, -1)
             n, root = compare(ids[a:b], copies[a:b], words, x, stored[a:b], int(key[0, a]), least)
             use = (n > 0) | (root != ids[a:b])
             out.append(np.stack([ids[a:b][use], n[use], root[use]]))
@@ -162,7 +198,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
 def _links(points: DataFrame, scratch: Scratch, dim: int, least: float, max_sample: int, block: int) -> DataFrame:
     sample = points.orderBy(F.xxhash64("point"), "point").limit(max_sample).select("vector").toArrow().column(0).combine_chunks()
-    code = learn_codes(unit(_matrix(sample, dim)))
+    code = learn_codes(unit(_matrix(sample, dim)), least)
 
     def encode(batches):
         for batch in batches:

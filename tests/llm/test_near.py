@@ -95,6 +95,20 @@ def test_recall_at_the_threshold():
     assert met.mean() > 0.93
 
 
+@pytest.mark.parametrize("shared", [0.0, 1.0, 1.8])
+def test_recall_with_a_common_direction(shared):
+    """Pairs of cosine 0.95 to 0.97 among vectors whose mean has norm 0, 0.7 or 0.87."""
+    rng = np.random.default_rng(9)
+    make = lambda n: embeddings.unit(rng.normal(size=(n, 64)) / 8 + shared * np.eye(64)[0])
+    code = embeddings.learn_codes(make(4000))
+    a = make(3000)
+    side = rng.normal(size=(3000, 64))
+    side = embeddings.unit(side - (side * a).sum(1, keepdims=True) * a)
+    cosine = rng.uniform(0.95, 0.97, (3000, 1))
+    b = cosine * a + np.sqrt(1 - cosine**2) * side
+    assert (embeddings.strings(a, code) == embeddings.strings(b, code)).any(axis=1).mean() > 0.93
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert embeddings.near_vectors(df).collect() == []
