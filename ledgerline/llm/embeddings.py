@@ -12,12 +12,15 @@
   which its two vectors meet.  No pairs leave the task: only each vector's number of links, and one link of each
   vector to the least of the bucket's component that it is in.
 
-Equal vectors are one point with a number of copies.  A bucket of more than ``block`` vectors is cut into parts:
-each part is compared with the whole bucket by a task of its own.
+Equal vectors are one point with a number of copies.  A bucket of more than ``block`` vectors is cut into blocks, and
+each pair of blocks is a group of its own.  Groups come sorted and one after the other, so a task holds two blocks
+and a few batches however large a bucket is.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
@@ -101,23 +104,29 @@ def _matrix(lists: pa.Array, dim: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def compare(ids: np.ndarray, copies: np.ndarray, codes: np.ndarray, x: np.ndarray, stored: np.ndarray, table: int, least: float, tile: int = 1024) -> tuple[np.ndarray, np.ndarray]:
-    """All rows of a bucket against the ``stored`` ones: each row's links (copies of others counted) that no earlier
-    table has, and the least id that it is connected to by the links found here."""
-    at = np.flatnonzero(stored)
-    links = np.zeros((len(ids), len(at)), bool)
+def compare(ids: np.ndarray, copies: np.ndarray, codes: np.ndarray, x: np.ndarray, side: np.ndarray, table: int, least: float, tile: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of a group, those of side 0 against those of side 1, or of side 2 against each other: each row's links
+    (copies of others counted) that no earlier table has, and the least id that it is connected to by the links found
+    here."""
+    within = bool((side == 2).all())
+    left, right = (np.arange(len(ids)),) * 2 if within else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+    links = np.zeros((len(left), len(right)), bool)
     number = np.zeros(len(ids), np.int64)
-    for a in range(0, len(ids), tile):
-        rows = slice(a, a + tile)
-        near = (x[rows] @ x[at].T >= least) & (ids[rows, None] != ids[None, at])
-        links[rows] = near
+    for a in range(0, len(left), tile):
+        rows = left[a : a + tile]
+        near = (x[rows] @ x[right].T >= least) & (ids[rows, None] != ids[None, right])
+        links[a : a + tile] = near
         i, j = np.nonzero(near)
         if len(i):
-            new = ~(codes[a + i, :table] == codes[at[j], :table]).any(axis=1)
-            number[rows] += np.bincount(i[new], copies[at[j[new]]], len(near)).astype(np.int64)
+            i, j = rows[i], right[j]
+            new = ~(codes[i, :table] == codes[j, :table]).any(axis=1)
+            i, j = i[new], j[new]
+            number += np.bincount(i, copies[j], len(ids)).astype(np.int64)
+            if not within:
+                number += np.bincount(j, copies[i], len(ids)).astype(np.int64)
     root = ids.copy()
     i, j = np.nonzero(links)
-    j = at[j]
+    i, j = left[i], right[j]
     while len(i):
         was = root.copy()
         np.minimum.at(root, i, root[j])
@@ -127,35 +136,51 @@ def compare(ids: np.ndarray, copies: np.ndarray, codes: np.ndarray, x: np.ndarra
     return number, root
 
 
+def groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...], most: int = 8192) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole groups of rows sorted by ``names``, many small ones at a time, and where each begins (with the end)."""
+    held, n, whole = [], 0, 0
+
+    def cut(table):
+        key = np.stack([table.column(c).to_numpy() for c in names])
+        return np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0), True])
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= max(most, whole):
+            table = pa.Table.from_batches(held).combine_chunks()
+            edges = cut(table)
+            last = int(edges[-2])
+            if last:
+                yield table.slice(0, last).combine_chunks(), edges[:-1]
+            held, n = table.slice(last).combine_chunks().to_batches(), n - last
+            whole = n + most  # the last group may go on: look again after as many rows
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, cut(table)
+
+
 def _buckets(rows: DataFrame, dim: int, least: float) -> DataFrame:
-    """Rows (id, n, root) from rows (bucket, tab, part, stored, id, copies, codes, vector), dealt by bucket and part."""
+    """Rows (id, n, root) from rows (bucket, tab, part, side, id, copies, codes, vector), dealt by bucket and part."""
 
     def run(batches):
-        found = pa.Table.from_batches(batches) if (batches := list(batches)) else None
-        if found is None or not found.num_rows:
-            return
-        found = found.combine_chunks()
-        get = lambda c: found.column(c).to_numpy()
-        key = np.stack([get("tab"), get("bucket"), get("part")])
-        order = np.lexsort((get("id"), *key[::-1]))
-        key = key[:, order]
-        edges = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0), True])
-        ids, copies, stored = (get(c)[order] for c in ("id", "copies", "stored"))
-        vectors, codes = found.column("vector"), found.column("codes")
-        out = []
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            if b - a < 2:
-                continue
-            pick = pa.array(order[a:b])
-            x = unit(_matrix(vectors.take(pick).combine_chunks(), dim))
-            words = np.frombuffer(b"".join(codes.take(pick).to_pylist()), "<u2").reshape(b - a, -1)
-            n, root = compare(ids[a:b], copies[a:b], words, x, stored[a:b], int(key[0, a]), least)
-            use = (n > 0) | (root != ids[a:b])
-            out.append(np.stack([ids[a:b][use], n[use], root[use]]))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.hstack(out)], names=["id", "n", "root"])
-
-    dealt = rows.repartition("tab", "bucket", "part")
+        for found, edges in groups(batches, ("tab", "bucket", "part")):
+            tab, ids, copies, side = (found.column(c).to_numpy() for c in ("tab", "id", "copies", "side"))
+            vectors, codes = found.column("vector"), found.column("codes")
+            out = []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if b - a < 2:
+                    continue
+                x = unit(_matrix(vectors.slice(a, b - a).combine_chunks(), dim))
+                words = np.frombuffer(b"".join(codes.slice(a, b - a).to_pylist()), "<u2").reshape(b - a, -1)
+                n, root = compare(ids[a:b], copies[a:b], words, x, side[a:b], int(tab[a]), least)
+                use = (n > 0) | (root != ids[a:b])
+                out.append(np.stack([ids[a:b][use], n[use], root[use]]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.hstack(out)], names=["id", "n", "root"])
+
+    dealt = rows.repartition("tab", "bucket", "part").sortWithinPartitions("tab", "bucket", "part")
     return dealt.mapInArrow(run, "id bigint, n bigint, root bigint")
 
 
@@ -215,12 +240,14 @@ def _links(points: DataFrame, scratch: Scratch, dim: int, least: float, max_samp
     )
     sizes = coded.select("id", F.posexplode("buckets").alias("tab", "bucket"))
     large = sizes.groupBy("tab", "bucket").agg(F.count("*").alias("size")).where(F.col("size") > block)
-    parts = (
+    blocks = (
         sizes.join(large, ["tab", "bucket"]).groupBy("id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("tab", F.ceil(F.col("size") / block).cast("int")))).alias("parts"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("tab", F.ceil(F.col("size") / block).cast("int")))).alias("blocks"))
     )
-    cut = coded.join(parts, "id", "left").select("*", F.posexplode("buckets").alias("tab", "bucket"))
-    cut = cut.withColumn("n_parts", F.coalesce(F.element_at("parts", F.col("tab")), F.lit(1)))
-    cut = cut.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
-    stored = F.pmod(F.xxhash64("id"), F.col("n_parts")) == F.col("part")
-    return _buckets(cut.select("bucket", "tab", "part", stored.alias("stored"), "id", "copies", "codes", "vector"), dim, least)
+    cut = coded.join(blocks, "id", "left").select("*", F.posexplode("buckets").alias("tab", "bucket"))
+    cut = cut.withColumn("n_blocks", F.coalesce(F.element_at("blocks", F.col("tab")), F.lit(1)))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    part = F.least("own", "other").cast("long") * F.col("n_blocks") + F.greatest("own", "other")
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    return _buckets(cut.select("bucket", "tab", part.alias("part"), side.alias("side"), "id", "copies", "codes", "vector"), dim, least)

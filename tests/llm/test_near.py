@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerline.llm import embeddings, jaccard
@@ -109,6 +110,30 @@ def test_recall_with_a_common_direction(shared):
     assert (embeddings.strings(a, code) == embeddings.strings(b, code)).any(axis=1).mean() > 0.93
 
 
+def test_no_task_holds_a_large_bucket(spark, monkeypatch):
+    """400 distinct near copies, a third of all, in blocks of 16: no group is larger than two blocks, and no link is lost
+    or counted twice."""
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(size=32) + rng.normal(size=(400, 32)) * 0.001, rng.normal(size=(800, 32))])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    seen, plain = [], embeddings._buckets
+    monkeypatch.setattr(embeddings, "_buckets", lambda dealt, *rest: seen.append(dealt) or plain(dealt, *rest))
+    for r in embeddings.near_vectors(df, block=16).collect():
+        assert (r["n_links"], r["component_id"]) == ((399, 0) if r["vec_id"] < 400 else (0, r["vec_id"]))
+    largest = seen[0].groupBy("tab", "bucket", "part").count().agg({"count": "max"}).first()[0]
+    assert largest <= 80  # 26 blocks of 16 by hash; two of them, with room for chance
+
+
+def test_groups_over_many_batches():
+    key = np.repeat([3, 4, 5, 9], [1, 700, 2, 30])
+    batches = [pa.RecordBatch.from_arrays([pa.array(key[a : a + 7])], names=["k"]) for a in range(0, len(key), 7)]
+    found = []
+    for table, edges in embeddings.groups(iter(batches), ("k",), most=20):
+        found += [table.column(0).slice(a, b - a).to_pylist() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    assert [(x[0], len(x)) for x in found] == [(3, 1), (4, 700), (5, 2), (9, 30)]
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert embeddings.near_vectors(df).collect() == []
