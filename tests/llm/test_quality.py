@@ -102,6 +102,22 @@ def test_rules_on_given_documents(spark, sample):
         assert r["kept"] == (not r["base_failed"] and low <= r["bits"] <= high)
 
 
+@pytest.mark.parametrize("copies", [False, True])
+def test_junk_of_a_third_of_a_language_goes(spark, copies):
+    """Random strings, distinct or copies of one text, are a third of the Spanish rows: all go, and good documents stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    n = docs.where("lang = 'es'").count()
+    rng = np.random.default_rng(2)
+    letters = np.array(list("bcdfghjklmnpqrstvwxz0123456789#%&"))
+    junk = [" ".join("".join(rng.choice(letters, rng.integers(3, 10))) for _ in range(200)) for _ in range(n // 2)]
+    rows = [(10**7 + i, junk[0 if copies else i], "es") for i in range(len(junk))]
+    got = quality.quality_rules(docs.unionByName(spark.createDataFrame(rows, docs.schema))).where("not base_failed").collect()
+    assert not any(r["kept"] for r in got if r["doc_id"] >= 10**7)
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1").collect()
+    good = {r["doc_id"] for r in labels}
+    assert np.mean([r["kept"] for r in got if r["doc_id"] in good]) > 0.98
+
+
 def test_probabilities_add_up_to_one():
     rng = np.random.default_rng(3)
     counts = np.zeros(quality.KINDS**4, np.int64)
