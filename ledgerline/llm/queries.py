@@ -7,7 +7,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
-    binary_output, bpe, classifier, embeddings, filter_audit, jaccard, packing, quality, sharding, substrings, tokens,
+    binary_output, bpe, classifier, embeddings, filter_audit, jaccard, packing, parsing, periodic, quality, sharding, substrings, tokens,
 )
 from ledgerline.llm.oracle import ORACLE_SQL
 
@@ -69,11 +69,19 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.edited_fingerprints(_docs(spark, sf_dir))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.planted_runs(_docs(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_hash_ring, op3_suffix_dedup, op4_quality_rules, op5_token_counts, op6_token_output,
         op7_bpe_automaton, op8_near_vectors, op9_best_fit_packing, op10_jaccard_join,
-        op11_filter_audit,
+        op11_filter_audit, op12_phrase_fingerprints, op13_periodic_runs,
     )
 }

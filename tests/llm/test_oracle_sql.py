@@ -25,4 +25,4 @@ def test_query_matches_sql(spark, key):
 
 def test_all_operators_are_registered():
     names = {k.split("_")[0] for k in entry.queries() if k.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 12)}
+    assert names == {f"op{n}" for n in range(1, 14)}
