@@ -88,7 +88,6 @@ def names(points: np.ndarray, ends: np.ndarray, least_chars: int) -> tuple[np.nd
     whole = np.zeros(len(ends) - 1, np.uint64)
     symbols, covered = points.astype(np.uint64), np.ones(len(points), np.int64)
     found, owner = [], []
-    level = 0
     while len(text):
         # Runs of one symbol become one.
         new = np.empty(len(symbols), bool)
@@ -118,11 +117,9 @@ def names(points: np.ndarray, ends: np.ndarray, least_chars: int) -> tuple[np.nd
         symbols = mix(np.add.reduceat(mix(symbols + _STEP * (place + 1).astype(np.uint64)), at))
         covered = np.add.reduceat(covered, at)
         first = np.searchsorted(at, first)
-        level += 1
-        if level > 1:  # phrases of two or three symbols are too short on any text
-            long = covered >= least_chars
-            found.append(symbols[long])
-            owner.append(np.repeat(text, np.diff(np.append(first, len(symbols))))[long])
+        long = covered >= least_chars
+        found.append(symbols[long])
+        owner.append(np.repeat(text, np.diff(np.append(first, len(symbols))))[long])
     none = np.zeros(0, np.int64)
     return np.concatenate(found or [none.astype(np.uint64)]), np.concatenate(owner or [none]), whole
 
@@ -200,7 +197,7 @@ def _cuts(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least_chars: int = 12, group_bytes: int = 400_000) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least_chars: int = 5, group_bytes: int = 400_000) -> DataFrame:
     """One row per row of ``docs``: its id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     Fingerprints are hexadecimal: 16 digits of the whole text's name and two for each place of the sketch.  A null text
