@@ -558,5 +558,77 @@ QUERIES["ingest_nested"] = QUERIES["ingest_transactions"]
 QUERIES["stream_load"] = "select * from f_transactions where cast(transaction_id as bigint) % 23 != 0"
 
 
+_FCT = """transaction_id, customer_id, payment_method_name, location, total_spent, created_at, updated_at, transaction_date"""
+
+QUERIES.update({
+    # --- versioned tables, stored cursors and the run kept up by deltas ---
+    "merge_crash_safe": f"""
+        with tgt as (select * from fct where transaction_date < date '1998-01-01'),
+             src as (select * replace (total_spent + 1.0 as total_spent) from fct where transaction_date >= date '1997-12-01'),
+             u as (select *, 1 as prio from src union all select *, 2 as prio from tgt)
+        select {_FCT}, 'after the crash' as seen from tgt
+        union all
+        select {_FCT}, 'after the merge' from (select *, row_number() over (partition by transaction_id order by prio) as rn
+                                               from u) where rn = 1""",
+    "merge_versioned_moved": QUERIES["merge_moved_partition"],
+    "state_resume": "select * from f_transactions",
+    "stored_cursors": """
+        with c as (
+          select 'items' as table_name, 'updated_at' as cursor_column, cast(item_id as varchar) as k,
+                 strftime(updated_at, '%Y-%m-%d %H:%M:%S') as v from f_items
+          union all select 'customers', 'updated_at', cast(customer_id as varchar), strftime(updated_at, '%Y-%m-%d %H:%M:%S')
+                    from f_customers
+          union all select 'payment_methods', 'created_at', cast(payment_method_id as varchar),
+                    strftime(created_at, '%Y-%m-%d %H:%M:%S') from f_payment_methods
+          union all select 'transactions', 'updated_at', transaction_id, strftime(updated_at, '%Y-%m-%d %H:%M:%S')
+                    from f_transactions
+          union all select 'transaction_items', 'created_at', concat(transaction_id, ' ', item_id),
+                    strftime(created_at, '%Y-%m-%d %H:%M:%S') from f_transaction_items
+          union all select 'transactions_static', 'transaction_date', coalesce("Transaction ID", '-'),
+                    strftime(try_cast("Transaction Date" as date), '%Y-%m-%d') from f_sales_dirty)
+        select table_name, cursor_column, v as cursor_value, count(distinct k) as keys_on_mark
+        from c where v = (select max(v) from c as d where d.table_name = c.table_name) group by 1, 2, 3""",
+    "incremental_facts": "select * from fct",
+    "incremental_transaction_items": "select * from dim_ti",
+    "dashboard_monthly": QUERIES["monthly_sales"],
+    "dashboard_item_quantity": "select * from item_qty",
+    "run_ledger": """
+        with t as (
+          select 'items' as t, count(*) as n, count(*) filter (where updated_at < timestamp '2024-01-20') as old, 0 as bad from f_items
+          union all select 'transactions', count(*), count(*) filter (where updated_at < timestamp '1998-01-01'), 0 from f_transactions
+          union all select 'transaction_items', count(*), count(*) filter (where created_at < timestamp '1998-01-01'), 0
+                    from f_transaction_items
+          union all select 'customers', count(*), count(*), 0 from f_customers
+          union all select 'payment_methods', count(*), count(*), 0 from f_payment_methods
+          union all select 'transactions_static', count(*), count(try_cast("Transaction Date" as date)),
+                    count(*) - count(try_cast("Transaction Date" as date)) from f_sales_dirty),
+             good as (select transaction_date from sales_typed where quantity is not null and unit_price is not null
+                        and total_spent is not null and transaction_date is not null),
+             s as (select (select count(*) from f_sales_dirty) as n,
+                          count(*) filter (where transaction_date > date '2024-01-15') as fresh,
+                          count(*) filter (where transaction_date <= date '2024-01-15') as old from good)
+        select concat('extract_', t) as step, 'done' as status, n as rows_read, n as rows_written, cast(0 as bigint) as rows_known,
+               cast(0 as bigint) as rows_rejected, true as adds_up from t
+        union all select concat('load_', t), 'done', n, n - old - bad, old, cast(bad as bigint), true from t
+        union all select 'stg_transactions_static', 'done', n, fresh, old, n - fresh - old, true from s""",
+    "late_static": """
+        with m as (select max(transaction_date) as m from stg_static
+                   where transaction_date <= date '2024-01-15' and payment_method != 'Cash')
+        select distinct 'transactions_static' as table_name, transaction_id as row_key,
+               'transaction_date is not after those loaded before' as error_message
+        from stg_static, m where transaction_date <= m and payment_method = 'Cash'""",
+    "static_fates": """
+        with m as (select max(transaction_date) as m from stg_static
+                   where transaction_date <= date '2024-01-15' and payment_method != 'Cash'),
+             g as (select payment_method, transaction_date from sales_typed where quantity is not null and unit_price is not null
+                     and total_spent is not null and transaction_date is not null),
+             f as (select case when transaction_date > m then 'new' when payment_method = 'Cash' then 'late' else 'known' end as fate
+                   from g, m)
+        select fate, count(*) as row_count from f group by 1
+        union all select 'rejected', (select count(*) from sales_complete) - (select count(*) from g)
+        union all select 'incomplete', (select count(*) from f_sales_dirty) - (select count(*) from sales_complete)""",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in QUERIES.items()}

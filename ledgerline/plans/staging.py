@@ -122,10 +122,14 @@ def rejected_static(raw: DataFrame) -> DataFrame:
                            "error_message").select(*S.TRANSACTIONS_STATIC.fieldNames(), "error_message")
 
 
-def static_accounting(raw: DataFrame) -> DataFrame:
-    """Rows of the seed by fate: incomplete, rejected, good; they add up to the input."""
-    complete = complete_case(S.SALES_CSV_COLUMNS)
+def with_fates(raw: DataFrame) -> DataFrame:
+    """The seed's rows typed, each with its ``fate``: incomplete, rejected or good."""
     both = raw.select("*", *_typed_columns(_P))
     bad = any_of(F.coalesce(cond, F.lit(False)) for cond, _ in parse_rules(_P))
-    fate = F.when(~complete, "incomplete").when(bad, "rejected").otherwise("good")
-    return both.groupBy(fate.alias("fate")).agg(F.count(F.lit(1)).alias("row_count"))
+    fate = F.when(~complete_case(S.SALES_CSV_COLUMNS), "incomplete").when(bad, "rejected").otherwise("good")
+    return both.select(*[F.col(_P + c).alias(c) for c in STATIC_COLUMNS], fate.alias("fate"))
+
+
+def static_accounting(raw: DataFrame) -> DataFrame:
+    """Rows of the seed by fate: incomplete, rejected, good; they add up to the input."""
+    return with_fates(raw).groupBy("fate").agg(F.count(F.lit(1)).alias("row_count"))
