@@ -630,5 +630,43 @@ QUERIES.update({
 })
 
 
+_SEVEN = QUERIES["reset_tables"].split("from (", 1)[1].rsplit(")", 1)[0]
+
+QUERIES.update({
+    # --- catalog tables, reload after a reset, kept results, whole rejected requests ---
+    "catalog_monthly_sales": QUERIES["monthly_sales"],
+    "catalog_publish": QUERIES["merge_moved_partition"],
+    "catalog_truncate": QUERIES["reset_tables"],
+    "reset_and_reload": f"""
+        select table_name, rows_before,
+               case when table_name in ('items', 'customers', 'payment_methods', 'transactions') then rows_before
+                    else 0 end as rows_reloaded
+        from ({_SEVEN})""",
+    "kept_results": """
+        with a as (select *, 1 as load from fct where transaction_date < date '1998-01-01' union all select *, 2 from fct)
+        select cast(date_trunc('month', transaction_date) as date) as month, count(distinct transaction_id) as order_count,
+               sum(cast(total_spent as decimal(38, 9))) as total_sales, load
+        from a group by 1, load""",
+    "default_dates": """
+        select count(*) as n, count(*) filter (where "Transaction Date" = 'UNKNOWN') as n_today from f_sales_dirty""",
+    "ingest_error_items": """
+        select substr(sha256(request_id), 1, 16) as transaction_id, line_no, item_name, quantity
+        from req_l where request_id in (select request_id from req_msg where error_message is not null)""",
+    "ingest_error_bodies": """
+        with q as (select x, replace(replace(x, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') as e
+                   from (select item_name as x from req_l union select customer_email from req_h
+                         union select payment_method from req_h)),
+             i as (select request_id, string_agg(concat('{"item_name":"', e, '","quantity":', quantity, '}'), ','
+                                                 order by line_no, item_name, quantity) as items
+                   from req_l join q on x = item_name group by 1)
+        select substr(sha256(m.request_id), 1, 16) as transaction_id,
+               concat('{"customer_email":"', a.e, '","items":[', coalesce(i.items, ''), '],"payment_method":"', b.e,
+                      '","location":"', m.location, '","created_at":"', strftime(m.created_at, '%Y-%m-%d %H:%M:%S'), '"}') as body
+        from req_msg m left join i on i.request_id = m.request_id join q a on a.x = customer_email
+        join q b on b.x = payment_method
+        where error_message is not null""",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in QUERIES.items()}

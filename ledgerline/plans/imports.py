@@ -14,7 +14,7 @@ from ledgerline import schemas as S
 from ledgerline.operators.quality import validate
 from ledgerline.sinks.files import path_exists, staged_rows
 from ledgerline.sinks.load import load
-from ledgerline.sources.files import CORRUPT, read_sales_csv
+from ledgerline.sources.files import CORRUPT, read_sales_csv_in_parallel
 
 # fixed values: text length limits of the raw static table's columns
 STATIC_LENGTHS = {
@@ -83,7 +83,7 @@ def import_static_csv(spark: SparkSession, csv_path: str | list[str], static_pat
     if path_exists(spark, static_path) and not spark.read.parquet(static_path).isEmpty():
         return spark.createDataFrame([], "table_name string, rows_written bigint")
     # Parsed once and written aside, since both outputs read it.
-    with staged_rows(spark, csv_to_static(read_sales_csv(spark, csv_path)), "csv-rows") as raw:
+    with staged_rows(spark, csv_to_static(read_sales_csv_in_parallel(spark, csv_path)), "csv-rows") as raw:
         whole, malformed = split_malformed(raw)
         good, rejected = validate_static_rows(whole)
         load(error_rows(rejected.unionByName(malformed)), errors_path, "replace")

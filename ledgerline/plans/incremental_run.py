@@ -38,6 +38,7 @@ from ledgerline.operators.versioned_merge import merge_versioned
 from ledgerline.plans import analytics, marts, staging
 from ledgerline.plans.hourly import CURSORS, DATE_CURSORS, MONTH
 from ledgerline.plans.imports import error_rows
+from ledgerline.sinks.cache import ResultCache
 from ledgerline.sinks.files import staged_rows
 from ledgerline.sinks.versioned import VersionedTable
 
@@ -105,6 +106,17 @@ class Store:
         return analytics._by_name(per_id, self.model("dim_items").read())
 
 
+def dashboard(store: Store, cache: ResultCache) -> dict[str, DataFrame]:
+    """The dashboard's three results over the built tables, kept until an hour is over or a run has changed the table."""
+    def kept(name: str, table: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return cache.get(f"{store.root}/{name}", build, store.model(table).manifest().version)
+
+    items = (store.model("item_quantity").manifest().version, store.model("dim_items").manifest().version)
+    return {"monthly_sales": kept("monthly_sales", "monthly_sales", store.monthly_sales),
+            "item_quantity": cache.get(f"{store.root}/item_quantity", store.item_quantity, items),
+            "explore": kept("explore", "fct_transactions", lambda: analytics.explore(store.facts()))}
+
+
 @dataclass
 class Counts:
     """What a step did; read = written + known + rejected wherever a step takes or leaves single rows."""

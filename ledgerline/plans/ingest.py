@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.scalar import (email_local_part, is_blank, short_id,
@@ -41,6 +41,7 @@ class IngestResult:
     new_customers: DataFrame
     errors: DataFrame
     good_requests: DataFrame
+    error_items: DataFrame
     cached: list = field(default_factory=list)
 
     def release(self) -> None:
@@ -169,34 +170,57 @@ def validate_requests(headers: DataFrame, lines: DataFrame, items: DataFrame,
     return good, good_lines, rejected
 
 
-def email_customer_id(email) -> Column:
-    """Id of a customer created from a request: the first 60 bits of the email's MD5, so
-    it is the same on every run and needs no global counter."""
-    return F.conv(F.substring(F.md5(email), 1, 15), 16, 10).cast("bigint")
+ID_BITS = 60
 
 
-def upsert_customers(good: DataFrame, customers: DataFrame) -> DataFrame:
+def hashed_id(key: Column, bits: int = ID_BITS) -> Column:
+    """The first ``bits`` (60 at most) of the key's MD5: the same on every run, with no global counter."""
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint").bitwiseAND(F.lit((1 << bits) - 1))
+
+
+def with_unique_ids(rows: DataFrame, id_col: str, key: Column, taken: DataFrame,
+                    bits: int = ID_BITS) -> DataFrame:
+    """``rows`` with an id for those whose ``id_col`` is NULL, unlike all others in ``rows`` and in ``taken``.
+
+    The id is the key's hash plus a multiple of 2^bits: 0 for the first holder of a hash, and one more for each key
+    after it, in order of the keys, past the largest that ``taken`` or a given id of ``rows`` has there.  So ids are the
+    hashes wherever those don't clash, and the same again when the batch is run again.  ``taken`` has ``id_col``;
+    ids of another origin in it count as well.  Keys must differ.  The clashing keys of one hash meet in one task; others don't.
+    """
+    mask, top = (1 << bits) - 1, (1 << (63 - bits)) - 1
+    given = rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("__id"))
+    held = taken.select(F.col(id_col).cast("bigint").alias("__id")).where("__id is not null").unionByName(given)
+    held = held.groupBy(F.col("__id").bitwiseAND(F.lit(mask)).alias("__held")).agg(
+        (F.max(F.shiftright("__id", bits)) + 1).alias("__next"))
+    open_ = F.col(id_col).isNull()
+    hashed = rows.withColumn("__key", key).withColumn("__hash", F.when(open_, hashed_id(F.col("__key"), bits)))
+    # A row with an id of its own needs no place: a window of its own for each keeps them apart.
+    apart = F.when(open_, F.lit(0)).otherwise(F.xxhash64(id_col, "__key"))
+    place = F.row_number().over(Window.partitionBy("__hash", apart).orderBy("__key")) - 1
+    placed = hashed.withColumn("__place", place).join(held, F.col("__hash") == F.col("__held"), "left")
+    turn = F.col("__place") + F.coalesce("__next", F.lit(0))
+    fits = F.when(turn > top, F.raise_error(F.lit(f"more than {top + 1} keys have one hash of {bits} bits"))).otherwise(turn)
+    new = F.col("__hash") + fits.cast("bigint") * F.lit(1 << bits)
+    return placed.withColumn(id_col, F.when(open_, new).otherwise(F.col(id_col))) \
+        .drop("__key", "__hash", "__place", "__held", "__next")
+
+
+def upsert_customers(good: DataFrame, customers: DataFrame, bits: int = ID_BITS) -> DataFrame:
     """Distinct normalised emails of good requests with no customer, as whole rows of the
     customers table (name = local part; both times are the first request's)."""
     emails = good.groupBy(F.col("email_norm").alias("email")).agg(F.min("created_at").alias("__first"))
     new = emails.join(customers.select(F.col("email").alias("__e")),
                       F.col("email") == F.col("__e"), "left_anti")
-    return new.select(email_customer_id(F.col("email")).alias("customer_id"),
-                      email_local_part("email").alias("name"), "email",
+    new = with_unique_ids(new.withColumn("customer_id", F.lit(None).cast("bigint")), "customer_id", F.col("email"),
+                          customers.select("customer_id"), bits)
+    return new.select("customer_id", email_local_part("email").alias("name"), "email",
                       F.col("__first").alias("created_at"), F.col("__first").alias("updated_at"))
 
 
-def id_clashes(new: DataFrame, existing: DataFrame, id_col: str = "customer_id") -> DataFrame:
-    """Derived ids that two new rows share or that an existing row has: ids are 60 bits of a hash,
-    so at some 10^9 new rows a clash is likely.  Check it before the new rows are stored."""
-    both = new.select(id_col).unionAll(existing.select(id_col).join(new.select(id_col).distinct(),
-                                                                    id_col, "left_semi").distinct())
-    return both.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-
-
 def ingest_transactions(headers: DataFrame, lines: DataFrame, customers: DataFrame,
                         items: DataFrame, payment_methods: DataFrame,
-                        id_col: str = "request_id", persist: bool = False) -> IngestResult:
+                        id_col: str = "request_id", persist: bool = False,
+                        id_bits: int = ID_BITS) -> IngestResult:
     """M13 on a batch.  Transaction ids are 16 hex digits of SHA-256 over the request id,
     so a recomputed task gives the same id.
 
@@ -213,13 +237,12 @@ def ingest_transactions(headers: DataFrame, lines: DataFrame, customers: DataFra
                                                        id_col)
         cached = []
     tid = short_id(id_col, n=ID_HEX_DIGITS)
-    new_customers = upsert_customers(good, customers)
+    new_customers = upsert_customers(good, customers, id_bits)
     # Existing customer by email (one id per email even if the table repeats one, which
-    # R12 forbids), else the id a new customer gets from its email: no need to join the
-    # new-customer rows back, so the validation is not planned twice.
-    known = customers.groupBy(F.col("email").alias("__e")).agg(F.min("customer_id").alias("__cid"))
-    g = good.join(known, good["email_norm"] == known["__e"], "left") \
-        .withColumn("__cid", F.coalesce(F.col("__cid"), email_customer_id(F.col("email_norm"))))
+    # R12 forbids), or the new customer of that email.
+    known = customers.groupBy(F.col("email").alias("__e")).agg(F.min("customer_id").alias("__cid")) \
+        .unionByName(new_customers.select(F.col("email").alias("__e"), F.col("customer_id").alias("__cid")))
+    g = good.join(known, good["email_norm"] == known["__e"], "left")
     items_out = good_lines.select(
         tid.alias("transaction_id"), "item_id", "quantity", "unit_price",
         (F.col("unit_price") * F.col("quantity")).alias("subtotal"), "created_at")
@@ -232,7 +255,24 @@ def ingest_transactions(headers: DataFrame, lines: DataFrame, customers: DataFra
     errors = rejected.select(
         tid.alias("transaction_id"), "customer_email", "payment_method", "location",
         F.col("created_at").cast("string").alias("transaction_date"), "error_message")
-    return IngestResult(transactions, items_out, new_customers, errors, good, cached)
+    # The lines of rejected requests as they came, one row each: with ``errors``, the whole request, and no request's
+    # lines are gathered in one row.
+    error_items = lines.join(rejected.select(id_col), id_col, "left_semi").select(
+        tid.alias("transaction_id"), "line_no", "item_name", "quantity")
+    return IngestResult(transactions, items_out, new_customers, errors, good, error_items, cached)
+
+
+def rebuild_requests(errors: DataFrame, error_items: DataFrame) -> DataFrame:
+    """Rejected requests with their items, in order, as JSON (transaction_id, error_message, body), for sending again.
+
+    Gathers each request's lines, so it is for requests as a service takes them, not for one with millions of lines."""
+    items = error_items.groupBy("transaction_id").agg(
+        F.array_sort(F.collect_list(F.struct("line_no", "item_name", "quantity"))).alias("items"))
+    body = F.to_json(F.struct("customer_email", F.transform(
+        F.coalesce("items", F.array().cast(items.schema["items"].dataType)),
+        lambda i: F.struct(i["item_name"].alias("item_name"), i["quantity"].alias("quantity"))).alias("items"),
+        "payment_method", "location", F.col("transaction_date").alias("created_at")))
+    return errors.join(items, "transaction_id", "left").select("transaction_id", "error_message", body.alias("body"))
 
 
 # --- reference data (M15) --------------------------------------------------------------
@@ -257,17 +297,10 @@ def with_defaults(df: DataFrame) -> DataFrame:
     return out
 
 
-def _derived_id(*cols) -> Column:
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in cols])),
-                              1, 15), 16, 10).cast("bigint")
-
-
-def add_customers(new: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Batch of customers stored as given (M15): defaults, id from the email when missing,
+def add_customers(new: DataFrame, existing: DataFrame, id_bits: int = ID_BITS) -> tuple[DataFrame, DataFrame]:
+    """Batch of customers stored as given (M15): defaults, id from the email when missing (good rows only),
     and R12: an email already present, or repeated in the batch, is rejected."""
-    from ledgerline.operators.quality import validate
-    staged = with_defaults(new).withColumn(
-        "customer_id", F.coalesce(F.col("customer_id"), _derived_id("email")))
+    staged = with_defaults(new)
     repeated = staged.groupBy("email").agg(F.count(F.lit(1)).alias("__n"))
     taken = existing.select(F.col("email").alias("__taken")).distinct()
     tagged = (staged.join(repeated, "email", "left")
@@ -279,14 +312,13 @@ def add_customers(new: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataF
         (F.col("__taken").isNotNull(), "Customer email already exists"),
         (F.col("__n") > 1, "Customer email repeated in the batch")])
     cols = ["customer_id", "name", "email", "created_at", "updated_at"]
+    good = with_unique_ids(good.select(*cols), "customer_id", F.col("email"), existing.select("customer_id"), id_bits)
     return good.select(*cols), bad.select(*cols, "error_message")
 
 
 def add_payment_methods(new: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Batch of payment methods (M15): is_active defaults to true; names are unique."""
-    from ledgerline.operators.quality import validate
-    staged = with_defaults(new).withColumn(
-        "payment_method_id", F.coalesce(F.col("payment_method_id"), _derived_id("name")))
+    staged = with_defaults(new)
     repeated = staged.groupBy("name").agg(F.count(F.lit(1)).alias("__n"))
     taken = existing.select(F.col("name").alias("__taken")).distinct()
     tagged = (staged.join(repeated, "name", "left")
@@ -297,6 +329,7 @@ def add_payment_methods(new: DataFrame, existing: DataFrame) -> tuple[DataFrame,
         (F.col("__taken").isNotNull(), "Payment method already exists"),
         (F.col("__n") > 1, "Payment method repeated in the batch")])
     cols = ["payment_method_id", "name", "is_active", "created_at"]
+    good = with_unique_ids(good.select(*cols), "payment_method_id", F.col("name"), existing.select("payment_method_id"))
     return good.select(*cols), bad.select(*cols, "error_message")
 
 def item_rules() -> list[tuple[Column, str]]:
@@ -306,17 +339,22 @@ def item_rules() -> list[tuple[Column, str]]:
     ]
 
 
-def add_items(new_items: DataFrame) -> tuple[DataFrame, DataFrame]:
+def add_items(new_items: DataFrame, existing: DataFrame | None = None,
+              id_bits: int = ID_BITS) -> tuple[DataFrame, DataFrame]:
     """A batch of new item rows (M15): current time for missing created/updated times,
     price rule R10.  Returns (rows to append, rejected rows with a message).  A missing
-    item_id is derived from the row's name and time (first 60 bits of an MD5), so it needs
-    no global counter and is the same when a task is recomputed."""
-    from ledgerline.operators.quality import validate
+    item_id is derived from the row's name and time, and its number among rows with the same ones, so it needs
+    no global counter and is the same when a task is recomputed; it differs from all ids of the batch and of
+    ``existing``."""
     now = F.current_timestamp().cast("timestamp_ntz")
-    created = F.coalesce("created_at", now)
-    derived = F.conv(F.substring(F.md5(F.concat_ws("|", "name", created.cast("string"))),
-                                 1, 15), 16, 10).cast("bigint")
     staged = new_items.select(
-        F.coalesce("item_id", derived).alias("item_id"), "name", "description", "unit_price",
-        created.alias("created_at"), F.coalesce("updated_at", now).alias("updated_at"))
-    return validate(staged, item_rules())
+        "item_id", "name", "description", "unit_price",
+        F.coalesce("created_at", now).alias("created_at"), F.coalesce("updated_at", now).alias("updated_at"))
+    good, bad = validate(staged, item_rules())
+    text = F.concat_ws("|", "name", F.col("created_at").cast("string"))
+    alike = Window.partitionBy("item_id", "name", "created_at").orderBy("description", "unit_price", "updated_at")
+    copy = F.row_number().over(alike)
+    good = good.withColumn("__text", F.when(copy == 1, text).otherwise(F.concat_ws("|", text, copy.cast("string"))))
+    taken = (new_items if existing is None else existing).select("item_id")
+    good = with_unique_ids(good, "item_id", F.col("__text"), taken, id_bits).drop("__text")
+    return good.select(*staged.columns), bad

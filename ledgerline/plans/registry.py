@@ -883,3 +883,117 @@ def q_static_fates(spark, sf_dir):
     from ledgerline.plans.incremental_run import static_fates
     store, seed = _late_seed(spark, sf_dir)
     return static_fates(store, seed)
+
+
+# --- catalog tables, reload after a reset, kept results, whole rejected requests (S6, S8, S13, S14, S19, X12, M13) --
+
+def _database(spark, label: str) -> str:
+    from ledgerline.session import scratch_path
+    from ledgerline.sinks.catalog import create_database
+    path = scratch_path(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    create_database(spark, name, path)
+    return name
+
+
+def _seven_tables(spark, sf_dir) -> dict:
+    from ledgerline.plans.imports import error_rows, validate_static_rows
+    t = shop_tables
+    good, rejected = validate_static_rows(t.transactions_static(spark, sf_dir))
+    return {**{name: fn(spark, sf_dir) for name, fn in t.OLTP.items()},
+            "transactions_static": good, "transactions_errors": error_rows(rejected)}
+
+
+@query("catalog_monthly_sales")
+def q_catalog_monthly_sales(spark, sf_dir):
+    """The models over tables that are found by name, and the dashboard query over them."""
+    from ledgerline.sinks.catalog import save_tables
+    db = _database(spark, "shop")
+    tables = {name: fn(spark, sf_dir) for name, fn in shop_tables.OLTP.items()}
+    dirty = shop_tables.sales_dirty(spark, sf_dir)
+    save_tables(spark, db, {**tables, "sales_dirty": dirty})
+    models = ShopModels.from_catalog(spark, {n: f"{db}.{n}" for n in [*tables, "sales_dirty"]})
+    return an.monthly_sales(models.fct_transactions)
+
+
+@query("catalog_publish")
+def q_catalog_publish(spark, sf_dir):
+    """The fact published by name, merged with keys that move to other months, and published again."""
+    from ledgerline.operators.versioned_merge import merge_versioned
+    from ledgerline.session import scratch_path
+    from ledgerline.sinks.catalog import publish
+    from ledgerline.sinks.versioned import VersionedTable
+    db = _database(spark, "published")
+    first, src = _merge_inputs(_m(spark, sf_dir), MOVE_DAYS)
+    table = VersionedTable(spark, scratch_path(spark, "fct"), "sale_month")
+    for rows in (first, src):
+        merge_versioned(table, rows, "transaction_id")
+        publish(table, db, "fct_transactions")
+    return spark.table(f"{db}.fct_transactions").drop("sale_month")
+
+
+@query("catalog_truncate")
+def q_catalog_truncate(spark, sf_dir):
+    """The seven tables in a database, emptied children first."""
+    from ledgerline.sinks.catalog import save_tables, truncate_tables
+    from ledgerline.sinks.reset import RESET_ORDER
+    db = _database(spark, "emptied")
+    save_tables(spark, db, _seven_tables(spark, sf_dir))
+    return truncate_tables(spark, db, RESET_ORDER)
+
+
+@query("reset_and_reload")
+def q_reset_and_reload(spark, sf_dir):
+    """The seven tables written in one load, emptied, and some loaded again: rows before, and rows at the end."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sinks.load import load_all
+    from ledgerline.sinks.reset import RESET_ORDER, reset_and_reload
+    root, tables = scratch_path(spark, "reload"), _seven_tables(spark, sf_dir)
+    load_all(tables, root)
+    again = {n: tables[n] for n in ("items", "customers", "payment_methods", "transactions")}
+    before = reset_and_reload(spark, root, again).select("table_name", "rows_before")
+    now = an.table_counts({n: spark.read.parquet(f"{root}/{n}") for n in RESET_ORDER})
+    return before.join(now.withColumnRenamed("row_count", "rows_reloaded"), "table_name")
+
+
+@query("kept_results")
+def q_kept_results(spark, sf_dir):
+    """Monthly sales out of the result cache, before and after a load: the second is not the kept one."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sinks.cache import ResultCache
+    from ledgerline.sinks.versioned import VersionedTable
+    fct = _m(spark, sf_dir).fct_transactions
+    table, cache, out = VersionedTable(spark, scratch_path(spark, "kept")), ResultCache(), []
+    early = F.col("transaction_date") < _d(MERGE_FIRST_END)
+    for rows in (fct.where(early), fct.where(~early)):
+        table.append(rows)
+        for _ in range(2):
+            kept = cache.get("monthly", lambda: an.monthly_sales(table.read()), table.manifest().version)
+        out.append(spark.createDataFrame(kept.collect(), kept.schema).withColumn("load", F.lit(len(out) + 1)))  # a row a month
+    cache.clear()
+    return out[0].unionByName(out[1])
+
+
+@query("default_dates")
+def q_default_dates(spark, sf_dir):
+    """Raw static rows without a date get today's: how many rows there are, and how many hold today's text."""
+    from ledgerline.functions.scalar import today_text
+    from ledgerline.plans.ingest import with_defaults
+    raw = shop_tables.transactions_static(spark, sf_dir)
+    raw = raw.withColumn("transaction_date", F.when(F.col("transaction_date") != "UNKNOWN", F.col("transaction_date")))
+    return with_defaults(raw).agg(F.count(F.lit(1)).alias("n"),
+                                  F.count(F.when(F.col("transaction_date") == today_text(), 1)).alias("n_today"))
+
+
+@query("ingest_error_items")
+def q_ingest_error_items(spark, sf_dir):
+    """The lines of the rejected requests as they came."""
+    return _ingest(spark, sf_dir).error_items
+
+
+@query("ingest_error_bodies")
+def q_ingest_error_bodies(spark, sf_dir):
+    """Each rejected request whole again, as the JSON that a service would send."""
+    from ledgerline.plans.ingest import rebuild_requests
+    res = _ingest(spark, sf_dir)
+    return rebuild_requests(res.errors, res.error_items).select("transaction_id", "body")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -69,6 +70,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict):
+    """Settings that Spark takes from the session alone when a query starts, put back afterwards."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared scratch root named by ``spark.checkpoint.dir``.
 

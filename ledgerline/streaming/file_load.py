@@ -22,7 +22,6 @@ those rows, batches are compared with the raw table's rows from the mark on.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -32,6 +31,7 @@ from pyspark.sql import types as T
 from ledgerline.functions.scalar import all_of
 from ledgerline.operators.incremental import (high_water_value, newer_than, null_cursor_rows,
                                               quarantine_new)
+from ledgerline.session import session_conf
 from ledgerline.sinks.files import _fs, delete_path, path_exists
 
 TICK, REST = "__tick", "__rest"
@@ -42,19 +42,6 @@ STATE_STORE = {
 }
 
 
-@contextmanager
-def _with_conf(spark: SparkSession, conf: dict):
-    """The settings that a stream takes from the session when it starts."""
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def _mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)
@@ -129,7 +116,7 @@ def stream_load(spark: SparkSession, src_dir: str, target_path: str, checkpoint:
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = new_rows(reader.parquet(src_dir), cursor, keys, mark, ticks)
-    with _with_conf(spark, STATE_STORE):
+    with session_conf(spark, STATE_STORE):
         q = (rows.writeStream.foreachBatch(load_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
