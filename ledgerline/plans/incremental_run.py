@@ -45,7 +45,10 @@ from ledgerline.sinks.versioned import VersionedTable
 SLICE = "slice"
 ORIGIN = "origin"
 LIVE, STATIC, UNMATCHED = "live", "static", "unmatched"
-KEEP_SNAPSHOTS = 3  # versions of a lake table
+KEEP_VERSIONS = 3   # of each table, for readers that hold one
+MOST_SLICES = 32    # small ones in one partition
+MODELS = ("dim_customers", "dim_items", "dim_payment_methods", "stg_transactions_static", "dim_transaction_items",
+          "fct_transactions", "monthly_sales", "item_quantity")
 LEDGER_COUNTS = ("rows_read", "rows_written", "rows_known", "rows_rejected")
 LEDGER = T.StructType([T.StructField("run_id", T.StringType()), T.StructField("step", T.StringType()),
                        T.StructField("place", T.IntegerType()), T.StructField("status", T.StringType()),
@@ -202,9 +205,9 @@ def dimension(store: Store, name: str) -> Counts:
         return Counts(0, 0, 0, 0)
     new = _gained(stg, dim.state().get("stg"))
     write, rows = (dim.replace, stg.read()) if new is None else (dim.append, new)
-    n = rows.count()
-    write(rows.drop(SLICE), state={"stg": version})
-    return Counts(n, n, 0, 0)
+    seen: dict = {}
+    write(rows.drop(SLICE), observe={"n": F.count(F.lit(1))}, state=lambda observed, _: seen.update(observed) or {"stg": version})
+    return Counts(seen["n"], seen["n"], 0, 0)
 
 
 def static_mark(static: VersionedTable):
@@ -330,11 +333,10 @@ def fact(store: Store) -> Counts:
     # What can't be told apart by version is merged whole: rows that the fact has already change nothing.
     src = (marts.live_facts(live.read() if new_live is None else new_live, pm)
            .unionByName(marts.static_facts(static.read() if new_static is None else new_static)))
-    n = src.count()
     # Of several versions of one transaction in one run the newest counts; static sales have no times.
     merge_versioned(fct, store.parted(src.select(*marts.FCT_COLUMNS)), "transaction_id", on_duplicate="latest",
                     order_cols=["updated_at", "created_at", "transaction_date"], state=now)
-    return Counts(n, None)
+    return Counts()
 
 
 def monthly_rollup(store: Store) -> Counts:
@@ -347,14 +349,14 @@ def monthly_rollup(store: Store) -> Counts:
     if changed is None:
         out = analytics.monthly_sales(fct.read())
         table.replace(out.coalesce(1), state={"fct": version})
-        return Counts(None, None)
+        return Counts()
     months = {f.split("=", 1)[1][:7] for f in changed}
     m = fct.manifest(version)
     again = analytics.monthly_sales(fct.rows_of([s for s in m.slices if s.folder.split("=", 1)[1][:7] in months], m.schema))
     stay = table.read().where(~F.coalesce(F.date_format("month", "yyyy-MM"), F.lit("__HIVE_")).isin(sorted(months)))
     out = stay.unionByName(again)
     table.replace(out.coalesce(1), state={"fct": version})  # a row for each month
-    return Counts(None, len(months))
+    return Counts()
 
 
 def quantity_rollup(store: Store) -> Counts:
@@ -376,7 +378,7 @@ def quantity_rollup(store: Store) -> Counts:
     for p in parts[1:]:
         sums = sums.unionByName(p.select(ORIGIN, "item_id", "quantity"))
     table.replace(sums.groupBy(ORIGIN, "item_id").agg(F.sum("quantity").alias("quantity")), state={"items": version})
-    return Counts(None, None)
+    return Counts()
 
 
 Step = tuple[str, Callable[[], Counts], tuple]
@@ -387,7 +389,6 @@ def phases(store: Store, oltp: Mapping[str, DataFrame], seed: DataFrame) -> list
     def snapshot(name: str) -> Counts:
         n: dict = {}
         store.lake(name).replace(oltp[name], observe={"n": F.count(F.lit(1))}, state=lambda seen, _: n.update(seen) or {})
-        store.lake(name).vacuum(KEEP_SNAPSHOTS)
         return Counts(n["n"], n["n"], 0, 0)
 
     def lane(name: str) -> list[Step]:
@@ -437,9 +438,26 @@ def run_incremental(spark: SparkSession, oltp: Mapping[str, DataFrame], seed: Da
                 f.result()
     finally:
         store.ledger().append(spark.createDataFrame(rows, LEDGER).coalesce(1))
+    tidy(store, list(oltp))
     return report
 
 
+def tidy(store: Store, names: Sequence[str], keep: int = KEEP_VERSIONS, most_slices: int = MOST_SLICES) -> None:
+    """Merge small files and delete old versions, after a run that went through: every step has read its sources up to
+    their latest version by then, so neither takes away what a later delta needs.  At least two versions stay: the one that
+    was read and the one that compaction made of it."""
+    if keep < 2:
+        raise ValueError("later deltas start from the last version but one")
+    tables = [store.ledger()]
+    for t in names:
+        tables += [store.lake(t), store.raw(t)] + ([store.staging(t)] if t in staging.STAGING_COLUMNS else [])
+    tables += [store.model(m) for m in MODELS]
+    for t in tables:
+        if t.exists():
+            t.compact(most_slices)
+            t.vacuum(keep)
+
+
 def run_ledger(store: Store) -> DataFrame:
     """The steps of all runs, and whether a step's rows add up (NULL where it doesn't count single rows)."""
     total = F.col("rows_written") + F.col("rows_known") + F.col("rows_rejected")

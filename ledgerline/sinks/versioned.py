@@ -38,10 +38,14 @@ class ConcurrentCommit(RuntimeError):
 
 @dataclass(frozen=True)
 class Slice:
-    """The rows of one partition (folder, '' for a table without) in one generation, and the version that added it."""
+    """The rows of one partition (folder, '' for a table without) in one generation, and the version that added it.
+
+    A ``merged`` slice holds the rows of smaller ones that compaction put together; its version is the latest of theirs.
+    """
     folder: str
     gen: str
     version: int
+    merged: bool = False
 
 
 @dataclass(frozen=True)
@@ -56,7 +60,7 @@ class Manifest:
 
     def to_json(self) -> str:
         return json.dumps({"version": self.version, "schema": self.schema.jsonValue(), "state": dict(self.state),
-                           "slices": [[s.folder, s.gen, s.version] for s in self.slices]})
+                           "slices": [[s.folder, s.gen, s.version, s.merged] for s in self.slices]})
 
     @classmethod
     def from_json(cls, text: str) -> "Manifest":
@@ -123,14 +127,19 @@ class VersionedTable:
 
     def added_since(self, version: int, folder: str | None = None) -> DataFrame | None:
         """Rows added after ``version``, where nothing that it held has gone since; otherwise None.  ``folder`` looks
-        at one partition only."""
+        at one partition only.
+
+        Slices that compaction merged have not gone, if it merged none that is newer than ``version``.  (A write that drops
+        rows drops all slices of a partition, so a merged slice that old is made of slices that were there.)
+        """
         now, then = self.manifest(), self.manifest(version)
         if now is None or then is None:
             return None
         keep = lambda m: {s for s in m.slices if folder is None or s.folder == folder}
-        if keep(then) - keep(now):
+        merged = {s for s in keep(now) if s.merged and s.version <= version}
+        if {s.folder for s in keep(then) - keep(now)} - {s.folder for s in merged}:
             return None
-        return self.rows_of(sorted(keep(now) - keep(then), key=lambda s: (s.version, s.folder)), now.schema)
+        return self.rows_of(sorted(keep(now) - keep(then) - merged, key=lambda s: (s.version, s.folder)), now.schema)
 
     def changed_since(self, version: int) -> set[str] | None:
         """Folders of partitions that differ from those of ``version``; None if that is gone."""
@@ -165,17 +174,29 @@ class VersionedTable:
         base = self.manifest()
         return self._commit(replace(base, version=base.version + 1, state={**base.state, **state}))
 
-    def compact(self, most_slices: int = 16) -> Manifest | None:
-        """Write partitions that lie in more than ``most_slices`` generations anew as one each."""
+    def compact(self, most_slices: int = 32, small_bytes: int = 1 << 30) -> Manifest | None:
+        """Where a partition has more than ``most_slices`` slices smaller than ``small_bytes``, write those as one.
+
+        Large slices stay as they are, so a table that only grows is not written again and again.
+        """
         m = self.manifest()
-        count: dict[str, int] = {}
+        by_folder: dict[str, list[Slice]] = {}
         for s in m.slices:
-            count[s.folder] = count.get(s.folder, 0) + 1
-        many = {f for f, n in count.items() if n > most_slices}
-        if not many:
+            by_folder.setdefault(s.folder, []).append(s)
+        small: set[Slice] = set()
+        for slices in by_folder.values():
+            if len(slices) > most_slices:
+                found = [s for s in slices if self._bytes(s) < small_bytes]
+                small.update(found if len(found) > most_slices else [])
+        if not small:
             return None
-        rows = self.rows_of([s for s in m.slices if s.folder in many], m.schema)
-        return self._write(rows, lambda old, folders: [s for s in old if s.folder not in many], base=m)
+        latest = {s.folder: max(x.version for x in small if x.folder == s.folder) for s in small}
+        return self._write(self.rows_of(small, m.schema), lambda old, folders: [s for s in old if s not in small], base=m,
+                           as_slice=lambda folder, gen: Slice(folder, gen, latest[folder], True))
+
+    def _bytes(self, s: Slice) -> int:
+        fs, p = _fs(self.spark, self._slice_path(s))
+        return fs.getContentSummary(p).getLength()
 
     def vacuum(self, keep: int = 2, orphans: bool = False) -> list[str]:
         """Delete the manifests but the last ``keep``, and the generations that only deleted ones name; returns these.
@@ -195,7 +216,8 @@ class VersionedTable:
 
     def _write(self, df: DataFrame, left: Callable[[list[Slice], set[str]], list[Slice]], *, state=None,
                observe: Mapping | None = None, before_commit: Callable[[], None] | None = None,
-               drop: Iterable[str] = (), new_schema: bool = False, base: Manifest | None = None) -> Manifest:
+               drop: Iterable[str] = (), new_schema: bool = False, base: Manifest | None = None,
+               as_slice: Callable[[str, str], Slice] | None = None) -> Manifest:
         base = base or self.manifest()
         gen = f"g{uuid.uuid4().hex}"  # a letter first, so that no reader takes it for a number
         at = f"{self.path}/data/{GEN}={gen}"
@@ -217,7 +239,7 @@ class VersionedTable:
             folders = {""} if any(n.startswith("part-") for n in found) else set()
         version = base.version + 1 if base else 1
         schema = base.schema if base is not None and not new_schema else _nullable(out.schema)
-        added = [Slice(f, gen, version) for f in sorted(folders)]
+        added = [as_slice(f, gen) if as_slice else Slice(f, gen, version) for f in sorted(folders)]
         if callable(state):
             state = state(seen.get if observe else {}, self.rows_of(added, schema))
             if state is None:

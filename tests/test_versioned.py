@@ -104,10 +104,17 @@ def test_compaction_keeps_rows_and_state(spark, tmp_root):
     rows = [(str(i), i, D(2024, 1, 1 + i % 2)) for i in range(6)]
     for r in rows[:5]:
         t.append(df_of(spark, [r]), state={"n": r[1]})
-    assert t.compact(most_slices=4) is None
+    assert t.compact(most_slices=4) is None and t.compact(most_slices=2, small_bytes=1) is None
     t.compact(most_slices=2)
     assert rows_of(t.read()) == rows_of(df_of(spark, rows[:5])) and t.state() == {"n": 4}
-    assert len([s for s in t.manifest().slices if s.folder == "d=2024-01-01"]) == 1
+    assert [(s.version, s.merged) for s in t.manifest().slices if s.folder == "d=2024-01-01"] == [(5, True)]
+    # Who had read version 5 sees nothing new; who had read less can't tell merged rows apart.
+    assert t.added_since(5).collect() == [] and t.added_since(4) is None
+    assert rows_of(t.added_since(4, "d=2024-01-02")) == []
+    t.append(df_of(spark, rows[5:]))
+    assert rows_of(t.added_since(5)) == rows_of(df_of(spark, rows[5:]))
+    t.replace_partitions(df_of(spark, [("z", 9, D(2024, 1, 1))]))
+    assert t.added_since(5) is None and rows_of(t.added_since(5, "d=2024-01-02")) == rows_of(df_of(spark, rows[5:]))
 
 
 def test_write_given_up_leaves_no_version(spark, tmp_root):
