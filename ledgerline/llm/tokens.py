@@ -74,6 +74,7 @@ class PieceEncoder:
         self.spelt = {b: spell.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
         self.spelt |= {0x80 + b: x for b, x in enumerate(spell.pre_tokenize_str(chr(0x80 + b))[0][0][1] for b in range(64))}
         self.spelt |= {0xC0 + b: spell.pre_tokenize_str(chr(b << 6))[0][0][0] for b in range(2, 32)}
+        self.blank = self.spelt[32] if self.by_byte else ""
         self.words = Remembered(self._word, 50_000)
         self.first = Remembered(self._piece, 50_000)
         self.after_blank = Remembered(self._after_blank)
@@ -101,7 +102,14 @@ class PieceEncoder:
 
         None if white space beside the blank makes it part of a longer run.
         """
-        if piece[-1:] in (".", ",") and piece[-2:-1].isalpha() and piece[-2] < "\u0180":
+        if _ONE_WORD.match(piece) and piece[0] != " ":  # most are: a word of known letters needs no further look
+            word = piece if self.by_byte else piece.lower()
+            if word.isascii():
+                return array("I", [t.id for t in self.model.tokenize(self.blank + word)]).tobytes()
+            if _ONE_WORD.match(word):  # a capital may have no single small letter
+                word = word.encode().decode("latin-1").translate(self.spelt)
+                return array("I", [t.id for t in self.model.tokenize(self.blank + word)]).tobytes()
+        if piece[-1:] in (".", ",") and piece[-2:-1].isalpha() and piece[-2] < "\u0180" and piece[-2] != "\u0130":
             head = self.after_blank[piece[:-1]]
             return head and head + self.first[piece[-1]]
         if not self.by_byte:

@@ -50,6 +50,16 @@ def test_pieces_equal_the_library(parts):
         assert tokens._counter(path, 64).counts([text]) == [len(want)]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_every_known_letter_alone_and_within_words(path):
+    """Some capitals have no single small letter, and what stands behind them then joins the rest."""
+    letters = [chr(c) for c in range(0x41, 0x180) if chr(c).isalpha()]
+    for shape in ("{}", "a{}", "{}b", "{}.", "{},", "({})", "{}'s"):
+        for x in letters:
+            word = "x " + shape.format(x)
+            assert np.frombuffer(tokens.encoder(path).ids(word), "<u4").tolist() == library_ids(path, word), word
+
+
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_token_counts(both, path):
     for df in both:
