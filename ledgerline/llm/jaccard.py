@@ -10,14 +10,16 @@ sizes s <= t have t <= 4s/3 and differ in at most D = (s + t) / 7 shingles.
 3. *Sketches*: size bands overlap so that both sets of a link lie in a common band.  The band fixes into how many
    places the hash space is cut; a set's sketch has in each place the XOR of its shingles' hashes.  A shingle
    changes one place, so sketches of linked sets differ in at most D places, and as more than D places are filled,
-   they agree in a filled one (pigeonhole).  Sets are joined on (band, place, XOR).  In narrow bands each shingle
-   has a place of its own.
+   they agree in a filled one (pigeonhole).  Place and XOR make a key.  At most D keys of either set are not the
+   other's, so the least key that they share is among the D + 1 least of both: only these are joined.  In narrow
+   bands, and in bands with a set that fills too few places, each shingle has a place of its own.
 4. *Check*: a sketch of parity bits, some for each shingle, has a Hamming distance of at most the number of
    differing shingles; pairs whose distance is above D are out.  The others are compared exactly.
 
-Each set is first compared with the least set of each bucket that it is in.  All pairs of a bucket are needed only
-where its sets then still belong to different components, and of these only sets that share all but a quarter of
-their shingles with other components; linked groups never expand into all their pairs.
+Each set is first compared with one set for each of its ``STARS`` least keys a band, twice, the second time with one
+of another component.  What near copies those leave apart is found by all D + 1 keys, in buckets in which sizes and
+short sketches are compared before a pair leaves.  Only sets that still share all but a quarter of their shingles with
+other components go into the buckets; linked groups never expand into all their pairs.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyspark.sql.functions as F
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm.components import components
 from ledgerline.llm.shared import Scratch, partitions
@@ -38,10 +40,14 @@ from ledgerline.llm.tokens import by_bytes
 PERCENT = 75
 #: Least parity bits of a set; larger sets have two to four for each shingle.
 SKETCH_BITS = 1024
+#: Least parity bits that go into the buckets; at most SKETCH_BITS do.
+SHORT_BITS = 256
 #: Bands whose largest set is at most this have a place for each shingle.
-SINGLE = 340
+SINGLE = 100
 #: Places of a wider band, as a share of its largest set.
-PLACES = 0.6
+PLACES = 0.45
+#: Keys of a set in each band by which it looks for a near copy at first.
+STARS = 4
 RATIO = 4 / 3
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -73,6 +79,15 @@ def shingle_sets(texts: pa.Array, width: int = 5) -> list[np.ndarray]:
     return out
 
 
+def bucket_names(spark: SparkSession) -> np.ndarray:
+    """Numbers of buckets, as many as there are partitions, that ``repartition`` deals to one partition each."""
+    n = partitions(spark)
+    number = F.col("id").cast("int")
+    named = spark.range(64 + 24 * n).groupBy(F.pmod(F.hash(number), F.lit(n)).alias("part")).agg(F.min(number).alias("name"))
+    found = {r["part"]: r["name"] for r in named.collect()}
+    return np.array([found.get(p, -1 - p) for p in range(n)], np.int32)
+
+
 def _share(size: np.ndarray | float) -> np.ndarray | float:
     """The part of the hash space in which a set of this size is judged."""
     return np.minimum(1.0, 0.25 + 1 / np.sqrt(np.maximum(size, 1)))
@@ -113,7 +128,7 @@ def _digests(s: np.ndarray) -> tuple[int, int]:
         return _signed(mix(s).sum(dtype=np.uint64)), _signed(np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D))) if len(s) else 0)
 
 
-def _deal_shingles(sets: list[np.ndarray], owners: np.ndarray, groups: np.ndarray, buckets: int) -> pa.RecordBatch | None:
+def _deal_shingles(sets: list[np.ndarray], owners: np.ndarray, groups: np.ndarray, buckets: np.ndarray) -> pa.RecordBatch | None:
     """The shingles in which sets are judged, one row per bucket: (bucket, low, owners, groups, judged, runs).
 
     A set of s shingles is judged by those in ``_share(s)`` of the hash space, and sends those that a smaller
@@ -129,7 +144,7 @@ def _deal_shingles(sets: list[np.ndarray], owners: np.ndarray, groups: np.ndarra
     every, owner, judged = every[sent], owner[sent], (where < _share(size)[owner])[sent]
     if not len(every):
         return None
-    bucket = (every % np.uint64(buckets)).astype(np.int64)
+    bucket = (every % np.uint64(len(buckets))).astype(np.int64)
     run = owner * 2 + judged
     order = np.lexsort((run, bucket))
     bucket, every, run = bucket[order], every[order], run[order]
@@ -140,7 +155,7 @@ def _deal_shingles(sets: list[np.ndarray], owners: np.ndarray, groups: np.ndarra
         low = every[x:y].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
         at = run[x:y][new[:-1]]
         parts = (owners[at >> 1].astype("<i8"), groups[at >> 1].astype("<i8"), (at & 1).astype(np.uint8), np.diff(new).astype("<u4"))
-        rows.append((int(bucket[x]), low.tobytes(), *(p.tobytes() for p in parts)))
+        rows.append((int(buckets[bucket[x]]), low.tobytes(), *(p.tobytes() for p in parts)))
     kinds = (pa.int32(), *[pa.binary()] * 5)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=_DEALT)
 
@@ -150,7 +165,7 @@ _DEALT_KIND = "bucket int, low binary, owners binary, groups binary, judged bina
 
 
 def _count_lonely(dealt: DataFrame) -> DataFrame:
-    """owner and the number of its judged shingles that only sets of its own group have."""
+    """owner, group and the number of the owner's judged shingles that only sets of its group have."""
 
     def count(batches):
         by_bucket: dict[int, list] = {}
@@ -171,21 +186,22 @@ def _count_lonely(dealt: DataFrame) -> DataFrame:
             alone = np.minimum.reduceat(of, starts) == np.maximum.reduceat(of, starts)
             mine = np.repeat(alone, np.diff(np.append(starts, len(key)))) & (judged[run] == 1)
             mine[1:] &= (key[1:] != key[:-1]) | (owner[run[1:]] != owner[run[:-1]])  # copies count once
-            found, n = np.unique(owner[run[mine]], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["owner", "n"])
+            at, n = np.unique(np.stack([owner[run[mine]], of[mine]]), axis=1, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(at[0]), pa.array(at[1]), pa.array(n.astype(np.int64))], names=["owner", "group", "n"])
 
-    return dealt.repartition("bucket").mapInArrow(count, "owner bigint, n bigint").groupBy("owner").agg(F.sum("n").alias("lonely"))
+    found = dealt.repartition("bucket").mapInArrow(count, "owner bigint, group bigint, n bigint")
+    return found.groupBy("owner", "group").agg(F.sum("n").alias("lonely"))
 
 
 def lonely_counts(docs: DataFrame, text_col: str, width: int, group_bytes: int = 4 << 20) -> DataFrame:
-    """d1 (as ``owner``) and the number of its judged shingles that no other set among ``docs`` has."""
-    buckets = partitions(docs.sparkSession)
+    """d1 (as ``owner``), d2 (as ``group``) and the number of their set's judged shingles that no other among ``docs`` has."""
+    buckets = bucket_names(docs.sparkSession)
 
     def deal(batches):
         for batch, a, b in _groups(batches, 0, group_bytes):
             sets = shingle_sets(batch.column(0).slice(a, b - a), width)
-            d1 = np.array([_digests(s)[0] for s in sets], np.int64)
-            if (out := _deal_shingles(sets, d1, d1, buckets)) is not None:
+            digests = np.array([_digests(s) for s in sets], np.int64).reshape(-1, 2)
+            if (out := _deal_shingles(sets, digests[:, 0], digests[:, 1], buckets)) is not None:
                 yield out
 
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -193,8 +209,8 @@ def lonely_counts(docs: DataFrame, text_col: str, width: int, group_bytes: int =
 
 
 def lonely_in_component(sets: DataFrame, group_bytes: int = 4 << 20) -> DataFrame:
-    """id (as ``owner``) and the number of its judged shingles that no set of another component (``root``) has."""
-    buckets = partitions(sets.sparkSession)
+    """id (as ``owner``), root (as ``group``) and the number of its judged shingles that no set of another component has."""
+    buckets = bucket_names(sets.sparkSession)
 
     def deal(batches):
         for batch, a, b in _groups(batches, 2, group_bytes):
@@ -223,87 +239,103 @@ def sketch_distance(one: np.ndarray, two: np.ndarray) -> int:
     return int(np.bitwise_count(one ^ two).sum(dtype=np.int64))
 
 
-def _fold(sketch: np.ndarray) -> np.ndarray:
-    """To SKETCH_BITS bits."""
-    while len(sketch) * 8 > SKETCH_BITS:
+def short_sketch(s: np.ndarray) -> np.ndarray:
+    """The parity sketch folded to two to four bits a shingle, but no fewer than SHORT_BITS or more than SKETCH_BITS."""
+    bits = min(SKETCH_BITS, max(SHORT_BITS, 1 << int(2 * len(s) - 1).bit_length()))
+    sketch = parity_sketch(s)
+    while len(sketch) * 8 > bits:
         sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
     return sketch
 
 
 def set_table(docs: DataFrame, id_col: str, text_col: str, width: int, group_bytes: int = 4 << 20) -> DataFrame:
-    """id, n, sketch, folded (the sketch in SKETCH_BITS bits), shingles (64-bit, sorted, as bytes)."""
+    """id, n, sketch, thin (the set's bands of whose places it fills too few), shingles (64-bit, sorted, as bytes)."""
 
     def run(batches):
         for batch, a, b in _groups(batches, 1, group_bytes):
             sets = shingle_sets(batch.column(1).slice(a, b - a), width)
-            marks = [parity_sketch(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array([m.tobytes() for m in marks], pa.binary()),
-                 pa.array([_fold(m).tobytes() for m in marks], pa.binary()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
-                names=["id", "n", "sketch", "folded", "shingles"],
+                [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array([parity_sketch(s).tobytes() for s in sets], pa.binary()),
+                 pa.array([thin_bands(s) for s in sets], pa.list_(pa.int32())), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
+                names=["id", "n", "sketch", "thin", "shingles"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return _texts(docs, id_col, text_col).mapInArrow(run, f"id {kind}, n bigint, sketch binary, folded binary, shingles binary")
+    return _texts(docs, id_col, text_col).mapInArrow(run, f"id {kind}, n bigint, sketch binary, thin array<int>, shingles binary")
 
 
-def bands(n: int) -> tuple[tuple[int, int], ...]:
-    """The two bands of a set of n shingles, and the places of each; 0 places: one for each shingle.
+def bands(n: int) -> list[tuple[int, int, int]]:
+    """The bands of a set of n shingles: (number, places, most differing shingles); 0, 0: a place for each shingle.
 
-    Band j holds the sizes from RATIO^j up to RATIO^(j+2), without the end.
+    Band j holds the sizes from RATIO^j up to RATIO^(j+2), without the end.  A pair is looked for in the band j in
+    whose first half its smaller set lies; so the second band of a set is for smaller partners only.
     """
     j = int(np.floor(np.log(n) / np.log(RATIO) + 1e-9))
-    found = []
-    for k in (j, j - 1):
+    found: list[tuple[int, int, int]] = []
+    for k, partner in ((j, int(n * RATIO)), (j - 1, min(n, int(RATIO**j) + 1))):
         largest = RATIO ** (k + 2)
-        found.append((0, 0) if largest <= SINGLE else (k, int(np.ceil(PLACES * largest))))
-    return tuple(dict.fromkeys(found))
-
-
-def sketch_keys(s: np.ndarray) -> np.ndarray:
-    """Keys of the filled places of the set's sketches, in its bands."""
-    n, found = len(s), []
-    for band, places in bands(n):
-        if not places:
-            found.append(mix(s))
-            continue
-        place = (mix(s ^ np.uint64(band)) % np.uint64(places)).astype(np.int64)
-        order = np.argsort(place, kind="stable")
-        at = np.flatnonzero(np.r_[True, np.diff(place[order]) > 0])
-        if len(at) <= (n + int(n * RATIO)) // 7:
-            raise ValueError(f"a set of {n} shingles fills only {len(at)} places")
-        xor = np.bitwise_xor.reduceat(s[order], at)
-        found.append(mix(mix(xor) + place[order][at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band)))
-    return np.concatenate(found)
-
-
-def _deal_keys(sets: DataFrame, extra: list[str], extra_kinds: str) -> DataFrame:
-    """The keys of all sets, dealt into buckets: rows (bucket, keys, ids as places in the row's lists, lists)."""
-    buckets = partitions(sets.sparkSession)
+        band, places = (0, 0) if largest <= SINGLE else (k, int(np.ceil(PLACES * largest)))
+        if not found or found[0][0] != band:
+            found.append((band, places, (n + partner) * (100 - PERCENT) // (100 + PERCENT)))
+    return found
+
+
+def place_keys(s: np.ndarray, band: int, places: int) -> np.ndarray:
+    """Sorted keys of the filled places of the set's sketch in a band."""
+    if not places:
+        return np.unique(mix(s ^ np.uint64(band)))
+    place = (mix(s ^ np.uint64(band)) % np.uint64(places)).astype(np.int64)
+    order = np.argsort(place, kind="stable")
+    at = np.flatnonzero(np.r_[True, np.diff(place[order]) > 0])
+    xor = np.bitwise_xor.reduceat(s[order], at)
+    return np.sort(mix(mix(xor) + place[order][at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band)))
+
+
+def thin_bands(s: np.ndarray) -> list[int]:
+    """The bands of which a set fills too few places for the pigeonhole."""
+    return [band for band, places, most in (bands(len(s)) if len(s) else ()) if places and len(place_keys(s, band, places)) <= most]
+
+
+def sketch_keys(s: np.ndarray, single: frozenset[int] = frozenset(), least: int | None = None) -> np.ndarray:
+    """In each of the set's bands the least keys, one more than linked sets differ in, or ``least`` of them if that is
+    fewer.  Bands in ``single`` have a place for each shingle."""
+    if not len(s):
+        return np.zeros(0, np.uint64)
+    cut = [(most + 1, place_keys(s, band, 0 if band in single else places)) for band, places, most in bands(len(s))]
+    return np.concatenate([keys[: n if least is None else min(n, least)] for n, keys in cut])
+
+
+def _deal_keys(sets: DataFrame, single: frozenset[int]) -> DataFrame:
+    """The keys of sets (id, shingles, root, n), dealt into buckets, with short sketches: rows (bucket, keys, owners as
+    places in the row's lists, lists)."""
+    buckets = bucket_names(sets.sparkSession)
 
     def deal(batches):
         for batch, a, b in _groups(batches, 1, 4 << 20):
-            keys = [sketch_keys(np.frombuffer(x, "<u8")) if x else np.zeros(0, np.uint64) for x in batch.column(1).slice(a, b - a).to_pylist()]
+            found = [np.frombuffer(x, "<u8") for x in batch.column(1).slice(a, b - a).to_pylist()]
+            keys = [sketch_keys(s, single) for s in found]
+            short = pa.array([short_sketch(s).tobytes() for s in found], pa.binary())
             owner = np.repeat(np.arange(b - a), [len(k) for k in keys])
             every = np.concatenate(keys)
-            bucket = (every % np.uint64(buckets)).astype(np.int64)
+            bucket = (every % np.uint64(len(buckets))).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             bucket, every, owner = bucket[order], every[order], owner[order]
             cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(every) else np.zeros(1, int)
             for x, y in zip(cuts[:-1], cuts[1:], strict=True):
                 used, local = np.unique(owner[x:y], return_inverse=True)
-                pick = pa.array(used + a)
+                lists = [*(batch.column(c).take(pa.array(used + a)) for c in (0, 2, 3)), short.take(pa.array(used))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(bucket[x])], pa.int32()), pa.array([every[x:y].astype("<u8").tobytes()], pa.binary()), pa.array([local.astype("<u4").tobytes()], pa.binary()),
-                     *(pa.array([batch.column(c).take(pick).to_pylist()], pa.list_(batch.column(c).type)) for c in (0, *range(2, 2 + len(extra))))],
-                    names=["bucket", "keys", "owners", "ids", *extra],
+                    [pa.array([int(buckets[bucket[x]])], pa.int32()), pa.array([every[x:y].astype("<u8").tobytes()], pa.binary()),
+                     pa.array([local.astype("<u4").tobytes()], pa.binary()), *(pa.array([c.to_pylist()], pa.list_(c.type)) for c in lists)],
+                    names=["bucket", "keys", "owners", "ids", "roots", "sizes", "sketches"],
                 )
 
-    return sets.select("id", "shingles", *extra).mapInArrow(deal, f"bucket int, keys binary, owners binary, ids array<bigint>{extra_kinds}").repartition("bucket")
+    kinds = "bucket int, keys binary, owners binary, ids array<bigint>, roots array<bigint>, sizes array<bigint>, sketches array<binary>"
+    return sets.select("id", "shingles", "root", "n").mapInArrow(deal, kinds).repartition("bucket")
 
 
-def _by_bucket(batches, lists: int):
-    """Per bucket: sorted keys with the ids (and further lists) of their sets, and where each key's run begins."""
+def _by_bucket(batches):
+    """Per bucket: sorted keys' sets and where each key's run begins; the sets' ids, roots, sizes and sketches."""
     found: dict[int, list] = {}
     for batch in batches:
         for bucket, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -314,25 +346,31 @@ def _by_bucket(batches, lists: int):
         owner = [np.frombuffer(p[1], "<u4") for p in parts]
         shift = np.cumsum([0, *(len(p[2]) for p in parts)])
         owner = np.concatenate([o + s for o, s in zip(owner, shift, strict=False)])
-        columns = [[x for p in parts for x in p[2 + k]] for k in range(lists)]
-        ids = np.array(columns[0], np.int64)
+        ids, roots, sizes = (np.array([x for p in parts for x in p[2 + k]], np.int64) for k in range(3))
         order = np.lexsort((ids[owner], key))
         key, owner = key[order], owner[order]
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True]) if len(key) else np.zeros(1, int)
-        yield owner, starts, ids, columns[1:]
+        yield owner, starts, ids, roots, sizes, [x for p in parts for x in p[5]]
 
 
-def star_pairs(sets: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of each set b with the least set a of a bucket that both are in."""
+def least_keys(sets: DataFrame, single: frozenset[int]) -> DataFrame:
+    """(id, key): of each set the ``STARS`` least keys of each of its bands."""
+
+    def run(batches):
+        for batch, a, b in _groups(batches, 1, 4 << 20):
+            keys = [sketch_keys(np.frombuffer(x, "<u8"), single, STARS) for x in batch.column(1).slice(a, b - a).to_pylist()]
+            ids = batch.column(0).slice(a, b - a).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, [len(k) for k in keys])), pa.array(np.concatenate(keys).view(np.int64))], names=["id", "key"])
+
+    return sets.select("id", "shingles").mapInArrow(run, "id bigint, key bigint")
 
-    def pairs(batches):
-        for owner, starts, ids, _ in _by_bucket(batches, 1):
-            node = ids[owner]
-            lead = np.repeat(node[starts[:-1]], np.diff(starts))
-            two = np.unique(np.stack([lead, node])[:, lead != node], axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(two[0]), pa.array(two[1])], names=["a", "b"])
 
-    return _deal_keys(sets, [], "").mapInArrow(pairs, "a bigint, b bigint").distinct()
+def star_pairs(keys: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) from rows (id, root, key): of each key the set a with the least root, and each set b of
+    another root."""
+    lead = keys.groupBy("key").agg(F.min(F.struct("root", "id")).alias("lead"), F.count("*").alias("n")).where("n > 1")
+    found = keys.join(lead.select("key", "lead"), "key").where("lead.root != root")
+    return found.select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct()
 
 
 def _most(s: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -340,18 +378,43 @@ def _most(s: np.ndarray, t: np.ndarray) -> np.ndarray:
     return np.where(100 * np.minimum(s, t) >= PERCENT * np.maximum(s, t), (s + t) * (100 - PERCENT) // (100 + PERCENT), -1)
 
 
-def cross_pairs(sets: DataFrame, tile: int = 512) -> DataFrame:
-    """Distinct pairs (a, b) of sets of one bucket in different components whose sketches, folded to SKETCH_BITS bits,
-    allow a link; see ``sketched`` for the whole sketches, which are too long to go into every bucket."""
+def short_distance(sketches: list[bytes]):
+    """A function of two arrays of numbers of sets: the Hamming distances of their short sketches."""
+    length = np.array([len(x) // 8 for x in sketches])
+    folded = {}
+    for words_ in sorted({int(n) for n in length}):
+        at = np.flatnonzero(length >= words_)
+        rows = np.zeros((len(sketches), words_), np.uint64)
+        for n in sorted({int(n) for n in length[at]}):
+            same = at[length[at] == n]
+            wide = np.frombuffer(b"".join(sketches[i] for i in same), "<u8").reshape(len(same), n)
+            while wide.shape[1] > words_:
+                wide = wide[:, : wide.shape[1] // 2] ^ wide[:, wide.shape[1] // 2 :]
+            rows[same] = wide
+        folded[words_] = rows
+
+    def distance(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(i), np.int64)
+        both = np.minimum(length[i], length[j])
+        for words_, rows in folded.items():
+            at = np.flatnonzero(both == words_)
+            out[at] = np.bitwise_count(rows[i[at]] ^ rows[j[at]]).sum(axis=1)
+        return out
+
+    return distance
+
+
+def cross_pairs(sets: DataFrame, single: frozenset[int], tile: int = 512) -> DataFrame:
+    """Distinct pairs (a, b) of sets that share a key, in different components, whose sizes and short sketches allow a
+    link; see ``sketched`` for the whole sketches, which are too long to go into every bucket."""
 
     def pairs(batches):
-        for owner, starts, ids, (roots, sizes, sketches) in _by_bucket(batches, 4):
-            root, size = np.array(roots, np.int64), np.array(sizes, np.int64)
-            folded = np.frombuffer(b"".join(sketches), "<u8").reshape(len(ids), -1)
+        for owner, starts, ids, root, size, sketches in _by_bucket(batches):
             out = []
             if len(starts) < 2:
                 continue
-            # Buckets of several components; of those with the same sets, which near-copies share by the hundred, one.
+            distance = short_distance(sketches)
+            # Keys of several components; of those with the same sets, which near-copies share by the hundred, one.
             of, first = root[owner], starts[:-1]
             size_of = np.diff(starts)
             mark = mix(np.add.reduceat(mix(ids[owner].astype(np.uint64)), first) + size_of.astype(np.uint64))
@@ -364,22 +427,33 @@ def cross_pairs(sets: DataFrame, tile: int = 512) -> DataFrame:
                     for m in range(k, len(at), tile):
                         j = at[m : m + tile]
                         most = _most(size[i][:, None], size[j][None, :])
-                        p, q = np.nonzero((root[i][:, None] != root[j][None, :]) & (most >= 0))
-                        far = np.bitwise_count(folded[i[p]] ^ folded[j[q]]).sum(axis=1)
-                        near = far <= most[p, q]
-                        out.append(np.unique(np.minimum(i[p[near]], j[q[near]]).astype(np.int64) * len(ids) + np.maximum(i[p[near]], j[q[near]])))
+                        p, q = np.nonzero((root[i][:, None] < root[j][None, :]) & (most >= 0))
+                        if m > k:
+                            r, t = np.nonzero((root[i][:, None] > root[j][None, :]) & (most >= 0))
+                            p, q = np.concatenate([p, r]), np.concatenate([q, t])
+                        near = distance(i[p], j[q]) <= most[p, q]
+                        x, y = i[p[near]], j[q[near]]
+                        out.append(np.unique(np.minimum(x, y).astype(np.int64) * len(ids) + np.maximum(x, y)))
             if out:
                 i, j = np.divmod(np.unique(np.concatenate(out)), len(ids))
-                a, b = ids[i], ids[j]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                two = np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])])
+                two = np.unique(two[:, two[0] != two[1]], axis=1)  # a set has a number for each batch that it came in
+                yield pa.RecordBatch.from_arrays([pa.array(two[0]), pa.array(two[1])], names=["a", "b"])
 
-    dealt = _deal_keys(sets.select("id", "shingles", "root", "n", "folded"), ["root", "n", "folded"], ", root array<bigint>, n array<bigint>, folded array<binary>")
-    return dealt.mapInArrow(pairs, "a bigint, b bigint").where("a != b").distinct()
+    return _deal_keys(sets, single).mapInArrow(pairs, "a bigint, b bigint").distinct()
+
+
+def _sides(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """The pairs with columns of both sets, x_a and x_b; only sets that are in a pair are dealt out."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    used = sets.select("id", *columns).join(ids, "id", "left_semi")
+    for c in ("a", "b"):
+        pairs = pairs.join(used.select(F.col("id").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in columns)), c)
+    return pairs.select("a", "b", *(f"{x}_{c}" for x in columns for c in ("a", "b")))
 
 
 def sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose parity sketches allow a link."""
-    side = lambda c: sets.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
 
     def run(batches):
         for batch in batches:
@@ -388,24 +462,22 @@ def sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = [m >= 0 and sketch_distance(*(np.frombuffer(x.as_buffer(), np.uint8) for x in two)) <= m for m, *two in pairs]
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in (0, 1)], names=["a", "b"])
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "s_a", "s_b")
-    return both.mapInArrow(run, "a bigint, b bigint")
+    return _sides(pairs, sets, "n", "sketch").mapInArrow(run, "a bigint, b bigint")
 
 
 def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that are linked: 100 * intersection >= 75 * union."""
-    side = lambda c: sets.select(F.col("id").alias(c), F.col("shingles").alias(f"s_{c}"))
 
     def run(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                one, two = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                one, two = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
                 both = len(np.intersect1d(one, two, assume_unique=True))
                 keep.append(100 * both >= PERCENT * (len(one) + len(two) - both))
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in (0, 1)], names=["a", "b"])
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b").mapInArrow(run, "a bigint, b bigint")
+    return _sides(pairs, sets, "shingles").mapInArrow(run, "a bigint, b bigint")
 
 
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
@@ -422,23 +494,30 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     full = marks.where("id is not null and n > 0")
     points = full.groupBy("n", "d1", "d2").agg(F.min("id").alias("point"))
     lonely = lonely_counts(docs.where(F.col(id_col).isNotNull()), text_col, width)
-    left = points.join(lonely, F.col("d1") == F.col("owner"), "left").where("4 * coalesce(lonely, 0) <= n").select(F.col("point").alias(id_col)).distinct()
+    alone = (F.col("d1") == F.col("owner")) & (F.col("d2") == F.col("group"))
+    left = points.join(lonely, alone, "left").where("4 * coalesce(lonely, 0) <= n").select(F.col("point").alias(id_col)).distinct()
     sets = scratch.write(set_table(docs.select(id_col, text_col).join(left, id_col), id_col, text_col, width).where("n > 0"), "sets")
-
-    stars = scratch.write(star_pairs(sets), "stars")
-    likely = scratch.write(sketched(stars, sets), "likely")
-    first = likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = scratch.write(checked(first, sets), "links-1")
-    roots = components(links, scratch, "roots-1")
-    links2 = scratch.write(checked(_apart(likely, roots).select("a", "b"), sets), "links-2")
-    roots = scratch.write(components(_joined(roots, links2), scratch, "roots-2"), "roots")
+    single = frozenset(r["band"] for r in sets.select(F.explode("thin").alias("band")).distinct().collect())  # one row a band at most
+
+    keys = scratch.write(least_keys(sets, single), "keys")
+    stars = scratch.write(star_pairs(keys.withColumn("root", F.col("id"))), "stars-1")
+    likely = sketched(stars, sets).groupBy("b").agg(F.min("a").alias("a"))
+    links = scratch.write(checked(scratch.write(likely.select("a", "b"), "likely-1"), sets), "links-1")
+    roots = scratch.write(components(links, scratch, "steps-1"), "roots-1")
+    stars = scratch.write(star_pairs(_rooted(keys, roots)), "stars-2")
+    links = scratch.write(checked(scratch.write(sketched(stars, sets), "likely-2"), sets), "links-2")
+    roots = scratch.write(components(_joined(roots, links), scratch, "steps-2"), "roots-2")
+    scratch.drop("keys")
     # The same argument as in step 2, for components: a set that lacks too many shingles outside its own
     # component has no partner there.
-    rooted = scratch.write(sets.join(roots, sets["id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "id")).drop("node"), "rooted")
-    lonely = lonely_in_component(rooted)
-    open_sets = rooted.join(lonely, F.col("id") == F.col("owner"), "left").where("4 * coalesce(lonely, 0) <= n").select(*rooted.columns)
-    links3 = scratch.write(checked(sketched(cross_pairs(open_sets), sets), sets), "links-3")
-    roots = components(_joined(roots, links3), scratch, "roots-3")
+    lonely = lonely_in_component(_rooted(sets, roots))
+    still = _rooted(sets.select("id", "n"), roots).join(lonely, F.col("id") == F.col("owner"), "left").where("4 * coalesce(lonely, 0) <= n")
+    still = scratch.write(still.select("id", "root"), "open")
+    crossed = scratch.write(cross_pairs(sets.join(still, "id"), single), "crossed")
+    likely = scratch.write(sketched(crossed, sets), "likely")
+    links = scratch.write(checked(likely, sets), "links")
+    scratch.drop("sets", "open", "crossed", "likely")
+    roots = components(_joined(roots, links), scratch, "steps-3")
 
     points = points.join(roots, F.col("point") == F.col("node"), "left")
     points = points.select("n", "d1", "d2", F.coalesce("root", "point").alias("root"))
@@ -456,12 +535,9 @@ def _same_id(by_id: DataFrame, scratch: Scratch) -> DataFrame:
     return many.join(merged, F.col("a") == F.col("node"), "left").select("id", F.coalesce("to", "a").alias("root"))
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs in different components, with these: a, b, root_a, root_b."""
-    for c in ("a", "b"):
-        side = roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-        pairs = pairs.join(side, c, "left").withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
-    return pairs.where("root_a != root_b")
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows with the root of their id."""
+    return rows.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).drop("node")
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:

@@ -217,3 +217,49 @@ def test_sketch_distance_is_a_lower_bound():
         far = jaccard.sketch_distance(jaccard.parity_sketch(a), jaccard.parity_sketch(b))
         assert far <= len(np.setxor1d(a, b))
         assert jaccard.sketch_distance(jaccard.parity_sketch(a), jaccard.parity_sketch(a[: n // 3])) <= n - n // 3
+
+
+def linked_pair(rng, n):
+    """Two sets as far apart as a link allows, the first of n shingles; None where rounding forbids it."""
+    t = int(rng.integers(-(-3 * n // 4), 4 * n // 3 + 1))
+    apart = (n + t) // 7
+    apart -= (apart - (t - n)) % 2
+    gone = (apart - (t - n)) // 2
+    if gone < 0 or apart < gone:
+        return None
+    a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+    b = np.unique(np.r_[a[rng.permutation(len(a))[gone:]], rng.integers(0, 1 << 63, apart - gone).astype(np.uint64)])
+    return a, b
+
+
+def test_linked_sets_share_one_of_their_least_keys():
+    rng = np.random.default_rng(7)
+    sizes = [*range(1, 140), 200, 301, 500, 900, 2000, 5000]
+    found = [p for n in sizes for _ in range(6) if (p := linked_pair(rng, n))]
+    assert len(found) > 400
+    for a, b in found:
+        for single in (frozenset(), frozenset(k for s in (a, b) for k, *_ in jaccard.bands(len(s)))):
+            thin = single | set(jaccard.thin_bands(a)) | set(jaccard.thin_bands(b))
+            one, two = (jaccard.sketch_keys(s, thin) for s in (a, b))
+            assert len(np.intersect1d(one, two))
+            assert max(len(one), len(two)) <= 0.65 * max(len(a), len(b)) + 2
+        far = jaccard.short_distance([jaccard.short_sketch(s).tobytes() for s in (a, b)])(np.array([0]), np.array([1]))
+        assert far[0] <= len(np.setxor1d(a, b))
+
+
+def test_a_set_that_fills_few_places_is_thin():
+    """Shingles chosen to fall into one place of the set's bands: too few keys, so the band must be single."""
+    rng = np.random.default_rng(8)
+    (band, places, most), *_ = jaccard.bands(300)
+    s = np.unique(rng.integers(0, 1 << 63, 60_000).astype(np.uint64))
+    s = s[(jaccard.mix(s ^ np.uint64(band)) % np.uint64(places)) < 3][:300]
+    assert band in jaccard.thin_bands(s) and len(jaccard.place_keys(s, band, places)) <= most
+    assert len(jaccard.sketch_keys(s, frozenset(jaccard.thin_bands(s)))) > most
+
+
+def test_sets_of_one_digest_are_counted_apart(spark):
+    """Two sets with the same first digest: the lonely shingles of one are not the other's."""
+    sets = [np.arange(1, 6, dtype=np.uint64) << np.uint64(20), np.arange(4, 9, dtype=np.uint64) << np.uint64(20)]
+    dealt = jaccard._deal_shingles(sets, np.array([7, 7]), np.array([1, 2]), np.array([0], np.int32))
+    df = spark.createDataFrame(dealt.to_pandas(), jaccard._DEALT_KIND)
+    assert sorted(map(tuple, jaccard._count_lonely(df).collect())) == [(7, 1, 3), (7, 2, 3)]
