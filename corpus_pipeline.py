@@ -20,27 +20,36 @@ def _row_key() -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def _staying(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+def _free(docs: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind it as make it none of the columns."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
+def _staying(docs: DataFrame, verdicts: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` whose key is among those of ``verdicts``."""
-    keyed = docs.withColumn("row_key", _row_key())
-    return keyed.join(verdicts.select("row_key").distinct(), "row_key", "left_semi").select(*docs.columns)
+    keyed = docs.withColumn(key, _row_key())
+    return keyed.join(verdicts.select(key).distinct(), key, "left_semi").select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a base rule, or whose perplexity is outside their language's band, go."""
-    verdicts = quality.quality_rules(docs.withColumn("row_key", _row_key()), id_col="row_key")
-    return _staying(docs, verdicts.where("kept"))
+    key = _free(docs, "row_key")
+    verdicts = quality.quality_rules(docs.withColumn(key, _row_key()), id_col=key)
+    return _staying(docs, verdicts.where("kept"), key)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for label 0 go.  Labels are learned as in operator 1."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    keyed = docs.withColumn("row_key", _row_key())
+    key = _free(docs, "row_key")
+    keyed = docs.withColumn(key, _row_key())
     # One row for each row of the stage's input: labels belong to ids, scores to rows.
-    marked = keyed.select("doc_id", "row_key").distinct().join(labels.select("doc_id", "quality").distinct(), "doc_id")
-    learn = marked.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1).select("row_key", "quality")
-    scores = classifier.score_quality(keyed, learn, learn=F.lit(True), id_col="row_key")
-    return _staying(docs, scores.where("predicted = 1"))
+    marked = keyed.select("doc_id", key).distinct().join(labels.select("doc_id", "quality").distinct(), "doc_id")
+    learn = marked.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1).select(key, "quality")
+    scores = classifier.score_quality(keyed, learn, learn=F.lit(True), id_col=key)
+    return _staying(docs, scores.where("predicted = 1"), key)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
