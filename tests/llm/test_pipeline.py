@@ -107,3 +107,13 @@ def test_stages_of_empty_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).collect() == []
+
+
+def test_a_column_named_like_the_row_key_is_kept(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clash = docs.withColumn("row_key", F.col("doc_id") * 2)
+    for stage in (corpus_pipeline.quality_rules, corpus_pipeline.quality_classifier):
+        out = stage(spark, clash, SF)
+        rows = out.collect()
+        assert out.columns == clash.columns and rows
+        assert all(r["row_key"] == 2 * r["doc_id"] for r in rows)
