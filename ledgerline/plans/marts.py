@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas as S
 from ledgerline.functions.scalar import to_ts
 from ledgerline.operators.incremental import newer_than
-from ledgerline.operators.joins import ROWS_PER_TASK, fanout_left_join
+from ledgerline.operators.joins import ROWS_PER_TASK, fanout_left_join, fanout_left_join_counted
 from ledgerline.operators.latest import latest_by
 
 TI_COLUMNS = S.DIM_TRANSACTION_ITEMS.fieldNames()
@@ -29,7 +29,8 @@ def dim_payment_methods(stg_payment_methods: DataFrame) -> DataFrame:
 
 
 def static_items(stg_static: DataFrame, stg_items: DataFrame,
-                 dedupe: str | None = None, rows_per_task: int | None = None) -> DataFrame:
+                 dedupe: str | None = None, rows_per_task: int | None = None,
+                 copies: str | None = None) -> DataFrame:
     """Static sales as transaction items, item id looked up by NAME.
 
     Item names are not unique, so by default (as in the source model) a sale fans out
@@ -40,6 +41,10 @@ def static_items(stg_static: DataFrame, stg_items: DataFrame,
     is known to be small and shuffles both sides otherwise.  A name with a large share of
     the sales is split by AQE on the sales side; a name with very many item rows is
     split by ``fanout_left_join`` (AQE cannot split the right side of a left join).
+
+    Versions of one item id under one name give a sale equal rows.  With ``copies`` those are one
+    row, and the column of that name says how many they are; so an aggregate over them needs no
+    more rows than there are sales and item ids of their names.
     """
     items = stg_items
     if dedupe == "latest":
@@ -48,8 +53,11 @@ def static_items(stg_static: DataFrame, stg_items: DataFrame,
         raise ValueError(f"unknown dedupe mode {dedupe!r}")
     # The whole item row, so that versions of one id under one name fall into many buckets.
     it = items.select(*[F.col(c).alias(f"__{c}") for c in items.columns])
-    j = fanout_left_join(stg_static, it, "item_name", "__name",
-                         rows_per_task or ROWS_PER_TASK)
+    budget = rows_per_task or ROWS_PER_TASK
+    if copies:
+        j = fanout_left_join_counted(stg_static, it, "item_name", "__name", ["__name", "__item_id"], copies, budget)
+    else:
+        j = fanout_left_join(stg_static, it, "item_name", "__name", budget)
     return j.select(
         F.col("transaction_id"),
         F.col("__item_id").alias("item_id"),
@@ -57,6 +65,7 @@ def static_items(stg_static: DataFrame, stg_items: DataFrame,
         F.col("unit_price"),
         F.col("total_spent").alias("subtotal"),
         to_ts("transaction_date").alias("created_at"),
+        *([copies] if copies else []),
     )
 
 

@@ -2,6 +2,7 @@ import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.plans import analytics as an
@@ -76,3 +77,29 @@ def test_static_items_with_tiny_task_budget_matches(spark):
     b = dim_transaction_items(ti, st_, items)
     assert a.count() == 2 * 5 + 2 + 1
     assert sorted(a.collect(), key=repr) == sorted(b.collect(), key=repr)
+
+
+def test_counted_fanout_join_folds_equal_copies(spark):
+    """The sums of the fan-out, from one row for each sale and item id, however many versions the id has."""
+    from ledgerline.operators.joins import fanout_left_join, fanout_left_join_counted
+    left = spark.createDataFrame([(i, k, i + 1) for i, k in enumerate([*"aaaabbcx", None])], "lid int, k string, q long")
+    rows = [(j % 2, "a", j) for j in range(7)] + [(10, "b", 0), (10, "b", 0), (None, "c", 1), (None, "c", 2), (12, None, 3)]
+    right = spark.createDataFrame(rows, "rid int, rk string, version int")
+    for rows_per_task in (1, 2, 3, 100):
+        plain = fanout_left_join(left, right, "k", "rk", rows_per_task).groupBy("lid", "rid") \
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("q").alias("q"))
+        got = fanout_left_join_counted(left, right, "k", "rk", ["rk", "rid"], "n", rows_per_task)
+        assert sorted(got.select("lid", "rid", "n", (F.col("q") * F.col("n")).alias("q")).collect(), key=repr) \
+            == sorted(plain.collect(), key=repr)
+
+
+def test_static_items_with_copies_has_a_row_per_sale_and_item(spark):
+    from ledgerline.plans.marts import static_items
+    items = spark.createDataFrame([(7, n, str(i), 1.0, TS, TS) for n in ("Mocha", "Chai") for i in range(40)], S.ITEMS)
+    sales = spark.createDataFrame(
+        [(f"s{i}", n, 2, 1.0, 1.0, "In-store", "Cash", dt.date(2024, 1, 1))
+         for i, n in enumerate(["Mocha", "Mocha", "Chai", "Nope"])], S.STG_TRANSACTIONS_STATIC)
+    got = static_items(sales, items, rows_per_task=10, copies="copies").collect()
+    assert sorted((r.transaction_id, r.item_id, r.copies) for r in got if r.item_id) \
+        == [("s0", 7, 40), ("s1", 7, 40), ("s2", 7, 40)]
+    assert [(r.transaction_id, r.copies) for r in got if not r.item_id] == [("s3", 1)]
