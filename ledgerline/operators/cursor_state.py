@@ -47,11 +47,11 @@ def new_by_state(table: VersionedTable, source: DataFrame, cursor: str, keys: Se
     state = read_state(table)
     if state is None or state["mark"] is None:
         return rows
-    rows = rows.where(F.col(CURSOR) >= _mark(state))
+    there = rows.where(F.col(CURSOR) == _mark(state))  # only these are joined; the rows past the mark need no shuffle
     on_mark = table.spark.read.schema(rows.select(*keys).schema).parquet(*[f"{table.path}/{b}" for b in state["boundary"]])
     on_mark = on_mark.select(*[F.col(k).alias(f"__b{i}") for i, k in enumerate(keys)])
-    same = all_of(rows[k].eqNullSafe(on_mark[f"__b{i}"]) for i, k in enumerate(keys))
-    return rows.join(on_mark, (rows[CURSOR] == _mark(state)) & same, "left_anti")
+    same = all_of(there[k].eqNullSafe(on_mark[f"__b{i}"]) for i, k in enumerate(keys))
+    return rows.where(F.col(CURSOR) > _mark(state)).unionByName(there.join(on_mark, same, "left_anti"))
 
 
 def known_by_state(table: VersionedTable, source: DataFrame, cursor: str, keys: Sequence[str],

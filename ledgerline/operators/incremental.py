@@ -66,11 +66,11 @@ def incremental_load(source: DataFrame, target: DataFrame, cursor: str,
     if mark is None:  # empty target: everything is new
         return cand
     m = mark if isinstance(mark, Column) else F.lit(mark)
-    cand = cand.where(F.col(cursor) >= m)
+    on_mark = cand.where(F.col(cursor) == m)  # only these are joined; the rows past the mark need no shuffle
     at_mark = target.where(F.col(cursor) == m).select(
         *[F.col(k).alias(f"__b{i}") for i, k in enumerate(keys)]).distinct()
-    cond = all_of(cand[k].eqNullSafe(at_mark[f"__b{i}"]) for i, k in enumerate(keys))
-    return cand.join(at_mark, cond, "left_anti")
+    cond = all_of(on_mark[k].eqNullSafe(at_mark[f"__b{i}"]) for i, k in enumerate(keys))
+    return cand.where(F.col(cursor) > m).unionByName(on_mark.join(at_mark, cond, "left_anti"))
 
 
 def null_cursor_rows(source: DataFrame, cursor: str, keys: Sequence[str], table: str,

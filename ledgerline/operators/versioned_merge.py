@@ -44,6 +44,10 @@ def merge_versioned(table: VersionedTable, source: DataFrame, key: str, *, on_du
     if base is not None:
         assert_same_schema(source, base.schema)
         source = source.select(*base.schema.fieldNames())
+    if base is None and on_duplicate == "latest":  # one pass over the source, nothing to fix it for
+        done = table.replace(source, state=state, before_commit=before_commit)
+        values = _distinct_values(table.read(version=done.version), col)
+        return VersionedMergeResult(done.version, sorted(values, key=lambda v: (v is None, v)))
     with staged_rows(spark, source, "merge-src") as staged:
         if on_duplicate == "raise":
             _raise_on_duplicates(staged, key)

@@ -27,7 +27,7 @@ from ledgerline.operators.incremental import (high_water_value, incremental_load
 from ledgerline.operators.merge import merge_upsert, replace_table
 from ledgerline.plans import marts, staging
 from ledgerline.plans.imports import error_rows
-from ledgerline.sinks.files import path_exists
+from ledgerline.sinks.files import path_exists, staged_rows
 from ledgerline.sinks.load import snapshot
 
 # fixed values: cursor column and primary key of each raw table (load hints of the source)
@@ -151,15 +151,18 @@ def transform(spark: SparkSession, wh: Warehouse, seed: DataFrame,
         return run
 
     def static_model():
-        error_rows(staging.rejected_static(seed)).write.mode("overwrite") \
-            .parquet(wh.quarantine("static"))
-        if full_refresh:
-            replace_table(spark, static_path, parted(staging.stg_transactions_static(seed)),
-                          "transaction_id", part)
-            return
-        mark = high_water_value(spark.read.parquet(static_path), "transaction_date") \
-            if path_exists(spark, static_path) else None
-        merge(static_path, staging.stg_transactions_static(seed, mark), on_duplicate="raise")
+        # The seed is read and typed once; what is good and what is rejected is then told from the staged rows.
+        complete = staging.with_fates(seed, "rejected").where("fate != 'incomplete'")
+        with staged_rows(spark, complete, "seed-fates") as rows:
+            error_rows(staging.rejected_of(rows, "rejected")).write.mode("overwrite") \
+                .parquet(wh.quarantine("static"))
+            good = rows.where("fate = 'good'").select(*staging.STATIC_COLUMNS)
+            if full_refresh:
+                replace_table(spark, static_path, parted(good.distinct()), "transaction_id", part)
+                return
+            mark = high_water_value(spark.read.parquet(static_path), "transaction_date") \
+                if path_exists(spark, static_path) else None
+            merge(static_path, newer_than(good, "transaction_date", mark).distinct(), on_duplicate="raise")
 
     def static_table() -> DataFrame:
         return spark.read.parquet(static_path).select(*staging.STATIC_COLUMNS)

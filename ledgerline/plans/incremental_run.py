@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.scalar import all_of, to_date_safe, to_ts
+from ledgerline.functions.scalar import to_date_safe
 from ledgerline.operators.cursor_state import known_by_state, load_by_state
 from ledgerline.operators.incremental import null_cursor_rows, quarantine_new
 from ledgerline.operators.merge import _distinct_values
@@ -162,16 +162,16 @@ def stage_delta(store: Store, name: str) -> DataFrame | None:
     """The rows of raw that staging lacks, or None if staging must be built anew.
 
     Equal rows have equal cursors, so a new row can repeat only rows of its own month: of staging, the months that the new
-    rows fall in are read and no others.
+    rows fall in are read and no others.  New rows and old ones are grouped together, in one shuffle.
     """
     raw, stg = store.raw(name), store.staging(name)
     new = _gained(raw, stg.state().get("raw"))
     if new is None:
         return None
-    rows = staging.stage(new, name).withColumn(SLICE, _slice(name))
-    months = _distinct_values(rows, SLICE)
-    old = stg.read(months).select(*[F.col(c).alias(f"__o_{c}") for c in rows.columns])
-    return rows.join(old, all_of(rows[c].eqNullSafe(old[f"__o_{c}"]) for c in rows.columns), "left_anti")
+    rows = new.select(*staging.STAGING_COLUMNS[name]).withColumn(SLICE, _slice(name))
+    both = rows.withColumn("__old", F.lit(False)).unionByName(
+        stg.read(_distinct_values(rows, SLICE)).select(*rows.columns).withColumn("__old", F.lit(True)))
+    return both.groupBy(*rows.columns).agg(F.max("__old").alias("__old")).where("not __old").drop("__old")
 
 
 def stage(store: Store, name: str) -> Counts:
@@ -225,20 +225,22 @@ def static_mark(static: VersionedTable):
 FATES = ("incomplete", "rejected", "late", "known", "new")
 
 
-def seed_fates(store: Store, seed: DataFrame) -> DataFrame:
+def seed_fates(store: Store, seed: DataFrame, rejected: str | None = None) -> DataFrame:
     """The seed's rows typed, with what the next run does with each as ``fate``; together they are the seed.
 
     A good row is ``new`` past the mark, ``known`` where the static model has its key, and ``late`` otherwise: the mark
-    would keep it out of every later run.  Of the static model the key column is read.
+    would keep it out of every later run.  Of the static model the key column is read.  ``rejected`` is as in
+    ``staging.with_fates``.
     """
     static = store.model("stg_transactions_static")
-    mark, rows = static_mark(static), staging.with_fates(seed)
+    mark, rows = static_mark(static), staging.with_fates(seed, rejected)
     good = F.lit("new")
     if mark is not None:
         have = static.read().select(F.col("transaction_id").alias("__id")).distinct()
         rows = rows.join(have, rows["transaction_id"] == have["__id"], "left")
         good = F.when(F.col("transaction_date") > F.lit(mark), "new").when(F.col("__id").isNotNull(), "known").otherwise("late")
-    return rows.select(*staging.STATIC_COLUMNS, F.when(F.col("fate") == "good", good).otherwise(F.col("fate")).alias("fate"))
+    fate = F.when(F.col("fate") == "good", good).otherwise(F.col("fate")).alias("fate")
+    return rows.select(*staging.STATIC_COLUMNS, fate, *([rejected] if rejected else []))
 
 
 def static_fates(store: Store, seed: DataFrame) -> DataFrame:
@@ -253,20 +255,17 @@ def _late_rows(rows: DataFrame) -> DataFrame:
 
 
 def static_model(store: Store, seed: DataFrame) -> Counts:
-    """M6 past its mark; late rows go to the quarantine, as do those that don't parse."""
-    error_rows(staging.rejected_static(seed)).write.mode("overwrite").parquet(store.quarantine("static"))
-    with staged_rows(store.spark, seed_fates(store, seed), "seed-fates") as rows:
+    """M6 past its mark; late rows go to the quarantine, as do those that don't parse.  The seed is read once."""
+    with staged_rows(store.spark, seed_fates(store, seed, "rejected"), "seed-fates") as rows:
+        error_rows(staging.rejected_of(rows, "rejected")).write.mode("overwrite").parquet(store.quarantine("static"))
+        rows = rows.drop("rejected")
         n = {r["fate"]: r["count"] for r in rows.groupBy("fate").count().collect()}  # five rows at most
         if n.get("late"):
             quarantine_new(store.spark, _late_rows(rows.where("fate = 'late'").drop("fate")), store.quarantine("late_static"))
         new = rows.where("fate = 'new'").drop("fate").distinct()
         if n.get("new") or not store.model("stg_transactions_static").exists():
             merge_versioned(store.model("stg_transactions_static"), store.parted(new), "transaction_id")
-    return Counts(seed.count(), n.get("new", 0), n.get("known", 0), sum(n.get(k, 0) for k in FATES[:3]))
-
-
-def _by_name(sales: DataFrame, names: DataFrame, how: str) -> DataFrame:
-    return sales.join(names.select(F.col("name").alias("__n")).distinct(), F.col("item_name") == F.col("__n"), how)
+    return Counts(sum(n.values()), n.get("new", 0), n.get("known", 0), sum(n.get(k, 0) for k in FATES[:3]))
 
 
 def transaction_items(store: Store) -> Counts:
@@ -284,19 +283,15 @@ def transaction_items(store: Store) -> Counts:
         return Counts(0, 0, 0, 0)
     gained = {k: _gained(t, then.get(k)) for k, t in sources.items()}
 
-    def rows(df: DataFrame, origin: str, name: Column | None = None) -> DataFrame:
-        return df.select(*marts.TI_COLUMNS, (F.lit(None) if name is None else name).cast("string").alias("unmatched_name"),
-                         F.lit(origin).alias(ORIGIN))
-
-    def found(sales: DataFrame, items: DataFrame) -> DataFrame:
-        return rows(marts.static_items(_by_name(sales, items, "left_semi"), items), STATIC)
+    def live(lines: DataFrame) -> DataFrame:
+        return lines.select(*marts.TI_COLUMNS, F.lit(None).cast("string").alias("unmatched_name"), F.lit(LIVE).alias(ORIGIN))
 
-    def missing(sales: DataFrame, items: DataFrame) -> DataFrame:
-        lost = _by_name(sales, items, "left_anti")
-        return rows(lost.select("transaction_id", F.lit(None).cast("bigint").alias("item_id"), "quantity", "unit_price",
-                                F.col("total_spent").alias("subtotal"),
-                                to_ts("transaction_date").alias("created_at"), "item_name"),
-                    UNMATCHED, F.col("item_name"))
+    def matched(sales: DataFrame, items: DataFrame) -> DataFrame:
+        """The sales with their items, and those whose name no item has, from one join."""
+        found = F.col("__found")
+        return marts.static_items(sales, items, found="__found").select(
+            *marts.TI_COLUMNS, F.when(~found, F.col("item_name")).alias("unmatched_name"),
+            F.when(found, STATIC).otherwise(UNMATCHED).alias(ORIGIN))
 
     items, written = sources["items"].read(), {}
 
@@ -304,20 +299,19 @@ def transaction_items(store: Store) -> Counts:
         written.update(observed)
         return now
 
-    options = {"observe": {"n": F.count(F.lit(1))}, "state": state}
+    # Three partitions, two of them large: what a task has goes to a file of its own.
+    options = {"observe": {"n": F.count(F.lit(1))}, "state": state, "rebalance": False}
     if any(d is None for d in gained.values()):
         sales = sources["sales"].read()
-        table.replace(rows(sources["lines"].read(), LIVE).unionByName(found(sales, items)).unionByName(missing(sales, items)),
-                      **options)
+        table.replace(live(sources["lines"].read()).unionByName(matched(sales, items)), **options)
     else:
         old_sales = sources["sales"].read(version=then["sales"])
         new_names = gained["items"].select(F.col("name").alias("__n")).distinct()
         waiting = table.read([UNMATCHED])
         waiting = waiting.join(new_names, waiting["unmatched_name"] == F.col("__n"), "left_anti")
-        table.replace_folders(rows(gained["lines"], LIVE)
-                              .unionByName(found(gained["sales"], items))
-                              .unionByName(found(old_sales, gained["items"]))
-                              .unionByName(waiting).unionByName(missing(gained["sales"], items)), [UNMATCHED], **options)
+        table.replace_folders(live(gained["lines"]).unionByName(matched(gained["sales"], items))
+                              .unionByName(matched(old_sales, gained["items"]).where(F.col(ORIGIN) == STATIC))
+                              .unionByName(waiting), [UNMATCHED], **options)
     return Counts(None, written["n"])
 
 

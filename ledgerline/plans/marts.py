@@ -30,7 +30,7 @@ def dim_payment_methods(stg_payment_methods: DataFrame) -> DataFrame:
 
 def static_items(stg_static: DataFrame, stg_items: DataFrame,
                  dedupe: str | None = None, rows_per_task: int | None = None,
-                 copies: str | None = None) -> DataFrame:
+                 copies: str | None = None, found: str | None = None) -> DataFrame:
     """Static sales as transaction items, item id looked up by NAME.
 
     Item names are not unique, so by default (as in the source model) a sale fans out
@@ -44,7 +44,8 @@ def static_items(stg_static: DataFrame, stg_items: DataFrame,
 
     Versions of one item id under one name give a sale equal rows.  With ``copies`` those are one
     row, and the column of that name says how many they are; so an aggregate over them needs no
-    more rows than there are sales and item ids of their names.
+    more rows than there are sales and item ids of their names.  ``found`` names a column that says
+    whether an item has the sale's name; it comes with that name, ``item_name``.
     """
     items = stg_items
     if dedupe == "latest":
@@ -66,6 +67,7 @@ def static_items(stg_static: DataFrame, stg_items: DataFrame,
         F.col("total_spent").alias("subtotal"),
         to_ts("transaction_date").alias("created_at"),
         *([copies] if copies else []),
+        *([F.col("__name").isNotNull().alias(found), "item_name"] if found else []),
     )
 
 

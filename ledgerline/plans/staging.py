@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
-from ledgerline.functions.scalar import any_of, to_date_safe, to_double, to_long
+from ledgerline.functions.scalar import any_of, messages, to_date_safe, to_double, to_long
 from ledgerline.operators.incremental import newer_than
 from ledgerline.operators.quality import complete_case, validate
 
@@ -122,12 +122,25 @@ def rejected_static(raw: DataFrame) -> DataFrame:
                            "error_message").select(*S.TRANSACTIONS_STATIC.fieldNames(), "error_message")
 
 
-def with_fates(raw: DataFrame) -> DataFrame:
-    """The seed's rows typed, each with its ``fate``: incomplete, rejected or good."""
+def with_fates(raw: DataFrame, rejected: str | None = None) -> DataFrame:
+    """The seed's rows typed, each with its ``fate``: incomplete, rejected or good.  ``rejected`` names a column that
+    keeps the raw text of the rejected rows (a struct, NULL for the others), from which ``rejected_of`` makes
+    ``rejected_static`` without reading the seed again."""
     both = raw.select("*", *_typed_columns(_P))
     bad = any_of(F.coalesce(cond, F.lit(False)) for cond, _ in parse_rules(_P))
     fate = F.when(~complete_case(S.SALES_CSV_COLUMNS), "incomplete").when(bad, "rejected").otherwise("good")
-    return both.select(*[F.col(_P + c).alias(c) for c in STATIC_COLUMNS], fate.alias("fate"))
+    kept = []
+    if rejected:
+        from ledgerline.plans.imports import CSV_TO_STATIC
+        text = F.struct(*[_q(src).alias(dst) for src, dst in CSV_TO_STATIC.items()])
+        kept = [F.when(fate == "rejected", text).alias(rejected)]
+    return both.select(*[F.col(_P + c).alias(c) for c in STATIC_COLUMNS], fate.alias("fate"), *kept)
+
+
+def rejected_of(fates: DataFrame, rejected: str) -> DataFrame:
+    """``rejected_static`` from the rows of ``with_fates``."""
+    return (fates.where("fate = 'rejected'").withColumn("error_message", messages(*parse_rules()))
+            .select(*[F.col(rejected)[c].alias(c) for c in S.TRANSACTIONS_STATIC.fieldNames()], "error_message"))
 
 
 def static_accounting(raw: DataFrame) -> DataFrame:

@@ -153,7 +153,8 @@ class VersionedTable:
     def append(self, df: DataFrame, **options) -> Manifest:
         """Add rows.  ``options``: ``observe`` (name -> aggregate, measured while writing), ``state`` (values to set in the
         table's state, or a function of what was observed and of the written rows that gives them, or None to give the
-        write up), ``drop`` (columns that are observed but not written), ``before_commit`` (called between write and commit)."""
+        write up), ``drop`` (columns that are observed but not written), ``before_commit`` (called between write and commit),
+        ``rebalance`` (False: rows are not dealt out by partition first, for a few partitions with many rows each)."""
         return self._write(df, lambda old, folders: old, **options)
 
     def replace(self, df: DataFrame, **options) -> Manifest:
@@ -216,7 +217,7 @@ class VersionedTable:
 
     def _write(self, df: DataFrame, left: Callable[[list[Slice], set[str]], list[Slice]], *, state=None,
                observe: Mapping | None = None, before_commit: Callable[[], None] | None = None,
-               drop: Iterable[str] = (), new_schema: bool = False, base: Manifest | None = None,
+               drop: Iterable[str] = (), new_schema: bool = False, base: Manifest | None = None, rebalance: bool = True,
                as_slice: Callable[[str, str], Slice] | None = None) -> Manifest:
         base = base or self.manifest()
         gen = f"g{uuid.uuid4().hex}"  # a letter first, so that no reader takes it for a number
@@ -228,7 +229,8 @@ class VersionedTable:
             out = out.select(*[F.col(f"`{n}`") for n in base.schema.fieldNames()])
         if self.partition_col:
             # About one file for a partition; a heavy one is split by AQE.
-            out.hint("rebalance", self.partition_col).write.partitionBy(self.partition_col).parquet(at)
+            dealt = out.hint("rebalance", self.partition_col) if rebalance else out
+            dealt.write.partitionBy(self.partition_col).parquet(at)
         else:
             out.write.parquet(at)
         fs, p = _fs(self.spark, at)

@@ -145,3 +145,49 @@ def test_late_rows_are_set_aside_once_and_rows_add_up(spark, tmp_root):
     assert sorted(r["row_key"] for r in late.collect()) == ["TXN_3", "TXN_4"]
     assert counts.read == 7 == counts.written + counts.known + counts.rejected
     assert sorted(r["transaction_id"] for r in store.model("stg_transactions_static").read().collect()) == ["TXN_1", "TXN_2", "TXN_5"]
+
+
+def test_the_seed_is_read_once(spark, tmp_root):
+    """The static step takes its fates, its rejected rows and its count from one pass over the seed."""
+    data = [sale(1, "Mocha", 5), sale(2, "ERROR", 8), (*sale(3, "Chai", 8)[:2], "x", *sale(3, "Chai", 8)[3:])]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    seed = spark.createDataFrame(data, S.SALES_CSV).coalesce(1)
+    counts = run.static_model(run.Store(spark, tmp_root), seed.mapInArrow(counted, seed.schema))
+    assert seen.value == len(data) == counts.read
+    assert rows(staging.rejected_of(staging.with_fates(seed, "bad"), "bad")) == rows(staging.rejected_static(seed))
+
+
+def test_second_staging_groups_new_and_old_rows_in_one_shuffle(spark, tmp_root):
+    store = run.Store(spark, tmp_root)
+    when = dt.datetime(2024, 1, 3)
+    for names in ("a", "ab"):
+        store.lake("transactions").replace(spark.createDataFrame(
+            [(n, 1, None, "In-store", 1.0, "completed", when, when) for n in names], S.TRANSACTIONS))
+        run.load(store, "transactions")
+        if names == "ab":
+            delta = run.stage_delta(store, "transactions")
+            assert delta._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+            assert [r["transaction_id"] for r in delta.collect()] == ["b"]
+        run.stage(store, "transactions")
+
+
+def test_rows_past_the_mark_are_not_joined(spark, tmp_root):
+    from ledgerline.operators.cursor_state import load_by_state, new_by_state
+    from ledgerline.operators.incremental import incremental_load
+    when = lambda d: dt.datetime(2024, 1, d)
+    tx = lambda n: spark.createDataFrame(
+        [(f"t{d}", 1, 1, "In-store", 1.0, "completed", when(d), when(d)) for d in range(1, n)] +
+        [("t0", 1, 1, "In-store", 1.0, "completed", when(n - 1), when(n - 1))] * (n - 3), S.TRANSACTIONS)
+    raw = run.Store(spark, tmp_root).raw("transactions")
+    load_by_state(raw, tx(3), "updated_at", ["transaction_id"])
+    for new in (new_by_state(raw, tx(5), "updated_at", ["transaction_id"]),
+                incremental_load(tx(5), raw.read(), "updated_at", ["transaction_id"])):
+        assert sorted(r["transaction_id"] for r in new.collect()) == ["t0", "t0", "t3", "t4"]
+        plan = new._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.lstrip().startswith("Union")
