@@ -30,10 +30,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyspark.sql.functions as F
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from ledgerline.llm.components import components
-from ledgerline.llm.shared import Scratch, partitions
+from ledgerline.llm.shared import Scratch, bucket_names
 from ledgerline.llm.textbytes import flat, hashes, mix, words
 from ledgerline.llm.tokens import by_bytes
 
@@ -79,15 +79,6 @@ def shingle_sets(texts: pa.Array, width: int = 5) -> list[np.ndarray]:
     return out
 
 
-def bucket_names(spark: SparkSession) -> np.ndarray:
-    """Numbers of buckets, as many as there are partitions, that ``repartition`` deals to one partition each."""
-    n = partitions(spark)
-    number = F.col("id").cast("int")
-    named = spark.range(64 + 24 * n).groupBy(F.pmod(F.hash(number), F.lit(n)).alias("part")).agg(F.min(number).alias("name"))
-    found = {r["part"]: r["name"] for r in named.collect()}
-    return np.array([found.get(p, -1 - p) for p in range(n)], np.int32)
-
-
 def _share(size: np.ndarray | float) -> np.ndarray | float:
     """The part of the hash space in which a set of this size is judged."""
     return np.minimum(1.0, 0.25 + 1 / np.sqrt(np.maximum(size, 1)))

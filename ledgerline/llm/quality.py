@@ -12,10 +12,21 @@ pass the base rules.  Below lies text that repeats itself, above text that is no
 the median than ``FAR`` times the median distance lies in junk, and is moved there; so junk of nearly half of a
 language's texts does not widen its band.  ``BAND`` is the least half at which no more than one in a thousand of the
 labelled, not held-out documents of quality 1 that pass the base rules goes (sf0.1: 2 of 2,144).
+
+A second model counts all pairs of neighbouring words, for each language apart, so it grows with the corpus.  Copies of
+a text count once.  A pair has the probability 1/2 c / T + 1/2 2^-x, with c of the T pairs in the language's other
+texts, the text's own left out, and x the bits in which the byte model spells both words where the text first has them.  A text's ``word_gain`` is
+the mean over its pairs of x + log2 of this: how many bits the language's pairs save against spelling, -1 where none is
+known.  Pairs are dealt by hash into buckets, sorted and counted there, and only sums by text come back; nothing of
+this model is broadcast.  It is done in ``ROUNDS`` parts of the hash space, one after the other, since the dealt pairs
+of all texts are larger than the texts.  A text's gain has a lower bound alone (near copies know each other's pairs):
+``GAIN_BAND`` median distances below the median of its language's distinct texts that pass the base rules, where there
+are ``LEAST_TEXTS`` of them.
 """
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,13 +35,17 @@ import pyarrow.compute as pc
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from ledgerline.llm.shared import Scratch
+from ledgerline.llm.shared import Scratch, bucket_names
 from ledgerline.llm.textbytes import BLANKS, flat, hashes, mix, runs, table, words
 from ledgerline.llm.tokens import by_bytes
 
 KINDS, ORDER = 40, 4
 MIN_WORDS, MAX_REPEAT_PERCENT, BAND = 50, 50, 3.5
 FAR, LEAST_TEXTS = 1.5, 50
+GAIN_BAND, ROUNDS = 3.5, 4
+#: Steps of a bit in which gains are summed, as whole numbers, so that sums don't hang on the order of rows; and steps
+#: in which a pair's bits of spelling less log2 T are dealt, from LEAST_RATIO up.
+GAIN_STEPS, RATIO_STEPS, LEAST_RATIO = 1024, 2, -32
 SYMBOLS = b"#*$%&|<>"
 #: 0 blanks, 1-26 letters, 27-29 capitals, 30 digits, 31 signs of sentences, 32 others, 33 symbols, 34 first bytes
 #: of longer characters, 35-39 their other bytes.
@@ -150,6 +165,13 @@ def kneser_ney(counts: np.ndarray) -> KneserNey:
     return KneserNey(keys, logs, contexts, weights, float(np.log2(1 / KINDS)))
 
 
+def meet(known: np.ndarray, model: KneserNey, codes: np.ndarray) -> None:
+    """Puts the model's answers for n-grams that were not met before into ``known``."""
+    met = np.bincount(codes, minlength=len(known)) > 0
+    new = np.flatnonzero(met & np.isnan(known))
+    known[new] = model.log2(new)
+
+
 def measures(data: np.ndarray, ends: np.ndarray, log2: np.ndarray) -> dict[str, np.ndarray]:
     """Per text: the base numbers and bits, the mean bits per byte (0 for an empty text).
 
@@ -198,7 +220,7 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def measured(docs: DataFrame, model: KneserNey, id_col: str, text_col: str, lang_col: str, group_bytes: int = 2 << 20) -> DataFrame:
-    """doc_id, lang, text_key (a hash), the base numbers, bits, base_failed."""
+    """doc_id, lang, text_key (a hash of lang and text), the base numbers, bits, base_failed."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 12 bytes for each of the n-grams of all orders
 
     def run(batches):
@@ -207,9 +229,7 @@ def measured(docs: DataFrame, model: KneserNey, id_col: str, text_col: str, lang
             texts = batch.column(2)
             for a, b in by_bytes(pc.binary_length(texts).to_pylist(), group_bytes):
                 data, ends = flat(texts.slice(a, b - a))
-                met = np.bincount(gram_codes(data, ends), minlength=len(known)) > 0
-                new = np.flatnonzero(met & np.isnan(known))
-                known[new] = shared.value.log2(new)
+                meet(known, shared.value, gram_codes(data, ends))
                 found = measures(data, ends, known)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(a, b - a) for c in (0, 1, 3)), *(pa.array(found[c].astype(np.int64)) for c in BASE), pa.array(found["bits"])],
@@ -218,7 +238,7 @@ def measured(docs: DataFrame, model: KneserNey, id_col: str, text_col: str, lang
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    rows = rows.withColumn("text_key", F.xxhash64("lang", "text"))
     out = rows.mapInArrow(run, f"doc_id {kind}, lang string, text_key bigint, {', '.join(f'{c} bigint' for c in BASE)}, bits double")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return out.withColumn("base_failed", failed)
@@ -242,15 +262,149 @@ def bands(scores: DataFrame, width: float = BAND) -> DataFrame:
     return found.select("band_lang", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
 
 
+_DEALT = ["bucket", "pairs", "ratios", "counts", "owners", "runs"]
+
+
+def deal_pairs(data, ends, log2, owners, salts, totals, buckets, part: int, rounds: int) -> pa.RecordBatch | None:
+    """The word pairs of texts in one part of the hash space, one row per bucket: 40 bits of each distinct pair of a text,
+    bits of spelling less log2 of the language's other pairs, how often the text has it; texts and how many pairs follow.
+
+    Texts with fewer than MIN_WORDS words and all but the first copy of a text are passed over.
+    """
+    start, stop, doc = words(data, ends)
+    n_words = np.bincount(doc, minlength=len(owners))
+    used = np.zeros(len(owners), bool)
+    used[np.unique(owners, return_index=True)[1]] = True
+    at = np.flatnonzero((doc[1:] == doc[:-1]) & (used & (n_words >= MIN_WORDS))[doc[1:]])
+    word = hashes(data, start, stop)
+    key = mix(mix(word[at] ^ salts[doc[at]]) * np.uint64(0x9E3779B97F4A7C15) + word[at + 1])
+    mine = (key >> np.uint64(56)) % np.uint64(rounds) == part
+    key, at = key[mine], at[mine]
+    if not len(at):
+        return None
+    spelt = np.append(0, np.cumsum(log2))
+    spelt = (spelt[start] - spelt[stop])[at] + (spelt[start] - spelt[stop])[at + 1]
+    ratio = spelt - np.log2(np.maximum(totals - (n_words - 1), 1))[doc[at]]
+    ratio = np.clip(np.rint((ratio - LEAST_RATIO) * RATIO_STEPS), 0, 255).astype(np.uint8)
+    run = ((key >> np.uint64(40)) & np.uint64(0xFFFF)).astype(np.int64) % len(buckets) * len(owners) + doc[at]
+    order = np.lexsort((key, run))
+    key, run, ratio = key[order], run[order], ratio[order]
+    first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (run[1:] != run[:-1])])
+    count = np.diff(np.append(first, len(key))).astype("<u4")
+    low, run, ratio = key[first].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5], run[first], ratio[first]
+    bucket = run // len(owners)
+    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+    rows = []
+    for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+        new = np.flatnonzero(np.r_[True, run[x + 1 : y] != run[x : y - 1], True])
+        parts = (low[x:y], ratio[x:y], count[x:y], owners[run[x:y][new[:-1]] % len(owners)].astype("<i8"), np.diff(new).astype("<u4"))
+        rows.append((int(buckets[bucket[x]]), *(p.tobytes() for p in parts)))
+    kinds = (pa.int32(), *[pa.binary()] * 5)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=_DEALT)
+
+
+def pair_gains(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Of the rows of one bucket, without its number: texts, and the sums of their pairs' gains in steps."""
+    low, ratio, count, owner, run = (np.frombuffer(b"".join(p[k] for p in parts), t) for k, t in enumerate((np.uint8, np.uint8, "<u4", "<i8", "<u4")))
+    key = np.zeros((len(low) // 5, 8), np.uint8)
+    key[:, :5] = low.reshape(-1, 5)
+    texts, owner = np.unique(owner, return_inverse=True)
+    key, owner = key.view("<u8")[:, 0], np.repeat(owner, run)
+    order = np.lexsort((owner, key))
+    key, owner = key[order], owner[order]
+    first = np.r_[True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])]  # copies of a text count once
+    key, owner, order = key[first], owner[first], order[first]
+    count = count[order].astype(np.int64)
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    others = np.repeat(np.add.reduceat(count, starts), np.diff(np.append(starts, len(key)))) - count
+    gain = np.full(len(key), -GAIN_STEPS, np.int64)
+    seen = np.flatnonzero(others)
+    bits = np.log2(others[seen] * np.exp2(ratio[order[seen]] / RATIO_STEPS + LEAST_RATIO) + 1) - 1
+    gain[seen] = np.rint(bits * GAIN_STEPS)
+    return texts, np.bincount(owner, gain * count, len(texts)).astype(np.int64)  # exact below 2^53
+
+
+def word_gains(docs: DataFrame, scores: DataFrame, model: KneserNey, scratch: Scratch, text_col: str, lang_col: str, rounds: int = ROUNDS, group_bytes: int = 4 << 20) -> DataFrame:
+    """text_key and word_gain of all texts of at least MIN_WORDS words."""
+    once = scores.where(F.col("n_words") >= MIN_WORDS).groupBy("lang", "text_key").agg((F.min("n_words") - 1).alias("pairs"))
+    totals = scratch.write(once.groupBy(F.col("lang").alias("total_lang")).agg(F.sum("pairs").alias("total")), "totals")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    buckets = bucket_names(docs.sparkSession)
+    texts = docs.select(F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = texts.join(totals, F.col("lang").eqNullSafe(F.col("total_lang")))
+    texts = texts.select("text", F.xxhash64("lang", "text").alias("owner"), F.xxhash64("lang").alias("salt"), "total")
+
+    def deal(part):
+        def run(batches):
+            known = np.full(KINDS**ORDER, np.nan)
+            for batch in batches:
+                for a, b in by_bytes(pc.binary_length(batch.column(0)).to_pylist(), group_bytes):
+                    data, ends = flat(batch.column(0).slice(a, b - a))
+                    codes = gram_codes(data, ends)
+                    meet(known, shared.value, codes)
+                    owners, salts, totals_ = (batch.column(c).slice(a, b - a).to_numpy() for c in (1, 2, 3))
+                    if (out := deal_pairs(data, ends, known[codes], owners, salts.view(np.uint64), totals_, buckets, part, rounds)) is not None:
+                        yield out
+
+        return run
+
+    def count(batches):
+        by_bucket: dict[int, list] = {}
+        for batch in batches:
+            for bucket, *parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                by_bucket.setdefault(bucket, []).append(parts)
+        while by_bucket:
+            owner, total = pair_gains(by_bucket.popitem()[1])
+            home = (mix(owner.view(np.uint64)) % np.uint64(len(buckets))).astype(np.int64)
+            order = np.argsort(home, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, np.diff(home[order]) > 0, True])
+            rows = [(int(buckets[home[order[x]]]), owner[order[x:y]].tobytes(), total[order[x:y]].tobytes()) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+            kinds = (pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["home", "owners", "sums"])
+
+    def gather(batches):
+        found = [(o, t) for batch in batches for o, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+        owner, total = (np.frombuffer(b"".join(f[k] for f in found), np.int64) for k in (0, 1))
+        texts_, at = np.unique(owner, return_inverse=True)
+        sums = np.bincount(at, total, len(texts_)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(texts_), pa.array(sums)], names=["text_key", "steps"])
+
+    def sums(part):
+        dealt = texts.mapInArrow(deal(part), "bucket int, pairs binary, ratios binary, counts binary, owners binary, runs binary").repartition("bucket")
+        return dealt.mapInArrow(count, "home int, owners binary, sums binary").repartition("home").mapInArrow(gather, "text_key bigint, steps bigint")
+
+    done = []
+    for part in range(rounds):
+        done.append(scratch.write(sums(part), f"gains-{part}"))
+        scratch.release()  # the part's frames are gone now, so the next one finds its disk free
+    steps = functools.reduce(DataFrame.unionByName, done).groupBy("text_key").agg(F.sum("steps").alias("steps"))
+    return once.join(steps, "text_key").select("text_key", (F.col("steps") / F.col("pairs") / GAIN_STEPS).alias("word_gain"))
+
+
+def gain_bands(scores: DataFrame, width: float = GAIN_BAND) -> DataFrame:
+    """By language (null is one of its own) the least word_gain of documents that stay; copies of a text count once."""
+    middle = lambda x: F.percentile_approx(x, 0.5, 10_000)
+    once = scores.where("not base_failed").groupBy("lang", "text_key").agg(F.min("word_gain").alias("gain"))
+    found = once.groupBy(F.col("lang").alias("gain_lang")).agg(F.count("*").alias("n_texts"), middle("gain").alias("mid"))
+    apart = once.join(found.where(F.col("n_texts") >= LEAST_TEXTS), F.col("lang").eqNullSafe(F.col("gain_lang")))
+    spread = F.greatest(middle(F.abs(F.col("gain") - F.col("mid"))), F.lit(0.02)) * width
+    return apart.groupBy("gain_lang").agg((F.first("mid") - spread).alias("least_gain"))
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: float = BAND) -> DataFrame:
-    """Per row: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, bits.
+    """Per row: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, bits, word_gain.
 
     A null text has no words and fails the base rules.  Rows without a language share a band.  Null ids stay,
     equal rows give equal rows, other columns aren't read, and an empty table gives an empty result.  A language
     none of whose documents passes the base rules has no band, and none of its documents is kept.
     """
     model = kneser_ney(gram_counts(docs, text_col))
-    scores = Scratch(docs.sparkSession, "quality").write(measured(docs, model, id_col, text_col, lang_col), "scores")
+    scratch = Scratch(docs.sparkSession, "quality")
+    scores = scratch.write(measured(docs, model, id_col, text_col, lang_col), "scores")
+    gains = word_gains(docs, scores, model, scratch, text_col, lang_col)
+    scores = scratch.write(scores.join(gains, "text_key", "left"), "gained")
     joined = scores.join(bands(scores, width), F.col("lang").eqNullSafe(F.col("band_lang")), "left")
+    joined = joined.join(gain_bands(scores), F.col("lang").eqNullSafe(F.col("gain_lang")), "left")
     inside = F.coalesce(F.col("bits").between(F.col("low"), F.col("high")), F.lit(False))
-    return joined.select(F.col("doc_id").alias(id_col), *BASE, "base_failed", (~F.col("base_failed") & inside).alias("kept"), "bits")
+    known = F.coalesce(F.col("word_gain") >= F.col("least_gain"), F.lit(True))
+    return joined.select(F.col("doc_id").alias(id_col), *BASE, "base_failed", (~F.col("base_failed") & inside & known).alias("kept"), "bits", "word_gain")
