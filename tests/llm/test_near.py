@@ -263,3 +263,48 @@ def test_sets_of_one_digest_are_counted_apart(spark):
     dealt = jaccard._deal_shingles(sets, np.array([7, 7]), np.array([1, 2]), np.array([0], np.int32))
     df = spark.createDataFrame(dealt.to_pandas(), jaccard._DEALT_KIND)
     assert sorted(map(tuple, jaccard._count_lonely(df).collect())) == [(7, 1, 3), (7, 2, 3)]
+
+
+def _by_partitions(spark, n, make):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        return make()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_sets_meet_once_whatever_the_buckets(spark):
+    """Two near copies share dozens of keys: one meeting, whether those lie in three buckets or in forty."""
+    rng = np.random.default_rng(11)
+    a = np.unique(rng.integers(0, 1 << 63, 400).astype(np.uint64))
+    far = np.unique(rng.integers(0, 1 << 63, 400).astype(np.uint64))
+    rows = [(i, s.astype("<u8").tobytes(), i, len(s), jaccard.parity_sketch(s).tobytes()) for i, s in ((1, a), (2, a[8:]), (3, far))]
+    sets = spark.createDataFrame(rows, "id bigint, shingles binary, root bigint, n bigint, sketch binary")
+    for n in (3, 40):
+        met, pairs = _by_partitions(spark, n, lambda: (jaccard.meetings(sets, frozenset()).collect(), jaccard.cross_pairs(sets, frozenset()).collect()))
+        assert sorted(r["id"] for r in met) == [1, 2] and len({r["mark"] for r in met}) == 1
+        assert [tuple(r) for r in pairs] == [(1, 2)]
+
+
+def test_lonely_counts_by_chunks_and_buckets(spark):
+    """Sets dealt in several chunks, copies among them, against dictionaries; sets that share nothing get no answer."""
+    rng = np.random.default_rng(12)
+    sets = [np.unique(rng.integers(0, 1 << 63, k).astype(np.uint64)) for k in (3, 40, 300, 2000, 9000)]
+    sets += [np.unique(np.r_[s[::2], rng.integers(0, 1 << 63, 5).astype(np.uint64)]) for s in sets] + sets[1:3]
+    groups = [0, 1, 2, 3, 4, 5, 1, 7, 8, 9, 1, 2]
+    owners = [*range(10), 1, 2]
+    part = lambda s, n: s[(s >> np.uint64(11)).astype(float) / 2.0**53 < jaccard._share(n)].tolist()
+    holders = defaultdict(set)
+    for s, g in zip(sets, groups, strict=True):
+        for x in part(s, 0.75 * len(s)):  # what a partner of three quarters of its size is judged by
+            holders[x].add(g)
+    want = {(o, g): sum(len(holders[x]) == 1 for x in part(s, len(s))) for s, o, g in zip(sets, owners, groups, strict=True)}
+    for size in (1, 5):
+        buckets = np.arange(size, dtype=np.int32)
+        dealt = [jaccard._deal_shingles(sets[a:b], np.array(owners[a:b]), np.array(groups[a:b]), buckets, a) for a, b in ((0, 4), (4, 11), (11, 12))]
+        assert max(len(x) for x in dealt) <= size + 1
+        df = spark.createDataFrame(pa.Table.from_batches(dealt).to_pandas(), jaccard._DEALT_KIND)
+        assert {(r[0], r[1]): r[2] for r in jaccard._count_lonely(df).collect()} == {k: v for k, v in want.items() if v}
+    alone = jaccard._deal_shingles(sets[:2], np.array([1, 2]), np.array([1, 2]), np.array([0], np.int32)).to_pylist()
+    assert jaccard._shared([[alone[0][c] for c in ("low", "at", "groups", "runs")]]) == [(b"", b"")]
