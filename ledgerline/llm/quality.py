@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyspark.sql.functions as F
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from ledgerline.llm.shared import Scratch, bucket_names
@@ -42,7 +43,9 @@ from ledgerline.llm.tokens import by_bytes
 KINDS, ORDER = 40, 4
 MIN_WORDS, MAX_REPEAT_PERCENT, BAND = 50, 50, 3.5
 FAR, LEAST_TEXTS = 1.5, 50
-GAIN_BAND, ROUNDS = 3.5, 4
+GAIN_BAND, ROUNDS = 3.5, 3
+#: Texts of a group at most, whose numbers fit into 16 bits, and pairs of a run at most.
+MOST_TEXTS, LONGEST = 1 << 16, 255
 #: Steps of a bit in which gains are summed, as whole numbers, so that sums don't hang on the order of rows; and steps
 #: in which a pair's bits of spelling less log2 T are dealt, from LEAST_RATIO up.
 GAIN_STEPS, RATIO_STEPS, LEAST_RATIO = 1024, 2, -32
@@ -262,14 +265,17 @@ def bands(scores: DataFrame, width: float = BAND) -> DataFrame:
     return found.select("band_lang", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
 
 
-_DEALT = ["bucket", "pairs", "ratios", "counts", "owners", "runs"]
+_DEALT = ["bucket", "chunk", "rows", "pairs", "ratios", "counts", "owners", "at", "runs"]
+_DEALT_KIND = "bucket int, chunk bigint, rows int, pairs binary, ratios binary, counts binary, owners binary, at binary, runs binary"
 
 
-def deal_pairs(data, ends, log2, owners, salts, totals, buckets, part: int, rounds: int) -> pa.RecordBatch | None:
+def deal_pairs(data, ends, log2, owners, salts, totals, buckets, part: int, rounds: int, salt: int = 0) -> pa.RecordBatch | None:
     """The word pairs of texts in one part of the hash space, one row per bucket: 40 bits of each distinct pair of a text,
-    bits of spelling less log2 of the language's other pairs, how often the text has it; texts and how many pairs follow.
+    bits of spelling less log2 of the language's other pairs, how often the text has it; 40 bits of the texts, which tell
+    copies, their numbers in the chunk that the given texts are, and how many pairs follow.
 
-    Texts with fewer than MIN_WORDS words and all but the first copy of a text are passed over.
+    The last row is the chunk's table: how many rows it dealt, and its texts.  Texts with fewer than MIN_WORDS words and
+    all but the first copy of a text are passed over.
     """
     start, stop, doc = words(data, ends)
     n_words = np.bincount(doc, minlength=len(owners))
@@ -294,26 +300,37 @@ def deal_pairs(data, ends, log2, owners, salts, totals, buckets, part: int, roun
     low, run, ratio = key[first].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5], run[first], ratio[first]
     bucket = run // len(owners)
     cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+    texts, number = np.unique(run % len(owners), return_inverse=True)
+    digest = mix(owners.view(np.uint64))
+    with np.errstate(over="ignore"):
+        place = np.arange(1, 2 * len(owners), 2, np.uint64)
+        chunk = int(((digest * place).sum(dtype=np.uint64) + np.uint64(salt) * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64))
+    brief = digest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
     rows = []
     for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-        new = np.flatnonzero(np.r_[True, run[x + 1 : y] != run[x : y - 1], True])
-        parts = (low[x:y], ratio[x:y], count[x:y], owners[run[x:y][new[:-1]] % len(owners)].astype("<i8"), np.diff(new).astype("<u4"))
-        rows.append((int(buckets[bucket[x]]), *(p.tobytes() for p in parts)))
-    kinds = (pa.int32(), *[pa.binary()] * 5)
+        change = np.r_[True, run[x + 1 : y] != run[x : y - 1], True]
+        change[::LONGEST] = True
+        new = np.flatnonzero(change)
+        at = number[x:y][new[:-1]]
+        parts = (low[x:y], ratio[x:y], count[x:y], brief[texts[at]], at.astype("<u2"), np.diff(new).astype(np.uint8))
+        rows.append((int(buckets[bucket[x]]), chunk, 0, *(p.tobytes() for p in parts)))
+    rows.append((int(buckets[chunk % len(buckets)]), chunk, len(rows), b"", b"", b"", owners[texts].astype("<i8").tobytes(), b"", b""))
+    kinds = (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 6)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=_DEALT)
 
 
-def pair_gains(parts: list) -> tuple[np.ndarray, np.ndarray]:
-    """Of the rows of one bucket, without its number: texts, and the sums of their pairs' gains in steps."""
-    low, ratio, count, owner, run = (np.frombuffer(b"".join(p[k] for p in parts), t) for k, t in enumerate((np.uint8, np.uint8, "<u4", "<i8", "<u4")))
-    key = np.zeros((len(low) // 5, 8), np.uint8)
-    key[:, :5] = low.reshape(-1, 5)
-    texts, owner = np.unique(owner, return_inverse=True)
-    key, owner = key.view("<u8")[:, 0], np.repeat(owner, run)
+def pair_gains(parts: list) -> list[tuple[bytes, bytes]]:
+    """Of the rows of one bucket, from pairs on: for each row its texts' numbers and the sums of their pairs' gains in steps."""
+    kinds = (np.uint8, np.uint8, "<u4", np.uint8, "<u2", np.uint8)
+    low, ratio, count, owner, at, runs_ = (np.frombuffer(b"".join(p[k] for p in parts), t) for k, t in enumerate(kinds))
+    wide = np.zeros((2, max(len(low), len(owner)) // 5, 8), np.uint8)
+    wide[0, : len(low) // 5, :5], wide[1, : len(owner) // 5, :5] = low.reshape(-1, 5), owner.reshape(-1, 5)
+    key, run = wide[0].view("<u8")[: len(low) // 5, 0], np.repeat(np.arange(len(runs_)), runs_)
+    owner = wide[1].view("<u8")[run, 0]
     order = np.lexsort((owner, key))
     key, owner = key[order], owner[order]
     first = np.r_[True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])]  # copies of a text count once
-    key, owner, order = key[first], owner[first], order[first]
+    key, order = key[first], order[first]
     count = count[order].astype(np.int64)
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     others = np.repeat(np.add.reduceat(count, starts), np.diff(np.append(starts, len(key)))) - count
@@ -321,7 +338,15 @@ def pair_gains(parts: list) -> tuple[np.ndarray, np.ndarray]:
     seen = np.flatnonzero(others)
     bits = np.log2(others[seen] * np.exp2(ratio[order[seen]] / RATIO_STEPS + LEAST_RATIO) + 1) - 1
     gain[seen] = np.rint(bits * GAIN_STEPS)
-    return texts, np.bincount(owner, gain * count, len(texts)).astype(np.int64)  # exact below 2^53
+    total = np.bincount(run[order], gain * count, len(runs_)).astype(np.int64)  # exact below 2^53
+    ends = np.cumsum([0, *(len(p[5]) for p in parts)])
+    out = []
+    for x, y in zip(ends[:-1], ends[1:], strict=True):
+        some = x + np.flatnonzero(total[x:y])
+        sums = total[some]
+        small = not len(sums) or np.abs(sums).max() < 1 << 31
+        out.append((at[some].tobytes(), sums.astype("<i4" if small else "<i8").tobytes()))
+    return out
 
 
 def word_gains(docs: DataFrame, scores: DataFrame, model: KneserNey, scratch: Scratch, text_col: str, lang_col: str, rounds: int = ROUNDS, group_bytes: int = 4 << 20) -> DataFrame:
@@ -337,13 +362,16 @@ def word_gains(docs: DataFrame, scores: DataFrame, model: KneserNey, scratch: Sc
     def deal(part):
         def run(batches):
             known = np.full(KINDS**ORDER, np.nan)
+            salt = TaskContext.get().partitionId() << 32
             for batch in batches:
-                for a, b in by_bytes(pc.binary_length(batch.column(0)).to_pylist(), group_bytes):
+                spans = by_bytes(pc.binary_length(batch.column(0)).to_pylist(), group_bytes)
+                for a, b in ((k, min(k + MOST_TEXTS, b)) for a, b in spans for k in range(a, b, MOST_TEXTS)):
+                    salt += 1
                     data, ends = flat(batch.column(0).slice(a, b - a))
                     codes = gram_codes(data, ends)
                     meet(known, shared.value, codes)
                     owners, salts, totals_ = (batch.column(c).slice(a, b - a).to_numpy() for c in (1, 2, 3))
-                    if (out := deal_pairs(data, ends, known[codes], owners, salts.view(np.uint64), totals_, buckets, part, rounds)) is not None:
+                    if (out := deal_pairs(data, ends, known[codes], owners, salts.view(np.uint64), totals_, buckets, part, rounds, salt)) is not None:
                         yield out
 
         return run
@@ -351,27 +379,36 @@ def word_gains(docs: DataFrame, scores: DataFrame, model: KneserNey, scratch: Sc
     def count(batches):
         by_bucket: dict[int, list] = {}
         for batch in batches:
-            for bucket, *parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                by_bucket.setdefault(bucket, []).append(parts)
+            for bucket, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                by_bucket.setdefault(bucket, []).append(rest)
         while by_bucket:
-            owner, total = pair_gains(by_bucket.popitem()[1])
-            home = (mix(owner.view(np.uint64)) % np.uint64(len(buckets))).astype(np.int64)
-            order = np.argsort(home, kind="stable")
-            cuts = np.flatnonzero(np.r_[True, np.diff(home[order]) > 0, True])
-            rows = [(int(buckets[home[order[x]]]), owner[order[x:y]].tobytes(), total[order[x:y]].tobytes()) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-            kinds = (pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["home", "owners", "sums"])
+            _, found = by_bucket.popitem()
+            parts = [p for p in found if not p[1]]
+            rows = [(p[0], 0, b"", *x) for p, x in zip(parts, pair_gains([p[2:] for p in parts]) if parts else [], strict=True)]
+            rows += [(p[0], p[1], p[5], b"", b"") for p in found if p[1]]
+            kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 3)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["chunk", "rows", "owners", "at", "sums"])
 
     def gather(batches):
-        found = [(o, t) for batch in batches for o, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-        owner, total = (np.frombuffer(b"".join(f[k] for f in found), np.int64) for k in (0, 1))
-        texts_, at = np.unique(owner, return_inverse=True)
-        sums = np.bincount(at, total, len(texts_)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(texts_), pa.array(sums)], names=["text_key", "steps"])
+        by_chunk: dict[int, list] = {}
+        for batch in batches:
+            for chunk, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                by_chunk.setdefault(chunk, []).append(rest)
+        while by_chunk:
+            _, found = by_chunk.popitem()
+            tables, answers = [x for x in found if x[0]], [x for x in found if not x[0]]
+            if sum(x[0] for x in tables) != len(answers):
+                raise RuntimeError("a group of texts was dealt twice, in different orders")
+            owner = np.frombuffer(tables[0][1], "<i8")
+            at = np.concatenate([np.frombuffer(x[2], "<u2") for x in answers])
+            total = np.concatenate([np.frombuffer(x[3], "<i4" if len(x[3]) == 2 * len(x[2]) else "<i8").astype(np.int64) for x in answers])
+            steps = np.bincount(at, total, len(owner)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(steps)], names=["text_key", "steps"])
 
     def sums(part):
-        dealt = texts.mapInArrow(deal(part), "bucket int, pairs binary, ratios binary, counts binary, owners binary, runs binary").repartition("bucket")
-        return dealt.mapInArrow(count, "home int, owners binary, sums binary").repartition("home").mapInArrow(gather, "text_key bigint, steps bigint")
+        dealt = texts.mapInArrow(deal(part), _DEALT_KIND).repartition("bucket")
+        answers = dealt.mapInArrow(count, "chunk bigint, rows int, owners binary, at binary, sums binary")
+        return answers.repartition("chunk").mapInArrow(gather, "text_key bigint, steps bigint")
 
     done = []
     for part in range(rounds):

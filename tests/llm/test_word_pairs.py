@@ -80,3 +80,32 @@ def test_texts_of_another_language_go(spark):
     assert not any(got[1000 + i]["kept"] or got[1000 + i]["base_failed"] for i in range(20))
     assert np.mean([got[i]["kept"] for i in range(240)]) > 0.95
     assert all(got[2000 + i]["kept"] for i in range(3))  # too few texts for a bound of gains
+
+
+def test_answers_do_not_name_texts_again(spark):
+    """What buckets send back for a text is its number in its chunk and a sum; a text's sum is the same from one bucket as from many,
+    and copies in two chunks count once."""
+    rng = np.random.default_rng(9)
+    texts = [" ".join(rng.choice(["ab", "cd", "ef", "gh", "ij", "kl"], n)) for n in (60, 700, 60, 90)]
+    data = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    owners = np.array([11, 22, 11 << 40, 33])
+    sums = []
+    for size in (1, 9):
+        total, rows = Counter(), []
+        for k, some in enumerate(([0, 1], [2, 3, 1])):
+            flat, ends = np.concatenate([data[i] for i in some]), np.cumsum([0, *(len(data[i]) for i in some)])
+            salts, totals = np.zeros(len(some), np.uint64), np.full(len(some), 2000)
+            batch = quality.deal_pairs(flat, ends, np.full(len(flat), -3.0), owners[some], salts, totals, np.arange(size, dtype=np.int32), 0, 1, k)
+            assert batch.num_rows <= size + 1
+            rows += batch.to_pylist()
+        table = {r["chunk"]: np.frombuffer(r["owners"], "<i8") for r in rows if r["rows"]}
+        for bucket in range(size):
+            mine = [r for r in rows if r["bucket"] == bucket and not r["rows"]]
+            if not mine:
+                continue
+            for r, (at, steps) in zip(mine, quality.pair_gains([[r[c] for c in quality._DEALT[3:]] for r in mine]), strict=True):
+                assert len(at) <= 2 * len(r["runs"]) and len(steps) <= 4 * len(r["runs"])
+                for i, x in zip(np.frombuffer(at, "<u2"), np.frombuffer(steps, "<i4"), strict=True):
+                    total[int(table[r["chunk"]][i])] += int(x)
+        sums.append(total)
+    assert sums[0] == sums[1] and set(sums[0]) == set(owners.tolist())
