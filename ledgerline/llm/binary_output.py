@@ -33,7 +33,7 @@ def format_options(row_group_bytes: int = 32 << 20, page_bytes: int = 256 << 10,
     } | {f"parquet.enable.dictionary#{c}": "false" for c in _META}
 
 
-def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = 4 << 20) -> DataFrame:
+def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = 8 << 20) -> DataFrame:
     """Rows in ascending id order over the partitions: doc_id, start_in_part, n_tokens, ids, part.
 
     A null text is empty (its only id is ``end_id``); null ids come first; rows of one id are ordered by a
@@ -49,15 +49,13 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
     )
 
     def encode(batches):
-        enc, end, start = encoder(path), np.uint32(end_id).tobytes(), 0
+        enc, start = encoder(path), 0
         for batch in batches:
             texts = batch.column(1)
             for a, b in by_bytes(pc.binary_length(texts).to_pylist(), group_bytes):
-                found = [enc.ids(x) + end for x in texts.slice(a, b - a).to_pylist()]
-                sizes = np.fromiter((len(x) // 4 for x in found), np.int64, len(found))
+                ids, sizes = enc.ids_of_group(texts.slice(a, b - a), end_id)
                 ends = np.cumsum(sizes)
-                ids = pa.array(np.frombuffer(b"".join(found), "<i4"))
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), ids)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(start + ends - sizes), pa.array(sizes), lists],
                     names=["doc_id", "start_in_part", "n_tokens", "ids"],

@@ -154,29 +154,31 @@ def places(bins: Counter[Kind]) -> dict[str, np.ndarray]:
     return {"key": (table[:, 0] << 44) | table[:, 1], "length": table[:, 0], "first": table[:, 1], "sequence": table[:, 2], "offset": table[:, 3], "bins": table[:, 4]}
 
 
-def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = 4 << 20) -> DataFrame:
+def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = 8 << 20) -> DataFrame:
     """Pieces of at most ``capacity`` tokens: doc_id, piece, start, length, ids_crc32.
 
     Each document's ids end with ``end_id``.  Only longer ones are cut; the first piece takes what is over.
     """
 
     def cut(batches):
-        enc, end = encoder(path), np.uint32(end_id).tobytes()
+        enc = encoder(path)
         for batch in batches:
             texts = batch.column(1)
             for a, b in by_bytes(pc.binary_length(texts).to_pylist(), group_bytes):
                 row, piece, start, length, crc = [], [], [], [], []
-                for i, x in enumerate(texts.slice(a, b - a).to_pylist()):
-                    raw = memoryview(enc.ids(x) + end)
-                    n, at, k = len(raw) // 4, 0, 0
+                ids, sizes = enc.ids_of_group(texts.slice(a, b - a), end_id)
+                raw, first = memoryview(np.ascontiguousarray(ids, "<i4")).cast("B"), 0
+                for i, n in enumerate(sizes.tolist()):
+                    at, k = 0, 0
                     while at < n:
                         size = (n - at) % capacity or capacity
                         row.append(a + i)
                         piece.append(k)
                         start.append(at)
                         length.append(size)
-                        crc.append(zlib.crc32(raw[4 * at : 4 * (at + size)]))
+                        crc.append(zlib.crc32(raw[4 * (first + at) : 4 * (first + at + size)]))
                         at, k = at + size, k + 1
+                    first += n
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],

@@ -7,24 +7,28 @@ reach across, so that the ids of the pieces, put together, are the ids of the wh
 * Byte-level vocabularies attach one blank to the word behind it.  The place between a character that is
   not white space and one that is, is a boundary; a piece is a run of white space with the run behind it.
 
-Pieces repeat, so their ids are kept in a cache of bounded size and only new pieces are encoded.
+Pieces repeat, so their ids are kept in a cache of bounded size and only new pieces are encoded.  Texts are handled in
+groups: Arrow finds the different pieces of a group, so each is looked up once for the group, and puts the ids in a row.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, pre_tokenizers
 
-#: Pieces that a worker remembers in each of two generations.
+#: Pieces that a worker remembers in each of two generations, in counting and in encoding; an entry takes some 160 bytes.
 CACHE_PIECES = 300_000
+CACHE_IDS = 500_000
 
 _LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
 _BLANKS = r" \t\n\r\f\v"
@@ -55,7 +59,7 @@ class Remembered(dict):
         if value is None:
             value = self.make(key)
         if len(self) >= self.size:
-            self.old = dict(self)
+            self.old = self.copy()
             self.clear()
         self[key] = value
         return value
@@ -71,21 +75,21 @@ class PieceEncoder:
         self.by_byte = isinstance(tok.pre_tokenizer, pre_tokenizers.ByteLevel)
         self.model = tok.model
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.spelt = {b: spell.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
-        self.spelt |= {0x80 + b: x for b, x in enumerate(spell.pre_tokenize_str(chr(0x80 + b))[0][0][1] for b in range(64))}
-        self.spelt |= {0xC0 + b: spell.pre_tokenize_str(chr(b << 6))[0][0][0] for b in range(2, 32)}
-        self.blank = self.spelt[32] if self.by_byte else ""
+        spelt = {b: spell.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
+        spelt |= {0x80 + b: x for b, x in enumerate(spell.pre_tokenize_str(chr(0x80 + b))[0][0][1] for b in range(64))}
+        spelt |= {0xC0 + b: spell.pre_tokenize_str(chr(b << 6))[0][0][0] for b in range(2, 32)}
+        #: The spelling of each byte; the others are in no known character.
+        self.spelt = "".join([spelt.get(b, "\ufffe") for b in range(256)])
+        self.blank = spelt[32] if self.by_byte else ""
         self.words = Remembered(self._word, 50_000)
         self.first = Remembered(self._piece, 50_000)
-        self.after_blank = Remembered(self._after_blank)
+        self.after_blank = Remembered(self._after_blank, CACHE_IDS)
 
     def _word(self, word: str) -> bytes:
         """Of a pre-split word with known characters."""
-        if word.isascii() and word.isalpha():
-            spelt = word
-        else:
-            spelt = word.encode().decode("latin-1").translate(self.spelt)
-        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        if not (word.isascii() and word.isalpha()):
+            word = charmap_decode(word.encode(), "strict", self.spelt)[0]
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         if "<|" in piece or not _KNOWN.match(piece[piece[:1] == " " :]):
@@ -102,12 +106,12 @@ class PieceEncoder:
 
         None if white space beside the blank makes it part of a longer run.
         """
-        if _ONE_WORD.match(piece) and piece[0] != " ":  # most are: a word of known letters needs no further look
+        if piece.isalpha() and (piece.isascii() or _ONE_WORD.match(piece)):  # most are: a word of known letters needs no further look
             word = piece if self.by_byte else piece.lower()
             if word.isascii():
                 return array("I", [t.id for t in self.model.tokenize(self.blank + word)]).tobytes()
             if _ONE_WORD.match(word):  # a capital may have no single small letter
-                word = word.encode().decode("latin-1").translate(self.spelt)
+                word = charmap_decode(word.encode(), "strict", self.spelt)[0]
                 return array("I", [t.id for t in self.model.tokenize(self.blank + word)]).tobytes()
         if piece[-1:] in (".", ",") and piece[-2:-1].isalpha() and piece[-2] < "\u0180" and piece[-2] != "\u0130":
             head = self.after_blank[piece[:-1]]
@@ -134,6 +138,38 @@ class PieceEncoder:
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join([self.first[x] for x in _BYTE_PIECES.findall(text)])
 
+    def ids_of_group(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many texts in a row, each text's followed by ``end``, and how many each has.  No text may be null.
+
+        Each different piece of the group is looked up once.
+        """
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n" if self.by_byte else " "), " ")
+        found = cut.flatten().dictionary_encode()
+        size = pc.list_value_length(cut).to_numpy()
+        first = np.cumsum(size) - size
+        known = list(map(self.after_blank.__getitem__, found.dictionary.to_pylist()))
+        entry = found.indices.to_numpy().astype(np.int64)
+        if self.by_byte and len(texts):
+            heads = cut.flatten().take(pa.array(first)).to_pylist()
+            whole = np.array([not x or x[0].isspace() or x[-1].isspace() for x in heads])
+            absent = np.array([x is None for x in known])
+            hard = absent[entry]
+            hard[first] = False  # the head of a text follows no blank
+            whole |= np.logical_or.reduceat(hard, first)
+            known = [x or b"" for x in known]
+            entry[np.repeat(whole, size)] = len(known)
+            entry[first] = len(known) + 1 + np.arange(len(texts))
+            starts = [b"" if w else self.first[x] for x, w in zip(heads, whole.tolist(), strict=True)]
+            for i in np.flatnonzero(whole).tolist():
+                starts[i] = self.ids(texts[i].as_py())
+            known += [b"", *starts]
+        entry = np.insert(entry, first + size, len(known))
+        known.append(np.uint32(end).tobytes())
+        each = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum(each)].astype(np.int32), np.frombuffer(b"".join(known), "<i4"))
+        counts = np.add.reduceat(each[entry], first + np.arange(len(texts))) if len(texts) else np.zeros(0, np.int64)
+        return lists.take(pa.array(entry)).flatten().to_numpy(), counts
+
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> PieceEncoder:

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -60,6 +61,32 @@ def test_every_known_letter_alone_and_within_words(path):
             assert np.frombuffer(tokens.encoder(path).ids(word), "<u4").tolist() == library_ids(path, word), word
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*"abT.,'s19 \n\t éÜ<|>½　日̈", "<|endoftext|>", "the ", " of", "\r\n", "\x1c"]), max_size=12).map("".join), max_size=6))
+def test_groups_of_texts_equal_the_library(texts):
+    for path in (BYTES, WORDS):
+        ids, counts = tokens.encoder(path).ids_of_group(pa.array(["cut off", *texts], pa.string())[1:], 7)
+        want = [[*library_ids(path, x), 7] for x in texts]
+        assert counts.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [i for x in want for i in x]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_pieces_of_a_group_are_encoded_once(path):
+    """Even where the cache is too small for them."""
+    enc, made = tokens.PieceEncoder(path), Counter()
+
+    def make(piece):
+        made[piece] += 1
+        return enc._after_blank(piece)
+
+    enc.after_blank = tokens.Remembered(make, 1)
+    texts = ["x " + " ".join(["one", "two", "three", "four"])] * 50
+    ids, counts = enc.ids_of_group(pa.array(texts), 0)
+    assert ids.tolist() == [*library_ids(path, texts[0]), 0] * 50 and counts.tolist() == [len(ids) // 50] * 50
+    assert {made[x] for x in ("one", "two", "three", "four")} == {1}
+
+
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_token_counts(both, path):
     for df in both:
