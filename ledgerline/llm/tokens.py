@@ -28,7 +28,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 #: Pieces that a worker remembers in each of two generations, in counting and in encoding; an entry takes some 160 bytes.
 CACHE_PIECES = 300_000
-CACHE_IDS = 500_000
+CACHE_IDS = 400_000
 
 _LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
 _BLANKS = r" \t\n\r\f\v"
