@@ -585,7 +585,8 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lonely = lonely_in_component(_rooted(sets, roots))
     still = _rooted(sets.select("id", "n"), roots).join(lonely, F.col("id") == F.col("owner"), "left").where("4 * coalesce(lonely, 0) <= n")
     still = scratch.write(still.select("id", "root"), "open")
-    crossed = scratch.write(cross_pairs(sets.join(still, "id"), single), "crossed")
+    # Dealt out at every size, like the texts: the open ids grow with the table too.
+    crossed = scratch.write(cross_pairs(sets.join(still.hint("merge"), "id"), single), "crossed")
     likely = scratch.write(sketched(crossed, sets), "likely")
     links = scratch.write(checked(likely, sets), "links")
     scratch.drop("sets", "open", "crossed", "likely")

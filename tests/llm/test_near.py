@@ -308,3 +308,16 @@ def test_lonely_counts_by_chunks_and_buckets(spark):
         assert {(r[0], r[1]): r[2] for r in jaccard._count_lonely(df).collect()} == {k: v for k, v in want.items() if v}
     alone = jaccard._deal_shingles(sets[:2], np.array([1, 2]), np.array([1, 2]), np.array([0], np.int32)).to_pylist()
     assert jaccard._shared([[alone[0][c] for c in ("low", "at", "groups", "runs")]]) == [(b"", b"")]
+
+
+def test_open_sets_are_dealt_out_at_every_size(sample, monkeypatch):
+    """Small lists of open ids aren't broadcast, so what is shuffled grows with the table from the start."""
+    plans, real = [], jaccard.cross_pairs
+
+    def look(sets, *args, **options):
+        plans.append(sets._jdf.queryExecution().executedPlan().toString())
+        return real(sets, *args, **options)
+
+    monkeypatch.setattr(jaccard, "cross_pairs", look)
+    jaccard.near_documents(sample).collect()
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
